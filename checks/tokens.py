@@ -165,11 +165,12 @@ _HISTOGRAM = f"WITH {_LENGTHS} SELECT token_length, count(*) AS n_rows FROM leng
 
 
 def _quantiles_sql(ctes: str, source: str, column: str, grid: list[float]) -> str:
-    picks = "\nUNION ALL ".join(
-        f"SELECT CAST({p!r} AS DOUBLE) AS probability, quantile_disc({column}, CAST({p!r} AS DOUBLE)) AS {column} FROM {source}"
-        for p in grid
-    )
-    return f"WITH {ctes} {picks}"
+    """The value of rank ceil(p * n), in double arithmetic."""
+    picks = ", ".join(f"(CAST({p!r} AS DOUBLE))" for p in grid)
+    return f"""WITH {ctes},
+ranked AS (SELECT {column}, row_number() OVER (ORDER BY {column}) AS r, count(*) OVER () AS n FROM {source})
+SELECT probability, {column} FROM ranked JOIN (VALUES {picks}) v(probability)
+  ON r = greatest(1, CAST(ceil(probability * n) AS BIGINT))"""
 
 
 _VOCABULARY = fx.vocabulary_sql(fx.VOCABULARY)
