@@ -73,15 +73,14 @@ def hash_buckets(
     if size > limit:
         return None
     buckets = 1 << max(4, (max(rows, 1) - 1).bit_length())
-    entry = F.struct(F.col(key).alias("k"), F.col(value).alias("v"))
-    grouped = table.groupBy(bucket_of(F.col(key), buckets).alias("b")).agg(F.collect_list(entry).alias("e"))
-    empty = F.array().cast(grouped.schema["e"].dataType)
-    filled = (
-        table.sparkSession.range(buckets)
-        .select(F.col("id").cast("int").alias("b"))
-        .join(grouped, "b", "left")
-        .select("b", F.coalesce("e", empty).alias("e"))
+    entries = table.select(
+        bucket_of(F.col(key), buckets).alias("b"), F.struct(F.col(key).alias("k"), F.col(value).alias("v")).alias("e")
     )
+    # Every bucket gets a row without an entry; the list leaves nulls out.
+    rows_of_buckets = table.sparkSession.range(buckets).select(
+        F.col("id").cast("int").alias("b"), F.lit(None).cast(entries.schema["e"].dataType).alias("e")
+    )
+    filled = entries.unionByName(rows_of_buckets).groupBy("b").agg(F.collect_list("e").alias("e"))
     ordered = F.sort_array(F.collect_list(F.struct("b", "e")))
     return filled.agg(F.transform(ordered, lambda x: F.map_from_entries(x["e"])).alias("buckets")), buckets
 

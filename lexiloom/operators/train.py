@@ -60,7 +60,7 @@ def count_single_label(
     kept = lookup_join(per_class, words(vocabulary), "token", "inner")
     by_token = settle(_as_slots(kept, ["id", "token"], outputs))
     classes = examples.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    return Counts(by_token, settle(_as_slots(classes, [], outputs)), outputs, SINGLE_LABEL)
+    return Counts(by_token, _as_slots(classes, [], outputs), outputs, SINGLE_LABEL)
 
 
 def count_multi_label(
@@ -80,7 +80,7 @@ def count_multi_label(
         vocabulary = vocabulary_of_counts(per_token.select("token", "n"), vocabulary_size)
     kept = lookup_join(per_token, words(vocabulary), "token", "inner")
     by_token = settle(kept.select("id", "token", F.col("c").alias("n")))
-    rows = settle(examples.agg(*sums(F.lit(1))).select(F.col("c").alias("n")))
+    rows = examples.agg(*sums(F.lit(1))).select(F.col("c").alias("n"))
     return Counts(by_token, rows, outputs, MULTI_LABEL)
 
 

@@ -24,19 +24,18 @@ def top_tokens(counts: DataFrame, size: int) -> DataFrame:
     """The ``size`` most frequent tokens, ties by token.
 
     The lowest count that can still be in the list is found first, from the number of tokens per
-    count; only tokens from there on are sorted, not the long tail of rare ones.
+    count; only tokens from there on are sorted, not the long tail of rare ones. ``counts`` is read
+    twice, so it should be settled or come from a settled table.
     """
-    counts = settle(counts.select("token", "n"))
     # Distinct counts are few: d of them need at least d * (d - 1) / 2 token occurrences.
     per_count = counts.groupBy("n").agg(F.count(F.lit(1)).alias("_tokens"))
     above = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
-    edge = (
+    lowest = (
         per_count.withColumn("_above", F.coalesce(F.sum("_tokens").over(above), F.lit(0)))
         .where(F.col("_above") < size)
-        .agg(F.min("n").alias("_edge"))
+        .agg(F.coalesce(F.min("n"), F.lit(0)).alias("_lowest"))
     )
-    floor = edge.first()["_edge"]
-    kept = counts.where(F.col("n") >= F.lit(floor)) if floor is not None else counts
+    kept = counts.select("token", "n").where(F.col("n") >= lowest.scalar())
     return kept.orderBy(F.desc("n"), "token").limit(size)
 
 
@@ -56,7 +55,7 @@ def vocabulary_of_counts(counts: DataFrame, size: int) -> DataFrame:
 
 
 def build_vocabulary(df: DataFrame, size: int, text: str = "text") -> DataFrame:
-    return vocabulary_of_counts(token_counts(df, text), size)
+    return vocabulary_of_counts(settle(token_counts(df, text)), size)
 
 
 def words(vocabulary: DataFrame) -> DataFrame:
