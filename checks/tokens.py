@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from lexiloom.config import MAX_LENGTH, TRAIN_BATCH
+from lexiloom.functions.text import encoded_length
 from lexiloom.operators import encode as enc
 from lexiloom.operators import prepare, profile, token_vectors as vec
 from lexiloom.operators.vocabulary import build_vocabulary
@@ -43,10 +44,12 @@ def _encoded(spark, sf, max_length=MAX_LENGTH):
     return enc.encode(docs, vocabulary, max_length=max_length).select("doc_id", "input_ids"), vocabulary
 
 
+def _encoded_lengths(spark, sf):
+    return fx.documents(spark, sf).select("doc_id", encoded_length("text", MAX_LENGTH).alias("encoded_length"))
+
+
 def _encoded_histogram(spark, sf):
-    encoded, _ = _encoded(spark, sf)
-    lengths = encoded.select(F.size("input_ids").alias("encoded_length"))
-    return profile.length_histogram(lengths, "encoded_length")
+    return profile.length_histogram(_encoded_lengths(spark, sf), "encoded_length")
 
 
 def encoded_length_histogram(spark, sf):
@@ -96,21 +99,22 @@ def assign_batches(spark, sf):
 
 
 def pad_to_longest(spark, sf):
-    encoded, _ = _encoded(spark, sf)
-    padded = enc.pad_to_longest(enc.assign_batches(encoded, ["doc_id"], TRAIN_BATCH))
-    return padded.select("doc_id", "batch", fx.ints("input_ids").alias("input_ids"),
-                         fx.ints("attention_mask").alias("attention_mask"))
+    docs = fx.documents(spark, sf).select("doc_id", "text")
+    vocabulary = build_vocabulary(docs, fx.VOCABULARY)
+    batched = enc.assign_batches(docs, ["doc_id"], TRAIN_BATCH)
+    encoded = enc.encode(batched, vocabulary).select("doc_id", "batch", "input_ids")
+    return enc.pad_to_longest(encoded).select(
+        "doc_id", "batch", fx.ints("input_ids").alias("input_ids"), fx.ints("attention_mask").alias("attention_mask")
+    )
 
 
 def group_by_length(spark, sf):
-    encoded, _ = _encoded(spark, sf)
-    lengths = encoded.select("doc_id", F.size("input_ids").alias("n_ids"))
+    lengths = _encoded_lengths(spark, sf).withColumnRenamed("encoded_length", "n_ids")
     return enc.group_by_length(lengths, TRAIN_BATCH, "n_ids", "doc_id")
 
 
 def padding_cost(spark, sf):
-    encoded, _ = _encoded(spark, sf)
-    return enc.padding_cost(encoded, TRAIN_BATCH, "doc_id")
+    return enc.padding_cost(_encoded_lengths(spark, sf), TRAIN_BATCH, "doc_id")
 
 
 def decode(spark, sf):

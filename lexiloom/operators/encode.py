@@ -104,7 +104,10 @@ def attention_mask(df: DataFrame, ids: str = "input_ids") -> DataFrame:
 
 
 def assign_batches(df: DataFrame, order: list[str], batch_size: int) -> DataFrame:
-    """Batches of ``batch_size`` rows in ``order``, which must end in a unique key."""
+    """Batches of ``batch_size`` rows in ``order``, which must end in a unique key.
+
+    Batch the texts before encoding them: the numbering reads its input twice and moves it once.
+    """
     if batch_size < 1:
         raise ValueError("batch_size must be positive")
     return dense_index(df, order, "idx").withColumn("batch", F.floor(F.col("idx") / F.lit(batch_size)).cast("long"))
@@ -122,10 +125,13 @@ def pad_to_longest(df: DataFrame, ids: str = "input_ids", batch: str = "batch")
 
 
 def padding_cost(
-    df: DataFrame, batch_size: int, key: str, ids: str = "input_ids", max_length: int = MAX_LENGTH
+    df: DataFrame, batch_size: int, key: str, length: str = "encoded_length", max_length: int = MAX_LENGTH
 ) -> DataFrame:
-    """Real and padded positions under fixed, dynamic and length-grouped padding."""
-    lengths = df.select(key, F.size(ids).cast("long").alias("n"))
+    """Real and padded positions under fixed, dynamic and length-grouped padding.
+
+    Needs the encoded lengths only, not the ids.
+    """
+    lengths = df.select(key, F.col(length).cast("long").alias("n"))
     fixed = lengths.agg(F.sum("n").alias("real"), (F.count(F.lit(1)) * F.lit(max_length)).alias("padded"))
     costs = fixed.select(F.lit("fixed").alias("strategy"), "real", "padded")
     for strategy, order in (("dynamic", [key]), ("by_length", ["n", key])):

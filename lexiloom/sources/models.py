@@ -19,7 +19,3 @@ def load_model(spark: SparkSession, path: str, run_id: str, problem_type: str) -
     if bias is None:
         raise ValueError(f"run {run_id!r} has no model at {path}")
     return Model(weights, bias[0], problem_type)
-
-
-def predictions_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)

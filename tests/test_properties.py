@@ -4,6 +4,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from lexiloom.functions import vectors as ve
+from lexiloom.functions.text import encoded_length
 from lexiloom.operators import encode as enc
 from lexiloom.operators import evaluate as ev
 from lexiloom.operators import prepare, profile
@@ -49,7 +50,8 @@ def test_masks_and_lengths(spark, values, size):
 @given(values=texts, batch=st.integers(1, 7))
 def test_batches(spark, values, batch):
     df = rows_of(spark, values)
-    encoded = enc.encode(df, build_vocabulary(df, 50)).select("doc_id", "input_ids")
+    encoded = enc.encode(df, build_vocabulary(df, 50)).withColumn("encoded_length", encoded_length("text"))
+    assert encoded.where(F.size("input_ids") != F.col("encoded_length")).count() == 0
     batched = enc.group_by_length(encoded.withColumn("n", F.size("input_ids")), batch, "n", "doc_id")
     rows = enc.pad_to_longest(batched).orderBy("idx").collect()
     assert [r.n for r in rows] == sorted(r.n for r in rows)
