@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lexiloom.config import BROADCAST_BYTES
 from lexiloom.functions.vectors import indices_above, indices_of_ones, top_index, top_score
-from lexiloom.operators.lookup import dense_array, lookup_join, with_value
+from lexiloom.operators.lookup import dense_array, lookup_join, positions_of, with_value
 from lexiloom.operators.prepare import attach_label_name
 from lexiloom.operators.staging import fits
 
@@ -47,9 +47,9 @@ def index_names(
         return ready.select(*rest, named.alias(names))
     if key is None:
         raise ValueError("the label table is too large to hand to tasks; name a unique key column")
-    pieces = df.select(key, F.posexplode(indices).alias("_pos", "idx"))
+    pieces = positions_of(df, key, indices).withColumnRenamed("item", "idx")
     found = lookup_join(pieces, labels.select("idx", F.col("label").alias("_name")), "idx", "left", limit)
-    entry = F.struct("_pos", F.coalesce("_name", missing).alias("_name"))
+    entry = F.struct("pos", F.coalesce("_name", missing).alias("_name"))
     lists = found.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
     filled = F.coalesce(F.col("_entries._name"), F.when(F.col(indices).isNotNull(), F.array().cast("array<string>")))
     return df.join(lists, key, "left").select(*rest, filled.alias(names))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexiloom.config import BROADCAST_BYTES, END_ID, MAX_LENGTH, PAD_ID, START_ID, UNKNOWN_ID
 from lexiloom.functions.text import tokens
-from lexiloom.operators.lookup import dense_array, find, hash_buckets, lookup_join, with_value
+from lexiloom.operators.lookup import dense_array, find, hash_buckets, lookup_join, positions_of, with_value
 from lexiloom.operators.ordering import dense_index
 from lexiloom.operators.staging import fits
 from lexiloom.operators.vocabulary import words
@@ -50,10 +50,10 @@ def encode(
             _kept_tokens(text, max_length), lambda t: F.coalesce(find(F.col("_buckets"), t, n), F.lit(UNKNOWN_ID))
         )
         return ready.select(*df.columns, _framed(ids).alias("input_ids"))
-    pieces = df.select(key, F.posexplode(_kept_tokens(text, max_length)).alias("_pos", "token"))
+    pieces = positions_of(df, key, _kept_tokens(text, max_length)).withColumnRenamed("item", "token")
     found = lookup_join(pieces, known, "token", "left", limit)
     # One group is one text, cut to max_length before it was taken apart.
-    entry = F.struct("_pos", F.coalesce("id", F.lit(UNKNOWN_ID)).alias("id"))
+    entry = F.struct("pos", F.coalesce("id", F.lit(UNKNOWN_ID)).alias("id"))
     lists = found.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
     joined = df.join(lists, key, "left")
     ids = F.coalesce(F.col("_entries.id"), F.array().cast("array<int>"))
@@ -68,9 +68,9 @@ def decode(
     if fits(table, limit):
         ready = with_value(df, "_tokens", dense_array(table, "id", "token"))
         return ready.select(*df.columns, F.transform(ids, lambda i: F.get(F.col("_tokens"), i)).alias("tokens"))
-    pieces = df.select(key, F.posexplode(ids).alias("_pos", "id"))
+    pieces = positions_of(df, key, ids).withColumnRenamed("item", "id")
     found = lookup_join(pieces, table, "id", "left", limit)
-    lists = found.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_pos", "token"))).alias("_entries"))
+    lists = found.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("_entries"))
     return df.join(lists, key, "left").select(*df.columns, F.col("_entries.token").alias("tokens"))
 
 

@@ -53,6 +53,15 @@ def lookup_join(
     return hot.drop("_found").unionByName(cold)
 
 
+def positions_of(df: DataFrame, key: str, items: str | Column) -> DataFrame:
+    """(key, pos, item) of the elements of an array column.
+
+    The outer form keeps Spark from adding a filter on the array below the explode, which would
+    compute an array expression a second time.
+    """
+    return df.select(key, F.posexplode_outer(items).alias("pos", "item")).where(F.col("pos").isNotNull())
+
+
 def with_value(df: DataFrame, name: str, one_row: DataFrame) -> DataFrame:
     """Attach the single value of a one-row, one-column table as a scalar subquery.
 

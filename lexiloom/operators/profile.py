@@ -51,8 +51,8 @@ def histogram_quantiles(
     counts that many times, without it once. The running count is over distinct lengths, not rows:
     d distinct lengths need a corpus of at least d * (d - 1) / 2 tokens, so a few million at most.
     """
-    weights = F.col(weight) if weight else F.lit(1)
-    weighted = histogram.where(F.col(value).isNotNull()).select(value, weights.cast("long").alias("_w"))
+    weights = F.when(F.col(value).isNull(), 0).otherwise(F.col(weight) if weight else 1)
+    weighted = histogram.select(value, weights.cast("long").alias("_w"))
     upto = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     everything = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     running = weighted.select(value, F.sum("_w").over(upto).alias("_upto"), F.sum("_w").over(everything).alias("_n"))

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lexiloom.config import BROADCAST_BYTES
-from lexiloom.operators.lookup import lookup_join
+from lexiloom.operators.lookup import lookup_join, positions_of
 
 
 def token_vectors(
     encoded: DataFrame, vectors: DataFrame, key: str = "doc_id", ids: str = "input_ids", limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """(key, pos, id, vector) of every position; ``vectors`` has (id, vector). Unknown ids get null."""
-    positions = encoded.select(key, F.posexplode(ids).alias("pos", "id"))
+    positions = positions_of(encoded, key, ids).withColumnRenamed("item", "id")
     return lookup_join(positions, vectors, "id", "left", limit).select(key, "pos", "id", "vector")
 
 
@@ -20,7 +20,7 @@ def first_position_vector(
     encoded: DataFrame, vectors: DataFrame, key: str = "doc_id", ids: str = "input_ids", limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """(key, id, vector) of position 0; the other positions are dropped before the lookup."""
-    first = encoded.where(F.size(ids) > 0).select(key, F.get(ids, F.lit(0)).alias("id"))
+    first = encoded.select(key, F.get(ids, F.lit(0)).alias("id"))
     return lookup_join(first, vectors, "id", "left", limit).select(key, "id", "vector")
 
 

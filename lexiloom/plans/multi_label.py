@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from lexiloom.functions.vectors import reject_nan
 from lexiloom.operators.decode import index_names, threshold_indices, true_indices
 from lexiloom.operators.prepare import union_train_test
 from lexiloom.operators.score import batch_score
@@ -15,7 +16,7 @@ def decode_multi_label(
     scored: DataFrame, labels: DataFrame, keep: tuple[str, ...] = (), key: str | None = None
 ) -> DataFrame:
     """(text, labels, is_train, probabilities) to the prediction table."""
-    chosen = true_indices(threshold_indices(scored))
+    chosen = true_indices(threshold_indices(scored.withColumn("probabilities", reject_nan("probabilities"))))
     renamed = chosen.withColumnsRenamed({"labels": "all_label_indxs", "probabilities": "pred_proba_label_indxs"})
     named = index_names(renamed, labels, "predicted_label_indxs", "predicted_labels", key)
     named = index_names(named, labels, "label_indxs", "labels", key)

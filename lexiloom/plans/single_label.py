@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from lexiloom.functions.vectors import reject_nan
 from lexiloom.operators.decode import predicted_label, predicted_label_index, predicted_probability
 from lexiloom.operators.prepare import union_train_test
 from lexiloom.operators.score import batch_score
@@ -16,7 +17,8 @@ def decode_single_label(scored: DataFrame, labels: DataFrame, keep: tuple[str, .
 
     The label is chosen on the rounded scores; they are narrowed to float at the end.
     """
-    chosen = predicted_label_index(predicted_probability(scored.withColumnRenamed("label", "label_indx")))
+    sound = scored.withColumn("probabilities", reject_nan("probabilities")).withColumnRenamed("label", "label_indx")
+    chosen = predicted_label_index(predicted_probability(sound))
     named = predicted_label(predicted_label(chosen, labels), labels, "label_indx", "label")
     return conform(named, SINGLE_LABEL_PREDICTIONS, keep)
 

@@ -46,6 +46,14 @@ def test_quantiles_equal_exact_approx_quantile(spark, n):
     assert [float(r.token_length) for r in got] == df.approxQuantile("token_length", profile.DECILES, 0.0)
 
 
+def test_quantiles_leave_nulls_out(spark):
+    df = spark.createDataFrame([(None, 100), (5, 1), (7, 1)], "token_length int, n_rows int")
+    for weight in ("n_rows", None):
+        assert profile.histogram_quantiles(df, [0.0, 0.5], weight=weight).select("token_length").distinct().collect() == [(5,)]
+    nothing = profile.histogram_quantiles(df.limit(0), [0.5]).first()
+    assert nothing.token_length is None
+
+
 def test_quantiles_of_groups_ignore_weights(spark):
     df = spark.createDataFrame([(1, 100), (2, 1), (3, 1)], "token_length int, n_rows int")
     assert profile.histogram_quantiles(df, [0.5], weight=None).first().token_length == 2

@@ -11,6 +11,7 @@ from lexiloom.operators.ordering import dense_index
 from lexiloom.operators.score import add_logits
 from lexiloom.operators.staging import fits, measure, staging_dir
 from lexiloom.operators.train import train_single_label
+from lexiloom.operators.token_vectors import first_position_vector, token_vectors
 from lexiloom.operators.vocabulary import build_vocabulary
 
 SF = "/root/testdata/sf0.001"
@@ -79,6 +80,18 @@ def test_encode_does_not_shuffle_the_texts(spark):
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
 
 
+def test_token_vectors_encode_once(spark):
+    docs = fx.table(spark, SF, "documents").select("doc_id", "text")
+    vectors = spark.range(600).select(F.col("id").cast("int").alias("id"), F.array(F.lit(1.0)).alias("vector"))
+    encoded = enc.encode(docs, build_vocabulary(docs, 500)).select("doc_id", "input_ids")
+    for df in (token_vectors(encoded, vectors), first_position_vector(encoded, vectors)):
+        # The texts are split in one place of the plan only.
+        assert plan(df).count("split(lower(text") == 1 and "BroadcastHashJoin" in plan(df)
+    by_shuffle = token_vectors(encoded, vectors, limit=0)
+    assert token_vectors(encoded, vectors).exceptAll(by_shuffle).count() == 0
+    assert first_position_vector(encoded, vectors, limit=0).where("vector IS NOT NULL").count() == 200
+
+
 def test_scoring_does_not_shuffle_the_texts(spark):
     docs = fx.table(spark, SF, "documents").select("doc_id", "text")
     model = train_single_label(docs.withColumn("label", F.col("doc_id") % 2), 2, 1000)
