@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from lexiloom.functions.vectors import activation, round_scores
 from lexiloom.operators import evaluate as ev
-from lexiloom.operators.prepare import union_train_test
-from lexiloom.operators.score import add_logits
 
 
 def _rounded(metrics, *by):

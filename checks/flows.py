@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
-from lexiloom.config import INFERENCE_BATCH, MAX_EPOCHS, SEED, TRAIN_BATCH, WEIGHT_DECAY
+from lexiloom.config import INFERENCE_BATCH, MAX_EPOCHS, SEED, SINGLE_LABEL, TRAIN_BATCH, WEIGHT_DECAY
 from lexiloom.operators import decode as dec
 from lexiloom.operators import runs as rn
-from lexiloom.operators.evaluate import single_label_metrics
+from lexiloom.operators.epochs import train_epochs as fit_epochs
 from lexiloom.operators.linear import score_linear, train_linear
 from lexiloom.operators.prepare import label_dimension_of_columns, union_train_test
-from lexiloom.operators.score import add_logits, batch_score as score
-from lexiloom.operators.staging import fresh_path, settle
+from lexiloom.operators.score import batch_score as score
+from lexiloom.operators.staging import fresh_path
 from lexiloom.operators.train import count_single_label, train_multi_label as fit_multi, train_single_label as fit_single
+from lexiloom.operators.vocabulary import build_vocabulary
 from lexiloom.functions.vectors import activation as activate, round_scores as rounded
 from lexiloom.plans.grid import grid_runs as run_grid
 from lexiloom.plans.multi_label import multi_label_predictions as predict_multi
@@ -66,6 +67,13 @@ def linear_single_label(spark, sf):
     )
 
 
+def train_epochs(spark, sf):
+    """Metrics of the best epoch of a model trained step by step."""
+    train, test = fx.train_test(fx.lang_examples(spark, sf)[0])
+    vocabulary = build_vocabulary(train, SIZE)
+    return rn.best_epoch_metrics(fit_epochs(train, test, vocabulary, LANGS, SINGLE_LABEL, max_epochs=3).log)
+
+
 def grid_runs(spark, sf):
     train, test = fx.train_test(fx.lang_examples(spark, sf)[0])
     metrics = run_grid(count_single_label(train, LANGS, SIZE), test, SMOOTHINGS)
@@ -242,7 +250,7 @@ def sentiment_score(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        train_single_label, train_multi_label, linear_single_label, grid_runs, run_metrics, best_epoch_metrics,
+        train_single_label, train_multi_label, linear_single_label, train_epochs, grid_runs, run_metrics, best_epoch_metrics,
         best_checkpoint, early_stop_epoch, early_stop_epoch_patience_3, best_run, batch_score, batch_score_by_key,
         activation, round_scores, predicted_probability, predicted_label_index, predicted_label,
         threshold_indices, true_indices, index_names, index_names_by_key, single_label_predictions,

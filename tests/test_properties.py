@@ -10,7 +10,7 @@ from lexiloom.operators import evaluate as ev
 from lexiloom.operators import prepare, profile
 from lexiloom.operators.vocabulary import build_vocabulary
 
-few = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+few = settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 words = st.sampled_from(["a", "bb", "ccc", "Dd", "é", "ß", "数据", "x-1", "\n", "\t"])
 text = st.lists(st.one_of(words, st.just("")), max_size=12).map(" ".join)
 texts = st.lists(text, min_size=1, max_size=25)
