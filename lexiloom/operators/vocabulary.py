@@ -24,8 +24,8 @@ def top_tokens(counts: DataFrame, size: int) -> DataFrame:
     """The ``size`` most frequent tokens, ties by token.
 
     The lowest count that can still be in the list is found first, from the number of tokens per
-    count; only tokens from there on are sorted, not the long tail of rare ones. ``counts`` is read
-    twice, so it should be settled or come from a settled table.
+    count; only tokens from there on are sorted, not the long tail of rare ones. ``counts`` is used
+    twice in one job; Spark reuses its exchange, so the texts behind it are read once.
     """
     # Distinct counts are few: d of them need at least d * (d - 1) / 2 token occurrences.
     per_count = counts.groupBy("n").agg(F.count(F.lit(1)).alias("_tokens"))
@@ -55,7 +55,7 @@ def vocabulary_of_counts(counts: DataFrame, size: int) -> DataFrame:
 
 
 def build_vocabulary(df: DataFrame, size: int, text: str = "text") -> DataFrame:
-    return vocabulary_of_counts(settle(token_counts(df, text)), size)
+    return vocabulary_of_counts(token_counts(df, text), size)
 
 
 def words(vocabulary: DataFrame) -> DataFrame:

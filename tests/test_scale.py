@@ -12,7 +12,7 @@ from lexiloom.operators.score import add_logits
 from lexiloom.operators.staging import fits, measure, staging_dir
 from lexiloom.operators.train import train_single_label
 from lexiloom.operators.token_vectors import first_position_vector, token_vectors
-from lexiloom.operators.vocabulary import build_vocabulary
+from lexiloom.operators.vocabulary import build_vocabulary, token_counts, top_tokens
 
 SF = "/root/testdata/sf0.001"
 
@@ -80,6 +80,12 @@ def test_encode_does_not_shuffle_the_texts(spark):
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
 
 
+def test_vocabulary_reads_the_texts_once(spark):
+    top = top_tokens(token_counts(fx.table(spark, SF, "documents").select("text")), 100)
+    assert len(top.collect()) == 100
+    assert "ReusedExchange" in plan(top)
+
+
 def test_token_vectors_encode_once(spark):
     docs = fx.table(spark, SF, "documents").select("doc_id", "text")
     vectors = spark.range(600).select(F.col("id").cast("int").alias("id"), F.array(F.lit(1.0)).alias("vector"))
