@@ -52,13 +52,16 @@ def _as_slots(df: DataFrame, by: list[str], n: int) -> DataFrame:
 def count_single_label(
     examples: DataFrame, outputs: int, vocabulary_size: int, vocabulary: DataFrame | None = None
 ) -> Counts:
-    """Count tokens per class in one pass over the texts (text, label)."""
+    """Count tokens per class in one pass over the texts (text, label).
+
+    The table per token is not settled: fitting uses it twice in one job, over one exchange.
+    """
     per_class = settle(token_counts(examples, "text", ("label",)))
     if vocabulary is None:
         totals = per_class.groupBy("token").agg(F.sum("n").alias("n"))
         vocabulary = vocabulary_of_counts(totals, vocabulary_size)
     kept = lookup_join(per_class, words(vocabulary), "token", "inner")
-    by_token = settle(_as_slots(kept, ["id", "token"], outputs))
+    by_token = _as_slots(kept, ["id", "token"], outputs)
     classes = examples.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     return Counts(by_token, _as_slots(classes, [], outputs), outputs, SINGLE_LABEL)
 
