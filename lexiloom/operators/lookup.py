@@ -8,14 +8,24 @@ from lexiloom.config import BROADCAST_BYTES
 from lexiloom.operators.staging import fits, measure, settle
 
 # A key that holds at least one row in this many is heavy, so there are never more heavy keys than this.
-HEAVY_SHARE = 10_000
+# The smaller numbers are for dimension rows so wide that the heavy ones would not fit otherwise.
+HEAVY_SHARES = (10_000, 1_000, 100)
 
 
-def heavy_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys holding at least 1/HEAVY_SHARE of the rows: at most HEAVY_SHARE rows."""
-    counts = settle(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")))
-    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-    return counts.where(F.col("_n") * HEAVY_SHARE >= F.lit(total)).select(key)
+def key_counts(df: DataFrame, key: str) -> tuple[DataFrame, int, int]:
+    """Rows per key, rows with a key and rows without one."""
+    counts = settle(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")))
+    has_key = F.col(key).isNotNull()
+    sums = counts.agg(
+        F.coalesce(F.sum(F.when(has_key, F.col("_n"))), F.lit(0)).alias("keyed"),
+        F.coalesce(F.sum(F.when(~has_key, F.col("_n"))), F.lit(0)).alias("blank"),
+    ).first()
+    return counts.where(has_key), sums["keyed"], sums["blank"]
+
+
+def heavy_keys(counts: DataFrame, keyed: int, share: int) -> DataFrame:
+    """Keys holding at least 1/share of the keyed rows: at most ``share`` keys."""
+    return counts.where(F.col("_n") * share >= F.lit(keyed)).drop("_n")
 
 
 def lookup_join(
@@ -32,24 +42,28 @@ def lookup_join(
     if fits(dim, limit):
         return df.join(F.broadcast(dim), key, how)
     extra = [name for name in dim.columns if name != key]
-    heavy = heavy_keys(df, key)
+    counts, keyed, blank_rows = key_counts(df, key)
     found = dim.withColumn("_found", F.lit(True))
-    head = settle(heavy.join(found, key, "left"))
-    if not fits(head, limit):
+    for share in HEAVY_SHARES:
+        head = settle(heavy_keys(counts, keyed, share).join(found, key, "left"))
+        if fits(head):
+            break
+    else:
+        # A hundred rows beyond the limit: too wide to broadcast, left to the adaptive skew join.
         return df.join(dim, key, how)
     hot = df.join(F.broadcast(head), key, "inner")
     if how == "inner":
         hot = hot.where("_found")
     cold = df.join(F.broadcast(head.select(key)), key, "left_anti")
-    if how == "left":
-        # Null keys match nothing and must not meet in one task.
+    if how == "left" and blank_rows:
+        # Rows without a key match nothing and must not meet in one task.
         named = cold.where(F.col(key).isNotNull()).join(dim, key, "left")
         blank = cold.where(F.col(key).isNull()).select(
             "*", *[F.lit(None).cast(dim.schema[name].dataType).alias(name) for name in extra]
         )
         cold = named.unionByName(blank)
     else:
-        cold = cold.join(dim, key, "inner")
+        cold = cold.join(dim, key, how)
     return hot.drop("_found").unionByName(cold)
 
 

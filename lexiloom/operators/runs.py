@@ -139,8 +139,9 @@ def early_stop_epoch(
 ) -> DataFrame:
     """(run_id, stop_epoch): the first epoch that ends ``patience`` epochs in a row without a gain in f1
     of more than ``threshold`` over the best earlier epoch; null if the run never stops early."""
-    f1 = log.where((F.col("kind") == EVAL) & (F.col("metric") == "f1")).select("run_id", "epoch", "value")
-    # A window holds the epochs of one run.
+    f1 = log.where((F.col("kind") == EVAL) & (F.col("metric") == "f1"))
+    # One row per epoch, however often it was logged, so a window holds the few epochs of one run.
+    f1 = f1.groupBy("run_id", "epoch").agg(F.max("value").alias("value"))
     in_run = Window.partitionBy("run_id").orderBy("epoch")
     best_before = F.max("value").over(in_run.rowsBetween(Window.unboundedPreceding, -1))
     gained = best_before.isNull() | (F.col("value") - best_before > threshold)

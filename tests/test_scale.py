@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from lexiloom.operators import encode as enc
 from lexiloom.operators import prepare
-from lexiloom.operators.lookup import HEAVY_SHARE, heavy_keys, lookup_join
+from lexiloom.operators.lookup import heavy_keys, key_counts, lookup_join
 from lexiloom.operators.ordering import dense_index
 from lexiloom.operators.score import add_logits
 from lexiloom.operators.staging import fits, measure, staging_dir
@@ -38,8 +38,13 @@ def test_lookup_join_equals_plain_join(spark, how):
 
 
 def test_heavy_keys_are_few_and_right(spark):
-    heavy = [r.k for r in heavy_keys(skewed(spark), "k").collect()]
-    assert 7 in heavy and len(heavy) <= HEAVY_SHARE
+    df = skewed(spark)
+    counts, keyed, blank = key_counts(df, "k")
+    assert (keyed, blank) == (40_000, 20_000) and df.where("k IS NULL").count() == 20_000
+    assert [r.k for r in heavy_keys(counts, keyed, 10_000).collect()] == [7]
+    assert heavy_keys(counts, keyed, 20_000).count() <= 20_000
+    counts, keyed, _ = key_counts(df.limit(0), "k")
+    assert keyed == 0 and heavy_keys(counts, keyed, 100).count() == 0
 
 
 def test_measure_counts_strings_and_arrays(spark):
