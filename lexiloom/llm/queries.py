@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexiloom.llm import quality_rules
+from lexiloom.llm import near_dedup, quality_rules
 from lexiloom.llm.common import table
 
 
@@ -13,6 +13,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {"op10_quality_rules": op10_quality_rules}
+
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op5_near_dedup": op5_near_dedup,
+    "op10_quality_rules": op10_quality_rules,
+}
 
 ORACLES: dict[str, str] = {}
