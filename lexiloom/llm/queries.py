@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexiloom.llm import near_dedup, quality_rules
+from lexiloom.llm import decontaminate, near_dedup, quality_rules
 from lexiloom.llm.common import table
 
 
@@ -18,8 +18,13 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op5_near_dedup": op5_near_dedup,
+    "op8_decontaminate": op8_decontaminate,
     "op10_quality_rules": op10_quality_rules,
 }
 
