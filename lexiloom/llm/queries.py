@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexiloom.llm import decontaminate, near_dedup, quality_rules
+from lexiloom.llm import decontaminate, near_dedup, pii, quality_rules
 from lexiloom.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -23,6 +28,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_pii": op4_pii,
     "op5_near_dedup": op5_near_dedup,
     "op8_decontaminate": op8_decontaminate,
     "op10_quality_rules": op10_quality_rules,
