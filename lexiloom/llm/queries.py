@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexiloom.llm import decontaminate, near_dedup, pii, quality_rules
+from lexiloom.llm import decontaminate, near_dedup, packing, pii, quality_rules
 from lexiloom.llm.common import table
 
 
@@ -27,10 +27,15 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_pii": op4_pii,
     "op5_near_dedup": op5_near_dedup,
     "op8_decontaminate": op8_decontaminate,
+    "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
 }
 
