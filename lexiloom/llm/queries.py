@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexiloom.llm import decontaminate, near_dedup, packing, pii, quality_rules
+from lexiloom.llm import chat, decontaminate, near_dedup, packing, pii, quality_rules, url_filter
 from lexiloom.llm.common import table
 
 
@@ -14,6 +14,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    probe = spark.range(2).select(F.lit(-1).cast("long"), F.col("id"), role, F.lit(chat.PROBE))
+    return chat.report(chat.canonical(rows.union(probe)))
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(list(url_filter.RULES), "host string, path string, verdict string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pii.find(docs, pii.fit(docs))
@@ -32,6 +44,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_format": op1_chat_format,
+    "op3_url_filter": op3_url_filter,
     "op4_pii": op4_pii,
     "op5_near_dedup": op5_near_dedup,
     "op8_decontaminate": op8_decontaminate,
@@ -39,4 +53,7 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_chat_format": chat.ORACLE,
+    "op3_url_filter": url_filter.ORACLE,
+}
