@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexiloom.llm import chat, decontaminate, near_dedup, packing, pii, quality_rules, url_filter
+from lexiloom.llm import chat, decontaminate, html_text, license_scan, near_dedup, packing, pii, quality_rules, url_filter
 from lexiloom.llm.common import table
 
 
@@ -35,6 +35,14 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -48,6 +56,8 @@ QUERIES = {
     "op3_url_filter": op3_url_filter,
     "op4_pii": op4_pii,
     "op5_near_dedup": op5_near_dedup,
+    "op6_html_text": op6_html_text,
+    "op7_license_scan": op7_license_scan,
     "op8_decontaminate": op8_decontaminate,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
