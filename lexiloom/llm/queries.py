@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexiloom.llm import chat, decontaminate, html_text, license_scan, near_dedup, packing, pii, quality_rules, url_filter
+from lexiloom.llm import chat, decontaminate, html_text, knn_quality, license_scan, near_dedup, packing, pii, quality_rules, url_filter
 from lexiloom.llm.common import table
 
 
@@ -21,6 +21,11 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.report(chat.canonical(rows.union(probe)))
 
 
+def op2_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return knn_quality.score(docs, knn_quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(url_filter.RULES), "host string, path string, verdict string")
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
@@ -53,6 +58,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op2_knn_quality": op2_knn_quality,
     "op3_url_filter": op3_url_filter,
     "op4_pii": op4_pii,
     "op5_near_dedup": op5_near_dedup,
