@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from lexiloom.config import BROADCAST_BYTES
 from lexiloom.functions.vectors import indices_above, indices_of_ones, top_index, top_score
-from lexiloom.operators.lookup import dense_array, lookup_join, positions_of, with_value
+from lexiloom.operators.lookup import find, hash_buckets, lookup_join, positions_of, with_value
 from lexiloom.operators.prepare import attach_label_name
-from lexiloom.operators.staging import fits
+from lexiloom.operators.staging import with_stable_key
 
 
 def predicted_probability(df: DataFrame, scores: str = "probabilities") -> DataFrame:
@@ -37,16 +37,22 @@ def true_indices(df: DataFrame, flags: str = "labels") -> DataFrame:
 def index_names(
     df: DataFrame, labels: DataFrame, indices: str, names: str, key: str | None = None, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Label names of a list of indices, in the same order; an index without a name fails the job."""
+    """Label names of a list of indices, in the same order; an index without a name fails the job.
+
+    Names are found by the value of ``idx``, which may have gaps. Where the label table is too large to hand to
+    tasks, rows are put together again by ``key``, or by a key of their own if none is named.
+    """
     rest = [c for c in df.columns if c != names]
     missing = F.raise_error(F.lit("label index is not in the label table")).cast("string")
-    if fits(labels, limit):
-        ready = with_value(df.withColumnRenamed(names, "_old") if names in df.columns else df, "_names",
-                           dense_array(labels, "idx", "label"))
-        named = F.transform(indices, lambda i: F.coalesce(F.get(F.col("_names"), i), missing))
+    buckets = hash_buckets(labels.select(F.col("idx").cast("int").alias("idx"), "label"), "idx", "label", limit)
+    if buckets:
+        packed, n = buckets
+        ready = with_value(df.withColumnRenamed(names, "_old") if names in df.columns else df, "_names", packed)
+        named = F.transform(indices, lambda i: F.coalesce(find(F.col("_names"), i.cast("int"), n), missing))
         return ready.select(*rest, named.alias(names))
     if key is None:
-        raise ValueError("the label table is too large to hand to tasks; name a unique key column")
+        key = "_row_key"
+        df = with_stable_key(df, key)
     pieces = positions_of(df, key, indices).withColumnRenamed("item", "idx")
     found = lookup_join(pieces, labels.select("idx", F.col("label").alias("_name")), "idx", "left", limit)
     entry = F.struct("pos", F.coalesce("_name", missing).alias("_name"))

@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexiloom.config import BROADCAST_BYTES, END_ID, MAX_LENGTH, PAD_ID, START_ID, UNKNOWN_ID
 from lexiloom.functions.text import tokens
-from lexiloom.operators.lookup import dense_array, find, hash_buckets, lookup_join, positions_of, with_value
+from lexiloom.operators.lookup import find, hash_buckets, lookup_join, positions_of, with_value
 from lexiloom.operators.ordering import dense_index
-from lexiloom.operators.staging import fits
 from lexiloom.operators.vocabulary import words
 
 _MASK = "attention_mask"
@@ -63,15 +62,22 @@ def encode(
 def decode(
     df: DataFrame, vocabulary: DataFrame, ids: str = "input_ids", key: str = "doc_id", limit: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Add ``tokens``: the token of each id, in order; null for an id outside the vocabulary."""
-    table = vocabulary.select("id", "token")
-    if fits(table, limit):
-        ready = with_value(df, "_tokens", dense_array(table, "id", "token"))
-        return ready.select(*df.columns, F.transform(ids, lambda i: F.get(F.col("_tokens"), i)).alias("tokens"))
+    """Add ``tokens``: the token of each id, in order; null for an id outside the vocabulary.
+
+    Tokens are found by the value of the id, which may have gaps.
+    """
+    table = vocabulary.select(F.col("id").cast("int").alias("id"), "token")
+    buckets = hash_buckets(table, "id", "token", limit)
+    if buckets:
+        packed, n = buckets
+        ready = with_value(df, "_tokens", packed)
+        named = F.transform(ids, lambda i: find(F.col("_tokens"), i.cast("int"), n))
+        return ready.select(*df.columns, named.alias("tokens"))
     pieces = positions_of(df, key, ids).withColumnRenamed("item", "id")
     found = lookup_join(pieces, table, "id", "left", limit)
     lists = found.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("_entries"))
-    return df.join(lists, key, "left").select(*df.columns, F.col("_entries.token").alias("tokens"))
+    filled = F.coalesce("_entries.token", F.when(F.col(ids).isNotNull(), F.array().cast("array<string>")))
+    return df.join(lists, key, "left").select(*df.columns, filled.alias("tokens"))
 
 
 def padded(ids: str | Column, length: int | Column) -> Column:

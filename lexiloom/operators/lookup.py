@@ -35,12 +35,14 @@ def lookup_join(
 
     A dimension measured within ``limit`` is broadcast. A larger one is joined by shuffle, except
     for the heavy keys of ``df``: their few dimension rows are broadcast, so no task receives
-    more than a small share of the rows whatever the key distribution is.
+    more than a small share of the rows whatever the key distribution is. ``df`` is then settled, because
+    it is read several times: pass only the columns the join needs.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be left or inner")
     if fits(dim, limit):
         return df.join(F.broadcast(dim), key, how)
+    df = settle(df)
     extra = [name for name in dim.columns if name != key]
     counts, keyed, blank_rows = key_counts(df, key)
     found = dim.withColumn("_found", F.lit(True))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -68,7 +69,13 @@ def run_row(spark: SparkSession, run_id: str, params: dict, metrics: dict) -> Da
 
 
 def append_run(run: DataFrame, path: str) -> None:
-    run.write.mode("append").parquet(path)
+    """Add a run to the runs table; an older row of the same run is replaced. Each run has a folder of its own."""
+    run_id = run.select("run_id").first()[0]
+    run.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={quote(run_id, safe='-_.')}")
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(RUNS).parquet(f"{path.rstrip('/')}/run=*")
 
 
 def run_metrics(runs: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from lexiloom.config import BROADCAST_BYTES, INFERENCE_BATCH
 from lexiloom.functions.text import tokens
 from lexiloom.functions.vectors import activation, round_scores
 from lexiloom.operators.lookup import find, hash_buckets, lookup_join, with_value
+from lexiloom.operators.staging import with_stable_key
 from lexiloom.operators.train import BIAS_ID, Model
 
 
@@ -27,7 +28,8 @@ def add_logits(
     """Add ``logits``: bias plus the weights of all tokens of the text; tokens the model lacks add nothing.
 
     A model measured within ``limit`` is handed to the tasks and rows are scored in place, with no
-    shuffle and no key. For a larger one tokens are joined to the weights and summed by ``key``.
+    shuffle and no key. For a larger one tokens are joined to the weights and summed by ``key``, which
+    must be unique; without one the rows are settled with a key of their own. A null text has null logits.
     """
     require_text(df, text)
     weights = model.weights.where(F.col("id") != BIAS_ID).select("token", "weights")
@@ -42,8 +44,10 @@ def add_logits(
             lambda acc, t: F.coalesce(F.zip_with(acc, find(F.col("_buckets"), t, n), lambda a, w: a + w), acc),
         )
         return ready.select(*df.columns, logits.alias("logits"))
+    columns = df.columns
     if key is None:
-        raise ValueError("the model is too large to hand to tasks; name a unique key column")
+        key = "_row_key"
+        df = with_stable_key(df, key)
     pieces = df.select(key, F.explode(tokens(text)).alias("token"))
     found = lookup_join(pieces, weights, "token", "inner", limit)
     sums = [F.sum(F.get("weights", F.lit(k))) for k in range(model.outputs)]
@@ -53,7 +57,7 @@ def add_logits(
     logits = F.aggregate(
         F.array(F.col("_sums")), F.col("_bias"), lambda acc, s: F.coalesce(F.zip_with(acc, s, lambda a, w: a + w), acc)
     )
-    return joined.select(*df.columns, logits.alias("logits"))
+    return joined.select(*columns, F.when(F.col(text).isNotNull(), logits).alias("logits"))
 
 
 def batch_score(

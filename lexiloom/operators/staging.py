@@ -35,9 +35,18 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute once and keep in the shared folder, so later uses see the same rows after a lost executor."""
-    staging_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute once and keep in the shared folder, so later uses see the same rows after a lost executor.
+
+    Kept as Parquet: compressed, and later uses read only the columns they need.
+    """
+    path = fresh_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def with_stable_key(df: DataFrame, name: str) -> DataFrame:
+    """``df``, settled, with a unique key that is the same whenever it is read."""
+    return settle(df.withColumn(name, F.monotonically_increasing_id()))
 
 
 def _width(value, data_type: T.DataType):

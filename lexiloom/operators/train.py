@@ -49,13 +49,23 @@ def _as_slots(df: DataFrame, by: list[str], n: int) -> DataFrame:
     return df.groupBy(*by).agg(_slots(entries, n).alias("n"))
 
 
+def checked_labels(examples: DataFrame, outputs: int) -> DataFrame:
+    """Fails the job at a label outside 0..n-1 or a list of labels of another length; adds no pass."""
+    if "labels" in examples.columns:
+        wrong = F.raise_error(F.lit(f"labels must have {outputs} values")).cast(examples.schema["labels"].dataType)
+        return examples.withColumn("labels", F.when(F.size("labels") == outputs, F.col("labels")).otherwise(wrong))
+    wrong = F.raise_error(F.lit(f"label is not in 0..{outputs - 1}")).cast(examples.schema["label"].dataType)
+    return examples.withColumn("label", F.when(F.col("label").between(0, outputs - 1), F.col("label")).otherwise(wrong))
+
+
 def count_single_label(
-    examples: DataFrame, outputs: int, vocabulary_size: int, vocabulary: DataFrame | None = None
+    examples: DataFrame, outputs: int, vocabulary_size: int | None = None, vocabulary: DataFrame | None = None
 ) -> Counts:
-    """Count tokens per class in one pass over the texts (text, label).
+    """Count tokens per class in one pass over the texts (text, label); all tokens unless a size is named.
 
     The table per token is not settled: fitting uses it twice in one job, over one exchange.
     """
+    examples = checked_labels(examples, outputs)
     per_class = settle(token_counts(examples, "text", ("label",)))
     if vocabulary is None:
         totals = per_class.groupBy("token").agg(F.sum("n").alias("n"))
@@ -67,7 +77,7 @@ def count_single_label(
 
 
 def count_multi_label(
-    examples: DataFrame, outputs: int, vocabulary_size: int, vocabulary: DataFrame | None = None
+    examples: DataFrame, outputs: int, vocabulary_size: int | None = None, vocabulary: DataFrame | None = None
 ) -> Counts:
     """Count tokens with and without each label in one pass over the texts (text, labels)."""
 
@@ -77,6 +87,7 @@ def count_multi_label(
         no = [F.count(F.when(~hit, one)) for hit in hits]
         return [F.array(*yes, *no).alias("c"), F.count(one).alias("n")]
 
+    examples = checked_labels(examples, outputs)
     exploded = examples.select("labels", F.explode(tokens("text")).alias("token"))
     per_token = settle(exploded.groupBy("token").agg(*sums(F.lit(1))))
     if vocabulary is None:
@@ -143,14 +154,14 @@ def fit_grid(counts: Counts, smoothings: list[float]) -> Model:
 
 
 def train_single_label(
-    examples: DataFrame, outputs: int, vocabulary_size: int = 30_000, smoothing: float = 1.0,
+    examples: DataFrame, outputs: int, vocabulary_size: int | None = None, smoothing: float = 1.0,
     vocabulary: DataFrame | None = None,
 ) -> Model:
     return fit(count_single_label(examples, outputs, vocabulary_size, vocabulary), smoothing)
 
 
 def train_multi_label(
-    examples: DataFrame, outputs: int, vocabulary_size: int = 30_000, smoothing: float = 1.0,
+    examples: DataFrame, outputs: int, vocabulary_size: int | None = None, smoothing: float = 1.0,
     vocabulary: DataFrame | None = None,
 ) -> Model:
     """One binary output per label, all fitted by the same job."""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from lexiloom.config import SPECIAL_TOKENS
 from lexiloom.functions.text import tokens
+from lexiloom.operators.ordering import dense_index
 from lexiloom.operators.staging import settle
 
 FIRST_ID = max(SPECIAL_TOKENS.values()) + 1
@@ -21,11 +22,10 @@ def token_counts(df: DataFrame, text: str = "text", by: tuple[str, ...] = ()) ->
 
 
 def top_tokens(counts: DataFrame, size: int) -> DataFrame:
-    """The ``size`` most frequent tokens, ties by token.
+    """At least the ``size`` most frequent tokens: all with a count that can still be in the list.
 
-    The lowest count that can still be in the list is found first, from the number of tokens per
-    count; only tokens from there on are sorted, not the long tail of rare ones. ``counts`` is used
-    twice in one job; Spark reuses its exchange, so the texts behind it are read once.
+    The lowest such count is found from the number of tokens per count, so that the long tail of rare ones is not
+    sorted. ``counts`` is used twice in one job; Spark reuses its exchange, so the texts behind it are read once.
     """
     # Distinct counts are few: d of them need at least d * (d - 1) / 2 token occurrences.
     per_count = counts.groupBy("n").agg(F.count(F.lit(1)).alias("_tokens"))
@@ -35,26 +35,27 @@ def top_tokens(counts: DataFrame, size: int) -> DataFrame:
         .where(F.col("_above") < size)
         .agg(F.coalesce(F.min("n"), F.lit(0)).alias("_lowest"))
     )
-    kept = counts.select("token", "n").where(F.col("n") >= lowest.scalar())
-    return kept.orderBy(F.desc("n"), "token").limit(size)
+    return counts.select("token", "n").where(F.col("n") >= lowest.scalar())
 
 
-def vocabulary_of_counts(counts: DataFrame, size: int) -> DataFrame:
-    """(token, id, is_special): reserved tokens, then the most frequent tokens by rank.
+def vocabulary_of_counts(counts: DataFrame, size: int | None) -> DataFrame:
+    """(token, id, is_special): reserved tokens, then the most frequent tokens by rank, ties by token; None keeps all.
 
-    Settled, because everything that encodes with it must see the same ids.
+    Ranks are row numbers over a range partitioning, so no task sees the whole list. Settled, because everything that
+    encodes with it must see the same ids.
     """
-    kept = top_tokens(counts, size)
-    # At most ``size`` rows are left here.
-    rank = F.row_number().over(Window.orderBy(F.desc("n"), "token"))
-    ranked = kept.select("token", (rank + F.lit(FIRST_ID - 1)).cast("int").alias("id"), F.lit(False).alias("is_special"))
+    kept = counts.select("token", "n") if size is None else top_tokens(counts, size)
+    ranked = dense_index(kept.withColumn("_down", -F.col("n")), ["_down", "token"], "_rank")
+    if size is not None:
+        ranked = ranked.where(F.col("_rank") < size)
+    ranked = ranked.select("token", (F.col("_rank") + FIRST_ID).cast("int").alias("id"), F.lit(False).alias("is_special"))
     special = counts.sparkSession.createDataFrame(
         [(token, i, True) for token, i in SPECIAL_TOKENS.items()], "token string, id int, is_special boolean"
     )
     return settle(special.unionByName(ranked))
 
 
-def build_vocabulary(df: DataFrame, size: int, text: str = "text") -> DataFrame:
+def build_vocabulary(df: DataFrame, size: int | None, text: str = "text") -> DataFrame:
     return vocabulary_of_counts(token_counts(df, text), size)
 
 

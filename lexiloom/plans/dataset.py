@@ -9,7 +9,7 @@ from lexiloom.config import (
 )
 from lexiloom.operators import profile
 from lexiloom.operators.evaluate import METRICS, metrics_for
-from lexiloom.operators.runs import append_run, merged, rates, run_row, stored_mb, timed_write
+from lexiloom.operators.runs import append_run, merged, rates, read_runs, run_row, stored_mb, timed_write
 from lexiloom.operators.score import add_logits
 from lexiloom.operators.staging import fresh_path
 from lexiloom.operators.train import train_multi_label, train_single_label
@@ -93,7 +93,7 @@ def train_run(
 
 def choose_run(spark: SparkSession, runs: str, info: Dataset) -> str:
     """The run of this dataset with the greatest f1, the first by name on ties."""
-    table = spark.read.parquet(runs).where(F.col("params.dataset") == info.name)
+    table = read_runs(spark, runs).where(F.col("params.dataset") == info.name)
     best = table.orderBy(F.col("metrics.f1").desc_nulls_last(), "run_id").first()
     if best is None:
         raise ValueError(f"no run of {info.name} at {runs}")

@@ -32,7 +32,7 @@ def single_label_predictions(
 
 
 def train_and_predict(
-    splits: Splits, outputs: int, vocabulary_size: int = 30_000, smoothing: float = 1.0, keep: tuple[str, ...] = ()
+    splits: Splits, outputs: int, vocabulary_size: int | None = None, smoothing: float = 1.0, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """The whole flow: fit on train, predict train and test."""
     model = train_single_label(splits.train, outputs, vocabulary_size, smoothing)
@@ -43,7 +43,8 @@ def score_texts(
     texts: DataFrame, labels: DataFrame, model: Model, text: str = "text", key: str | None = None
 ) -> DataFrame:
     """Label and score of any table of texts, with a ready model."""
-    scored = predicted_label_index(predicted_probability(batch_score(texts, model, text, key)))
+    scored = batch_score(texts, model, text, key)
+    scored = predicted_label_index(predicted_probability(scored.withColumn("probabilities", reject_nan("probabilities"))))
     named = predicted_label(scored, labels, name="label_name")
     return named.select(
         *texts.columns, F.col("label_name"), F.col("predicted_probability").cast("float").alias("score")

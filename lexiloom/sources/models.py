@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from urllib.parse import quote
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import SparkSession, functions as F
 
 from lexiloom.operators.train import BIAS_ID, Model
 
 
+def model_path(path: str, run_id: str) -> str:
+    """Folder of a run's weights; the id is escaped, so any text names a folder of its own."""
+    return f"{path.rstrip('/')}/run_id={quote(run_id, safe='-_.')}"
+
+
 def save_model(model: Model, run_id: str, path: str) -> None:
     """Write a run's weights; an older table of the same run is replaced, other runs are left alone."""
-    model.weights.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_id={run_id}")
+    model.weights.write.mode("overwrite").parquet(model_path(path, run_id))
 
 
 def load_model(spark: SparkSession, path: str, run_id: str, problem_type: str) -> Model:
-    table = spark.read.option("basePath", path).parquet(path)
-    weights = table.where(F.col("run_id") == run_id).select("id", "token", "weights")
+    try:
+        weights = spark.read.parquet(model_path(path, run_id)).select("id", "token", "weights")
+    except AnalysisException as error:
+        raise ValueError(f"run {run_id!r} has no model at {path}") from error
     bias = weights.where(F.col("id") == BIAS_ID).select(F.size("weights")).first()
-    if bias is None:
-        raise ValueError(f"run {run_id!r} has no model at {path}")
     return Model(weights, bias[0], problem_type)

@@ -37,7 +37,7 @@ def load_splits(
     spark: SparkSession,
     name: str | Dataset,
     paths: dict[str, str | list[str]],
-    label_names: list[str] | None = None,
+    label_names: list[str] | DataFrame | None = None,
     fmt: str = "parquet",
     schema: T.StructType | None = None,
     text_col: str | None = None,
@@ -45,7 +45,8 @@ def load_splits(
 ) -> Splits:
     """Load a named dataset as train, test and label tables.
 
-    ``paths`` maps train, test and, for a multi-label dataset, validation to files. A multi-label
+    ``paths`` maps train, test and, if there is one, validation to files; validation rows join train.
+    ``label_names`` are the class names in declared order, or a label table. A multi-label
     source has one boolean column per label besides ``ID`` and the text column.
     """
     info = name if isinstance(name, Dataset) else dataset(name)
@@ -63,13 +64,17 @@ def load_splits(
         return Splits(
             multi_label_pack(train, flags, text_col), multi_label_pack(parts["test"], flags, text_col), labels
         )
-    if not label_names:
+    if label_names is None or isinstance(label_names, list) and not label_names:
         raise ValueError("a single-label dataset needs its class names in declared order")
     renamed = {k: v.withColumnRenamed(text_col, "text") if text_col else v for k, v in parts.items()}
-    labels = spark.createDataFrame(list(enumerate(label_names)), LABELS)
-    return Splits(
-        conform(renamed["train"], SINGLE_LABEL_EXAMPLES), conform(renamed["test"], SINGLE_LABEL_EXAMPLES), labels
-    )
+    if isinstance(label_names, DataFrame):
+        labels = conform(label_names, LABELS)
+    else:
+        labels = spark.createDataFrame(list(enumerate(label_names)), LABELS)
+    train, test = (conform(renamed[split], SINGLE_LABEL_EXAMPLES) for split in ("train", "test"))
+    if "validation" in renamed:
+        train = train.unionByName(conform(renamed["validation"], SINGLE_LABEL_EXAMPLES))
+    return Splits(train, test, labels)
 
 
 def without_scheme(path: str) -> str:
@@ -78,9 +83,12 @@ def without_scheme(path: str) -> str:
 
 
 def table_files(df: DataFrame) -> DataFrame:
-    """Files behind a file-based table, without their scheme, and the rows in each."""
+    """Files behind a file-based table, without their scheme, and the rows in each; files without rows, too."""
     path = F.regexp_replace(F.col("_metadata.file_path"), r"^[a-zA-Z][a-zA-Z0-9+.\-]*:/*", "/")
-    return df.select(path.alias("file_path")).groupBy("file_path").agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = df.select(path.alias("file_path")).groupBy("file_path").agg(F.count(F.lit(1)).alias("n_rows"))
+    # The driver plans a scan with this list anyway.
+    listed = df.sparkSession.createDataFrame([(name,) for name in file_list(df)], "file_path string")
+    return listed.join(counts, "file_path", "left").select("file_path", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
 
 
 def file_list(df: DataFrame) -> list[str]:
