@@ -8,7 +8,8 @@ from lexiloom.operators.prepare import label_dimension, label_to_index, multi_la
 from lexiloom.sources.readers import spread
 
 VOCABULARY = 30_000
-MODEL_VOCABULARY = 20_000
+#: The trainer in epochs hands its weights to every task.
+EPOCH_VOCABULARY = 20_000
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -61,18 +62,26 @@ def flag_examples(spark: SparkSession, sf: str) -> DataFrame:
     return multi_label_pack(flags(spark, sf), ["quality", "toxic"], keep=("ID",)).withColumnRenamed("ID", "doc_id")
 
 
+def by_slot(n: int, shift: int = 0) -> Column:
+    """n sums over a whole vector: value k goes to slot (k + shift) modulo n."""
+    values = F.col("embedding").cast("array<double>")
+
+    def total(slot: Column) -> Column:
+        mine = F.filter(values, lambda _, k: (k + F.lit(shift)) % n == slot)
+        return F.aggregate(mine, F.lit(0.0), lambda acc, x: acc + x)
+
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), total)
+
+
 def logits(spark: SparkSession, sf: str) -> DataFrame:
     """(vec_id, logits, label): raw single-label outputs."""
-    values = F.slice("embedding", 1, 10).cast("array<double>")
-    return table(spark, sf, "embeddings").select("vec_id", values.alias("logits"), F.col("label").cast("long").alias("label"))
+    return table(spark, sf, "embeddings").select("vec_id", by_slot(10).alias("logits"), F.col("label").cast("long").alias("label"))
 
 
 def multi_logits(spark: SparkSession, sf: str) -> DataFrame:
     """(vec_id, logits, labels): raw outputs of 11 labels with their truth."""
-    raw = F.transform(F.slice("embedding", 1, 11), lambda x: x.cast("double") * 10)
-    truth = F.transform(
-        F.slice("embedding", 33, 11), lambda x: F.when(x.cast("double") > 0.1, 1.0).otherwise(0.0).cast("float")
-    )
+    raw = F.transform(by_slot(11), lambda x: x * 10)
+    truth = F.transform(by_slot(11, 3), lambda x: F.when(x > 0.1, 1.0).otherwise(0.0).cast("float"))
     return table(spark, sf, "embeddings").select("vec_id", raw.alias("logits"), truth.alias("labels"))
 
 
@@ -140,13 +149,21 @@ FLAGS = """examples AS (
     [CASE WHEN l.quality = 1 THEN 1.0 ELSE 0.0 END, CASE WHEN l.toxic = 1 THEN 1.0 ELSE 0.0 END] AS labels
   FROM documents d JOIN labels l USING (doc_id))"""
 
-LOGITS = """examples AS (
-  SELECT vec_id, list_transform(embedding[1:10], lambda x: CAST(x AS DOUBLE)) AS logits,
-    CAST(label AS BIGINT) AS label FROM embeddings)"""
 
-MULTI_LOGITS = """examples AS (
-  SELECT vec_id, list_transform(embedding[1:11], lambda x: CAST(x AS DOUBLE) * 10) AS logits,
-    list_transform(embedding[33:43], lambda x: CASE WHEN CAST(x AS DOUBLE) > 0.1 THEN 1.0 ELSE 0.0 END) AS labels
+
+def sql_by_slot(n: int, shift: int = 0) -> str:
+    """The sums of :func:`by_slot`, added in the same order."""
+    return f"""list_transform(range({n}), lambda s: list_reduce(list_prepend(CAST(0 AS DOUBLE), list_transform(
+      list_filter(range(len(embedding)), lambda k: (k + {shift}) % {n} = s), lambda k: CAST(embedding[k + 1] AS DOUBLE))),
+      lambda a, b: a + b))"""
+
+
+LOGITS = f"""examples AS (
+  SELECT vec_id, {sql_by_slot(10)} AS logits, CAST(label AS BIGINT) AS label FROM embeddings)"""
+
+MULTI_LOGITS = f"""examples AS (
+  SELECT vec_id, list_transform({sql_by_slot(11)}, lambda x: x * 10) AS logits,
+    list_transform({sql_by_slot(11, 3)}, lambda x: CASE WHEN x > 0.1 THEN 1.0 ELSE 0.0 END) AS labels
   FROM embeddings)"""
 
 SQL_SOFTMAX = """list_transform(list_transform(logits, lambda x: exp(x - list_max(logits))),
@@ -168,10 +185,10 @@ vocabulary AS (
   UNION ALL SELECT * FROM (VALUES ('[PAD]', 0, true), ('[UNK]', 1, true), ('[CLS]', 2, true), ('[SEP]', 3, true)))"""
 
 
-def encoded_sql(max_length: int, source: str = "documents", key: str = "doc_id") -> str:
+def encoded_sql(max_length: int | None, source: str = "documents", key: str = "doc_id") -> str:
     """(key, input_ids) of every row; needs ``vocabulary``."""
     return f"""kept AS (
-  SELECT {key}, list_slice({TOKENS}, 1, {max_length - 2}) AS tokens FROM {source}),
+  SELECT {key}, {f"list_slice({TOKENS}, 1, {max_length - 2})" if max_length else TOKENS} AS tokens FROM {source}),
 pieces AS (
   SELECT {key}, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM kept),
 found AS (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
-from lexiloom.config import INFERENCE_BATCH, MAX_EPOCHS, SEED, SINGLE_LABEL, TRAIN_BATCH, WEIGHT_DECAY
+from lexiloom.config import INFERENCE_BATCH, SINGLE_LABEL, TRAIN_BATCH
 from lexiloom.operators import decode as dec
 from lexiloom.operators import runs as rn
 from lexiloom.operators.epochs import train_epochs as fit_epochs
@@ -21,15 +21,16 @@ from lexiloom.plans.multi_label import multi_label_predictions as predict_multi
 from lexiloom.plans.single_label import decode_single_label, score_texts, single_label_predictions as predict_single
 from lexiloom.sources.models import save_model
 
-SIZE = fx.MODEL_VOCABULARY
-LANGS = 4
+#: All tokens.
+SIZE = None
+LANG_CLASSES = "SELECT label FROM langs"
 SMOOTHINGS = [0.1, 0.5, 1.0, 2.0]
 
 
 def _lang_model(spark, sf):
     examples, labels = fx.lang_examples(spark, sf)
     train, test = fx.train_test(examples)
-    return train, test, labels, fit_single(train, LANGS, SIZE)
+    return train, test, labels, fit_single(train, labels.count(), SIZE)
 
 
 def _flag_model(spark, sf):
@@ -43,7 +44,7 @@ def flagship(spark, sf):
     return predict_single(train, test, labels, model)
 
 
-def _weight_rows(model, outputs):
+def _weight_rows(model):
     named = F.posexplode("weights").alias("output", "weight")
     return model.weights.select("id", F.coalesce("token", F.lit("")).alias("token"), named).select(
         "id", "token", "output", F.round("weight", 6).alias("weight")
@@ -51,11 +52,11 @@ def _weight_rows(model, outputs):
 
 
 def train_single_label(spark, sf):
-    return _weight_rows(_lang_model(spark, sf)[3], LANGS)
+    return _weight_rows(_lang_model(spark, sf)[3])
 
 
 def train_multi_label(spark, sf):
-    return _weight_rows(_flag_model(spark, sf)[3], 2)
+    return _weight_rows(_flag_model(spark, sf)[3])
 
 
 def linear_single_label(spark, sf):
@@ -69,25 +70,29 @@ def linear_single_label(spark, sf):
 
 def train_epochs(spark, sf):
     """Metrics of the best epoch of a model trained step by step."""
-    train, test = fx.train_test(fx.lang_examples(spark, sf)[0])
-    vocabulary = build_vocabulary(train, SIZE)
-    return rn.best_epoch_metrics(fit_epochs(train, test, vocabulary, LANGS, SINGLE_LABEL, max_epochs=3).log)
+    examples, labels = fx.lang_examples(spark, sf)
+    train, test = fx.train_test(examples)
+    vocabulary = build_vocabulary(train, fx.EPOCH_VOCABULARY)
+    return rn.best_epoch_metrics(fit_epochs(train, test, vocabulary, labels.count(), SINGLE_LABEL).log)
 
 
 def grid_runs(spark, sf):
-    train, test = fx.train_test(fx.lang_examples(spark, sf)[0])
-    metrics = run_grid(count_single_label(train, LANGS, SIZE), test, SMOOTHINGS)
+    examples, labels = fx.lang_examples(spark, sf)
+    train, test = fx.train_test(examples)
+    metrics = run_grid(count_single_label(train, labels.count(), SIZE), test, SMOOTHINGS)
     return metrics.select("smoothing", *[F.round(m, 6).alias(m) for m in ("f1", "precision", "recall")])
 
 
 def run_metrics(spark, sf):
     """Train and score on the documents, timing each write, and report the run."""
-    train, test, labels, _ = _lang_model(spark, sf)
+    examples, labels = fx.lang_examples(spark, sf)
+    train, test = fx.train_test(examples)
+    n_labels = labels.count()
     folder = fresh_path(spark, "run")
     fitted = {}
 
     def fit():
-        fitted["model"] = fit_single(train, LANGS, SIZE)
+        fitted["model"] = fit_single(train, n_labels, SIZE)
         save_model(fitted["model"], "nb", f"{folder}/models")
 
     train_seconds = rn.timed_write(fit)
@@ -104,11 +109,10 @@ def run_metrics(spark, sf):
         {"inference_seconds": round(score_seconds, 2)},
     )
     params = rn.merged(
-        {"dataset": "lang_documents", "num_labels": LANGS, "feature_col": "text"},
-        {"weight_decay": WEIGHT_DECAY, "num_train_epochs": MAX_EPOCHS, "seed": SEED},
+        {"dataset": "lang_documents", "num_labels": n_labels, "feature_col": "text", "smoothing": 1.0},
     )
     rn.append_run(rn.run_row(spark, "nb", params, metrics), f"{folder}/runs")
-    return rn.run_metrics(spark.read.parquet(f"{folder}/runs"))
+    return rn.run_metrics(rn.read_runs(spark, f"{folder}/runs"))
 
 
 def best_epoch_metrics(spark, sf):
@@ -259,14 +263,14 @@ QUERIES = {
 }
 
 
-def _single_sql(examples: str, outputs: int, smoothing: float = 1.0) -> str:
-    """Weights of every class, from ``examples`` (key, text, label, is_train)."""
-    classes = f"classes AS (SELECT range AS label FROM range({outputs}))"
+def _single_sql(examples: str, classes: str, smoothing: float = 1.0) -> str:
+    """Weights of every class of the query ``classes`` (label), from ``examples`` (key, text, label, is_train)."""
+    classes = f"classes AS ({classes})"
     return f"""{examples}, {classes},
 per_class AS (
   SELECT token, label, count(*) AS n FROM (
     SELECT label, unnest({fx.TOKENS}) AS token FROM examples WHERE is_train = 1) GROUP BY ALL),
-words AS (SELECT token, sum(n) AS n FROM per_class GROUP BY token ORDER BY n DESC, token LIMIT {SIZE}),
+words AS (SELECT token, sum(n) AS n FROM per_class GROUP BY token),
 numbered AS (SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + 3 AS INTEGER) AS id FROM words),
 cells AS (
   SELECT id, token, label, coalesce(p.n, 0) AS n
@@ -277,7 +281,7 @@ weights AS (
   FROM cells JOIN totals USING (label)),
 bias AS (
   SELECT label, ln((count(e.label) + {smoothing}) / ((SELECT count(*) FROM examples WHERE is_train = 1)
-    + {smoothing} * {outputs})) AS b
+    + {smoothing} * (SELECT count(*) FROM classes))) AS b
   FROM classes LEFT JOIN (SELECT label FROM examples WHERE is_train = 1) e USING (label) GROUP BY label)"""
 
 
@@ -295,13 +299,13 @@ scored AS (
   FROM (SELECT *, sum(e) OVER (PARTITION BY {keys}) AS t FROM shifted) GROUP BY {keys})"""
 
 
-_LANG_MODEL = _single_sql(fx.LANG, LANGS)
+_LANG_MODEL = _single_sql(fx.LANG, LANG_CLASSES)
 
 _FLAG_MODEL = f"""{fx.FLAGS}, slots AS (SELECT range AS slot FROM range(2)),
 train_rows AS (SELECT slot, CAST(labels[slot + 1] = 1.0 AS INTEGER) AS y, text FROM examples, slots WHERE is_train = 1),
 per_slot AS (SELECT token, slot, y, count(*) AS n FROM (
   SELECT slot, y, unnest({fx.TOKENS}) AS token FROM train_rows) GROUP BY ALL),
-words AS (SELECT token, sum(n) AS n FROM per_slot WHERE slot = 0 GROUP BY token ORDER BY n DESC, token LIMIT {SIZE}),
+words AS (SELECT token, sum(n) AS n FROM per_slot WHERE slot = 0 GROUP BY token),
 numbered AS (SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + 3 AS INTEGER) AS id FROM words),
 cells AS (
   SELECT id, token, slot, y, coalesce(p.n, 0) AS n
@@ -319,7 +323,7 @@ _LANG_SCORED = f"{_LANG_MODEL}, {_scored_sql('doc_id')}"
 
 
 def _hits_sql(smoothing: float) -> str:
-    return f"""(WITH {_single_sql(fx.LANG, LANGS, smoothing)}, {_scored_sql('doc_id')},
+    return f"""(WITH {_single_sql(fx.LANG, LANG_CLASSES, smoothing)}, {_scored_sql('doc_id')},
 first AS (SELECT doc_id, arg_max(output, (x, -output)) AS k FROM raw GROUP BY doc_id)
 SELECT CAST({smoothing} AS DOUBLE) AS smoothing, round(avg(CAST(k = label AS DOUBLE)), 6) AS f1
 FROM examples JOIN first USING (doc_id) WHERE is_train = 0)"""
@@ -409,7 +413,7 @@ SELECT doc_id, text, {fx.sql_decimals('labels')} AS all_label_indxs, is_train,
   {fx.sql_decimals('p')} AS pred_proba_label_indxs, {_indices('above')} AS predicted_label_indxs,
   {_flag_names('above')} AS predicted_labels, {_indices('ones')} AS label_indxs, {_flag_names('ones')} AS labels
 FROM chosen""",
-    "sentiment_score": f"""WITH {_single_sql(_SENTIMENT_EXAMPLES, 2)},
+    "sentiment_score": f"""WITH {_single_sql(_SENTIMENT_EXAMPLES, "SELECT range AS label FROM range(2)")},
 texts AS (
   SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS key, text FROM documents
   UNION ALL SELECT 'turn-' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR), text FROM conversations),

@@ -118,7 +118,7 @@ def padding_cost(spark, sf):
 
 
 def decode(spark, sf):
-    encoded, words = _encoded(spark, sf, SHORT)
+    encoded, words = _encoded(spark, sf, None)
     return enc.decode(encoded, words).select("doc_id", F.array_join("tokens", " ").alias("tokens"))
 
 
@@ -127,7 +127,7 @@ def _positions(spark, sf):
     docs = fx.documents(spark, sf).select("doc_id", "text")
     vectors = fx.table(spark, sf, "embeddings").select(F.col("vec_id").cast("int").alias("id"), F.col("embedding").alias("vector"))
     words = build_vocabulary(docs, 400)
-    return enc.encode(docs, words, max_length=SHORT).select("doc_id", "input_ids"), vectors
+    return enc.encode(docs, words, max_length=None).select("doc_id", "input_ids"), vectors
 
 
 def _summary():
@@ -179,10 +179,11 @@ SELECT probability, {column} FROM ranked JOIN (VALUES {picks}) v(probability)
 
 _VOCABULARY = fx.vocabulary_sql(fx.VOCABULARY)
 _LONG = f"{_VOCABULARY}, {fx.encoded_sql(MAX_LENGTH)}"
+_WHOLE = f"{_VOCABULARY}, {fx.encoded_sql(None)}"
 _CUT = f"{_VOCABULARY}, {fx.encoded_sql(SHORT)}"
 _GROUPS = f"{_LONG}, hist AS (SELECT CAST(len(input_ids) AS INTEGER) AS encoded_length, count(*) AS n_rows FROM encoded GROUP BY 1)"
 _PAD = f"list_concat(input_ids, list_resize(CAST([] AS INTEGER[]), {SHORT} - len(input_ids), 0))"
-_POSITIONS = f"""{fx.vocabulary_sql(400)}, {fx.encoded_sql(SHORT)},
+_POSITIONS = f"""{fx.vocabulary_sql(400)}, {fx.encoded_sql(None)},
 positions AS (
   SELECT p.doc_id, CAST(p.pos AS INTEGER) AS pos, p.id, CAST(len(e.embedding) AS INTEGER) AS dimension,
     CAST(e.embedding[1] AS DOUBLE) AS first_value, CAST(e.embedding[64] AS DOUBLE) AS last_value
@@ -238,7 +239,7 @@ SELECT doc_id, n_ids, idx, idx // {TRAIN_BATCH} AS batch FROM numbered""",
 SELECT 'fixed' AS strategy, CAST(n AS BIGINT) AS real, CAST(c * {MAX_LENGTH} AS BIGINT) AS padded FROM total
 UNION ALL SELECT 'dynamic', CAST(n AS BIGINT), CAST(({_padded('doc_id')}) AS BIGINT) FROM total
 UNION ALL SELECT 'by_length', CAST(n AS BIGINT), CAST(({_padded('len(input_ids), doc_id')}) AS BIGINT) FROM total""",
-    "decode": f"""WITH {_CUT},
+    "decode": f"""WITH {_WHOLE},
 ids AS (SELECT doc_id, unnest(input_ids) AS id, generate_subscripts(input_ids, 1) AS pos FROM encoded)
 SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS tokens FROM ids JOIN vocabulary USING (id) GROUP BY doc_id""",
     "token_vectors": f"WITH {_POSITIONS} SELECT doc_id, pos, id, dimension, first_value, last_value FROM positions",
