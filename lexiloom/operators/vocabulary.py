@@ -21,7 +21,7 @@ def token_counts(df: DataFrame, text: str = "text", by: tuple[str, ...] = ()) ->
     return exploded.groupBy("token", *by).agg(F.count(F.lit(1)).alias("n"))
 
 
-def top_tokens(counts: DataFrame, size: int) -> DataFrame:
+def likely_tokens(counts: DataFrame, size: int) -> DataFrame:
     """At least the ``size`` most frequent tokens: all with a count that can still be in the list.
 
     The lowest such count is found from the number of tokens per count, so that the long tail of rare ones is not
@@ -44,7 +44,7 @@ def vocabulary_of_counts(counts: DataFrame, size: int | None) -> DataFrame:
     Ranks are row numbers over a range partitioning, so no task sees the whole list. Settled, because everything that
     encodes with it must see the same ids.
     """
-    kept = counts.select("token", "n") if size is None else top_tokens(counts, size)
+    kept = counts.select("token", "n") if size is None else likely_tokens(counts, size)
     ranked = dense_index(kept.withColumn("_down", -F.col("n")), ["_down", "token"], "_rank")
     if size is not None:
         ranked = ranked.where(F.col("_rank") < size)
