@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
-from lexiloom.config import SINGLE_LABEL, Dataset
+from lexiloom.config import MULTI_LABEL, SINGLE_LABEL, Dataset
 from lexiloom.operators import prepare
 from lexiloom.operators.staging import fresh_path
+from lexiloom.schemas import NAMED_EXAMPLES, conform
 from lexiloom.sources import readers, writers
 
 
@@ -22,7 +23,7 @@ def load_splits(spark, sf):
         spark,
         Dataset("lang_documents", len(names), SINGLE_LABEL),
         {"train": f"{folder}/train", "test": f"{folder}/test"},
-        label_names=names,
+        label_names=labels.select("idx", "label"),
     )
     parts = [
         df.select(F.lit(split).alias("split"), "text", "label")
@@ -32,6 +33,30 @@ def load_splits(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(named)
 
 
+def load_splits_multi_label(spark, sf):
+    """Wide boolean sources in three files; validation rows join train."""
+    flags = fx.flags(spark, sf)
+    folder = fresh_path(spark, "flags")
+    for split in ("train", "validation", "test"):
+        flags.where(fx.split_of(F.col("ID")) == split).write.parquet(f"{folder}/{split}")
+    paths = {split: f"{folder}/{split}" for split in ("train", "validation", "test")}
+    splits = readers.load_splits(spark, Dataset("flag_documents", 2, MULTI_LABEL), paths)
+    parts = [
+        df.select(F.lit(split).alias("split"), "text", fx.ints("labels").alias("labels"))
+        for split, df in (("train", splits.train), ("test", splits.test))
+    ]
+    named = splits.labels.select(
+        F.lit("labels").alias("split"), F.col("label").alias("text"), F.col("idx").cast("string").alias("labels")
+    )
+    return parts[0].unionByName(parts[1]).unionByName(named)
+
+
+def named_examples(spark, sf):
+    """Examples with the name beside the index, in the schema of the denormalised table."""
+    examples, labels = fx.lang_examples(spark, sf)
+    return conform(prepare.attach_label_name(examples, labels, "label", "label_name"), NAMED_EXAMPLES, ("doc_id",))
+
+
 def read_table(spark, sf):
     return readers.read_table(spark, f"{sf}/documents.parquet")
 
@@ -131,7 +156,7 @@ def merge_all_splits(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        load_splits, read_table, table_files, save_table, replace_table, preview, single_label_examples,
+        load_splits, load_splits_multi_label, named_examples, read_table, table_files, save_table, replace_table, preview, single_label_examples,
         multi_label_pack, label_dimension, rename_prune, split_flag, split_filter, shuffle_rows,
         attach_label_name, label_to_index, union_train_test, merge_validation, merge_all_splits,
     )
@@ -143,6 +168,11 @@ ORACLES = {
     "load_splits": f"""WITH {fx.LANG}
 SELECT CASE is_train WHEN 1 THEN 'train' ELSE 'test' END AS split, text, label FROM examples
 UNION ALL SELECT 'labels', lang, label FROM langs""",
+    "load_splits_multi_label": f"""WITH {fx.FLAGS}
+SELECT CASE is_train WHEN 1 THEN 'train' ELSE 'test' END AS split, text,
+  array_to_string(list_transform(labels, lambda x: printf('%.1f', x)), ',') AS labels FROM examples
+UNION ALL SELECT * FROM (VALUES ('labels', 'quality', '0'), ('labels', 'toxic', '1'))""",
+    "named_examples": f"WITH {fx.LANG} SELECT doc_id, text, label, lang AS label_name FROM examples",
     "read_table": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "table_files": "SELECT 'documents.parquet' AS file_name, count(*) AS n_rows FROM documents",
     "save_table": _ROWS,

@@ -8,6 +8,7 @@ from lexiloom.config import BROADCAST_BYTES, END_ID, MAX_LENGTH, PAD_ID, START_I
 from lexiloom.functions.text import tokens
 from lexiloom.operators.lookup import find, hash_buckets, lookup_join, positions_of, with_value
 from lexiloom.operators.ordering import dense_index
+from lexiloom.operators.staging import settle
 from lexiloom.operators.vocabulary import words
 
 _MASK = "attention_mask"
@@ -135,17 +136,31 @@ def padding_cost(
 ) -> DataFrame:
     """Real and padded positions under fixed, dynamic and length-grouped padding.
 
-    Needs the encoded lengths only, not the ids.
+    Needs the encoded lengths only, not the ids, and reads the texts once. Fixed and length-grouped padding follow from
+    the number of rows of each length; only dynamic padding numbers rows.
     """
-    lengths = df.select(key, F.col(length).cast("long").alias("n"))
-    fixed = lengths.agg(F.sum("n").alias("real"), (F.count(F.lit(1)) * F.lit(max_length)).alias("padded"))
-    costs = fixed.select(F.lit("fixed").alias("strategy"), "real", "padded")
-    for strategy, order in (("dynamic", [key]), ("by_length", ["n", key])):
-        batches = (
-            assign_batches(lengths, order, batch_size)
-            .groupBy("batch")
-            .agg(F.sum("n").alias("_real"), (F.max("n") * F.count(F.lit(1))).alias("_padded"))
-        )
-        total = batches.agg(F.sum("_real").alias("real"), F.sum("_padded").alias("padded"))
-        costs = costs.unionByName(total.select(F.lit(strategy).alias("strategy"), "real", "padded"))
-    return costs
+    lengths = settle(df.select(key, F.col(length).cast("long").alias("n")))
+    # One row per distinct length, of which there are at most ``max_length``.
+    histogram = lengths.groupBy("n").agg(F.count(F.lit(1)).alias("c"))
+    end = F.sum("c").over(Window.orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    size = F.lit(batch_size).cast("long")
+    # A batch is as long as its last row; the batches that end among the rows of a length have that length.
+    last = F.floor(F.col("end") / size) - F.floor((F.col("end") - F.col("c")) / size)
+    real = F.sum(F.col("n") * F.col("c")).alias("real")
+    both = histogram.withColumn("end", end).agg(
+        real,
+        (F.sum("c") * F.lit(max_length)).alias("fixed"),
+        (F.sum(F.col("n") * size * last) + F.coalesce(F.max("n"), F.lit(0)) * (F.max("end") % size)).alias("by_length"),
+    )
+    batches = (
+        assign_batches(lengths, [key], batch_size)
+        .groupBy("batch")
+        .agg(F.sum("n").alias("_real"), (F.max("n") * F.count(F.lit(1))).alias("_padded"))
+    )
+    dynamic = batches.agg(F.sum("_real").alias("real"), F.sum("_padded").alias("padded"))
+    costs = both.select("real", F.inline(F.array(*[
+        F.struct(F.lit(name).alias("strategy"), F.col(name).alias("padded")) for name in ("fixed", "by_length")
+    ])))
+    return costs.unionByName(dynamic.select(F.lit("dynamic").alias("strategy"), "real", "padded")).select(
+        "strategy", "real", "padded"
+    )
