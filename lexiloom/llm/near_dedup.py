@@ -4,12 +4,14 @@ A document's set holds the 64-bit hashes of its distinct shingles of words (the
 Documents with equal sets form a class that is represented by its smallest id; only representatives go on.
 
 1. A signature has one minimum for each of many universal hash functions. Bands of it are bucket keys.
-2. Each bucket links its members to its smallest one (a star, so the pairs grow with the members). Pairs whose
-   signatures agree too little are left out; the rest are confirmed on the full sets.
-3. Components of the confirmed links are found. Only buckets whose members lie in several components can still hold a
-   link that matters. Their members are dealt into blocks by a hash, and blocks meet each other block of the bucket
-   once: a block compares signatures in memory and passes on only pairs of different components that agree enough.
-   These are confirmed on the full sets, too, and components are found again.
+2. Rounds of stars: each bucket whose members lie in several components so far picks a pivot (the smallest member first,
+   then another one by a hash), which is paired with the members of other components. Pairs whose signatures agree too
+   little are left out; the rest (in later rounds, the likeliest pair of each member) are confirmed on the full sets, and
+   components grow. Pairs grow with the members of a bucket, not with their square.
+3. Only buckets whose members still lie in several components can hold a link that matters. Their members are dealt into
+   blocks by a hash, and two blocks of a bucket meet once, with their full sets: members of different components whose
+   signatures agree enough are confirmed right there, each pair in the first bucket that it shares. Only links that join
+   two components leave a block.
 
 The chance that a pair at the threshold shares no band is (1 - t^rows)^bands, about 1e-6; that its signatures agree too
 little is below 1e-6.
@@ -27,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from lexiloom.llm.common import append_columns, shingle_hashes, stored, word_hashes
+from lexiloom.llm.common import append_columns, shingle_hashes, small, stored, word_hashes
 from lexiloom.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -36,8 +38,11 @@ THRESHOLD = 75
 BANDS = 50
 BAND_ROWS = 5
 #: Least share of equal minima; lower ones come from a pair at the threshold with a chance below 1e-6.
-LEAST_AGREEMENT = 0.60
-BLOCK_MEMBERS = 512
+LEAST_AGREEMENT = 0.62
+#: Rounds of stars before blocks meet.
+ROUNDS = 2
+#: Members of a block, and bytes of their sets, about.
+BLOCK_MEMBERS, BLOCK_BYTES = 512, 8_000_000
 
 SIGNED = T.StructType(
     [
@@ -118,38 +123,47 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
         linked = []
         for x, y in zip(*lists, strict=True):
-            one, two = of(x), of(y)
-            both = len(np.intersect1d(one, two, assume_unique=True))
-            linked.append(both > 0 and 100 * both >= THRESHOLD * (len(one) + len(two) - both))
+            linked.append(_similar(of(x), of(y)))
         return [linked]
 
     outputs = T.StructType([T.StructField("linked", T.BooleanType())])
     return append_columns(rows, ["text_a", "text_b"], outputs, check).where("linked").select("a", "b")
 
 
-def _alike(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Those of ``pairs`` whose signatures agree enough to be worth a full check."""
-    rows = pairs.join(sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sketch_b")), "b").join(
-        sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sketch_a")), "a"
-    )
+AGREEMENT = T.StructType([T.StructField("agreement", T.DoubleType())])
+
+
+def _agreed(rows: DataFrame) -> DataFrame:
+    """Those of ``rows`` (sketch_a, sketch_b, ...) whose signatures agree enough to be worth a full check."""
 
     def check(lists: list[list]) -> list[list]:
         one, two = (np.frombuffer(b"".join(x), dtype=np.uint8).reshape(len(x), -1) for x in lists)
-        return [(_agreement(one, two) >= LEAST_AGREEMENT).tolist()]
+        return [_agreement(one, two).tolist()]
+
+    rows = append_columns(rows, ["sketch_a", "sketch_b"], AGREEMENT, check, 2048)
+    return rows.where(F.col("agreement") >= LEAST_AGREEMENT).drop("sketch_a", "sketch_b")
+
+
+def _similar(one: np.ndarray, two: np.ndarray) -> bool:
+    both = len(np.intersect1d(one, two, assume_unique=True))
+    return both > 0 and 100 * both >= THRESHOLD * (len(one) + len(two) - both)
+
 
-    outputs = T.StructType([T.StructField("alike", T.BooleanType())])
-    return append_columns(rows, ["sketch_a", "sketch_b"], outputs, check, 2048).where("alike").select("a", "b")
+def _root(parents: dict[int, int], node: int) -> int:
+    while node in parents:
+        node = parents[node]
+    return node
 
 
-def _block_pairs(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of one bucket, from different components, whose signatures agree enough.
+def _block_links(members: DataFrame) -> DataFrame:
+    """Links (a, b) between components, among the members of each bucket.
 
-    ``members``: key, id, component, sketch, blocks (number of blocks of the bucket).
+    ``members``: key, id, component, sketch, bands, hashes (the full set), blocks (number of blocks of the bucket).
     """
     packed = (
         members.withColumn("block", F.expr("pmod(xxhash64(id), blocks)"))
         .groupBy("key", "blocks", "block")
-        .agg(F.collect_list(F.struct("id", "component", "block", "sketch")).alias("members"))
+        .agg(F.collect_list(F.struct("id", "component", "block", "sketch", "bands", "hashes")).alias("members"))
     )
     # Two blocks meet once, under the pair of their numbers; a block also meets itself.
     others = "transform(sequence(0L, blocks - 1), x -> struct(least(x, block) as i, greatest(x, block) as j))"
@@ -157,37 +171,80 @@ def _block_pairs(members: DataFrame) -> DataFrame:
         packed.withColumn("meeting", F.explode(F.expr(others)))
         .groupBy("key", "meeting")
         .agg(F.flatten(F.collect_list("members")).alias("members"))
-        .select("members", F.expr("meeting.i = meeting.j").alias("own"))
+        .select("key", "members", F.expr("meeting.i = meeting.j").alias("own"))
     )
 
+    def links_of(key: int, row: list[dict], own: bool) -> list[tuple[int, int]]:
+        ids, kinds, blocks = (np.array([x[name] for x in row]) for name in ("id", "component", "block"))
+        bits = np.frombuffer(b"".join(x["sketch"] for x in row), dtype=np.uint8).reshape(len(row), -1)
+        bands = np.array([x["bands"] for x in row])
+        sets = [np.frombuffer(x["hashes"], dtype=np.uint64) for x in row]
+        sizes = np.array([len(x) for x in sets])
+        parents: dict[int, int] = {}
+        found = []
+        for at in range(len(row) - 1):
+            other = kinds[at + 1 :] != kinds[at]
+            if not own:
+                other &= blocks[at + 1 :] != blocks[at]
+            # Sets of too different sizes cannot be similar.
+            low, high = np.minimum(sizes[at + 1 :], sizes[at]), np.maximum(sizes[at + 1 :], sizes[at])
+            rest = np.flatnonzero(other & (100 * low >= THRESHOLD * high)) + at + 1
+            if not len(rest):
+                continue
+            rest = rest[_agreement(bits[at], bits[rest]) >= LEAST_AGREEMENT]
+            first = (bands[rest] == bands[at]).argmax(axis=1)
+            for i in rest[bands[at][first] == key].tolist():
+                one, two = _root(parents, int(kinds[at])), _root(parents, int(kinds[i]))
+                if one != two and _similar(sets[at], sets[i]):
+                    parents[max(one, two)] = min(one, two)
+                    found.append((min(ids[at], ids[i]), max(ids[at], ids[i])))
+        return found
+
     def compare(batches):
         for batch in batches:
-            for row, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids, kinds, blocks = (np.array([x[name] for x in row]) for name in ("id", "component", "block"))
-                bits = np.frombuffer(b"".join(x["sketch"] for x in row), dtype=np.uint8).reshape(len(row), -1)
-                found: list[tuple[int, int]] = []
-                for at in range(len(row) - 1):
-                    other = kinds[at + 1 :] != kinds[at]
-                    if not own:
-                        other &= blocks[at + 1 :] != blocks[at]
-                    rest = np.flatnonzero(other) + at + 1
-                    if len(rest):
-                        near = rest[_agreement(bits[at], bits[rest]) >= LEAST_AGREEMENT]
-                        found += [(min(ids[at], ids[i]), max(ids[at], ids[i])) for i in near]
-                if found:
+            for at in range(batch.num_rows):
+                key, row, own = (column[at].as_py() for column in batch.columns)
+                if found := links_of(key, row, own):
                     a, b = zip(*found, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return met.mapInArrow(compare, "a long, b long").distinct()
 
 
-def _texts_of(pairs: DataFrame, source: DataFrame, repeats: bool) -> DataFrame:
-    """id and text of the documents in ``pairs``; each text of an id once."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = source.join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text").where("text is not null")
-    if repeats:
-        texts = texts.groupBy("id", F.xxhash64("text"), F.md5("text")).agg(F.first("text").alias("text"))
-    return texts.select("id", "text")
+class _Links:
+    """Components of the links confirmed so far; new links are merged between components."""
+
+    def __init__(self, texts: DataFrame, links: DataFrame | None):
+        self.texts = texts
+        self.found: DataFrame | None = None
+        if links is not None:
+            self.add(links)
+
+    def add(self, links: DataFrame) -> None:
+        if self.found is None:
+            self.found = stored(components(links.select("a", "b")), "components")
+            return
+        links = stored(links.select("a", "b"), "links")
+        ends = self.component_of(self.component_of(links, "a", "u"), "b", "v")
+        # Few edges: one for each pair of components that a new link joins.
+        merged = components(ends.where("u <> v").select("u", "v").distinct())
+        merged = merged.select(F.col("node").alias("component"), F.col("component").alias("_merged"))
+        new = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(self.found, "node", "left_anti")
+        known = self.found.union(new.select("node", F.col("node").alias("component")))
+        known = known.join(merged, "component", "left")
+        self.found = stored(known.select("node", F.coalesce("_merged", "component").alias("component")), "components")
+
+    def component_of(self, rows: DataFrame, column: str, name: str) -> DataFrame:
+        """``rows`` with the component of an id column; an id without links is its own."""
+        if self.found is None:
+            return rows.withColumn(name, F.col(column))
+        known = self.found.select(F.col("node").alias(column), F.col("component").alias("_known"))
+        return rows.join(known, column, "left").withColumn(name, F.coalesce("_known", column)).drop("_known")
+
+    def confirm(self, pairs: DataFrame) -> None:
+        """Check ``pairs`` (a, b; stored) on the full sets and extend the components."""
+        ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+        self.add(_verified(pairs, self.texts.join(small(ids), "id", "left_semi")))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -198,7 +255,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # Equal sets have equal signatures, so any row of a class will do.
     classes = stored(
         known.groupBy("set_hash").agg(
-            F.min("doc_id").alias("id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
+            F.min("doc_id").alias("id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
+            F.first("n_shingles").alias("n_shingles"),
         ),
         "classes",
     )
@@ -208,40 +266,59 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .where("n > 1"),
         "repeated",
     )
-    repeats = not repeated.isEmpty()
-
-    sketches, keys = classes.select("id", "sketch"), classes.select("id", F.explode("bands").alias("key"))
-    buckets = stored(
-        keys.groupBy("key").agg(F.min("id").alias("a"), F.count("id").alias("n")).where("n > 1"), "buckets"
-    )
-    members = stored(keys.join(buckets, "key").where("id <> a"), "members")
-    stars = stored(_alike(members.select("a", F.col("id").alias("b")).distinct(), sketches), "stars")
-    links = _verified(stars, _texts_of(stars, source, repeats))
-    if repeats:
-        # Sets of one document belong together.
+    keys = classes.select("id", F.explode("bands").alias("key"))
+    crowded = keys.groupBy("key").agg(F.min("id").alias("pivot"), F.count("id").alias("n")).where("n > 1").drop("n")
+    members = stored(keys.join(crowded, "key"), "members")
+
+    ids = stored(members.select("id").distinct(), "ids")
+    texts = source.where("text is not null").withColumnRenamed("doc_id", "id").join(small(ids), "id", "left_semi")
+    own = None
+    if not repeated.isEmpty():
+        # Each text of an id once; the sets of one document belong together.
+        texts = texts.groupBy("id", F.xxhash64("text"), F.md5("text")).agg(F.first("text").alias("text"))
         several = repeated.where("low <> high").select("doc_id")
         own = known.join(several, "doc_id", "left_semi").join(classes.select("set_hash", "id"), "set_hash")
-        links = links.union(own.select(F.col("id").alias("a"), F.col("doc_id").alias("b")))
-    links = stored(links.distinct(), "links")
-    found = stored(components(links), "components")
-
-    # The smallest member of a bucket has met all others. Where these lie in several components, they meet in blocks.
-    others = members.where("n > 2").join(found.withColumnRenamed("node", "id"), "id", "left")
-    others = others.withColumn("component", F.coalesce("component", "id"))
-    open_keys = (
-        others.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"))
-        .where("low < high")
-        .select("key", F.expr(f"cast(ceil(size / {BLOCK_MEMBERS}) as long)").alias("blocks"))
-    )
-    open_members = others.join(open_keys, "key").join(sketches, "id").select("key", "id", "component", "sketch", "blocks")
-    crossing = stored(_block_pairs(open_members), "crossing")
-    if not crossing.isEmpty():
-        more = _verified(crossing, _texts_of(crossing, source, repeats))
-        found = stored(components(links.union(more.select("a", "b"))), "components")
-
-    named = classes.select("set_hash", "id").join(found.withColumnRenamed("node", "id"), "id", "left")
-    named = named.select("set_hash", F.coalesce("component", "id").alias("component_id"))
+        own = own.select(F.col("id").alias("a"), F.col("doc_id").alias("b")).where("a <> b").distinct()
+    state = _Links(stored(texts.select("id", "text"), "texts"), own)
+
+    sketches = classes.select("id", "sketch")
+    if ROUNDS:
+        pairs = members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+        pairs = pairs.join(sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sketch_b")), "b")
+        pairs = pairs.join(sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sketch_a")), "a")
+        state.confirm(stored(_agreed(pairs).select("a", "b"), "pairs"))
+    for number in range(1, ROUNDS):
+        placed = state.component_of(members.select("key", "id"), "id", "component")
+        pivot = F.min_by(F.struct("id", "component"), F.xxhash64("id", "key", F.lit(number))).alias("pivot")
+        open_keys = placed.groupBy("key").agg(pivot, F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key", "pivot")
+        members = stored(placed.join(open_keys, "key"), "members")
+        pairs = members.where("component <> pivot.component").select("id", F.col("pivot.id").alias("other")).distinct()
+        pairs = pairs.join(sketches.withColumnRenamed("sketch", "sketch_a"), "id")
+        pairs = pairs.join(sketches.select(F.col("id").alias("other"), F.col("sketch").alias("sketch_b")), "other")
+        best = _agreed(pairs).groupBy("id").agg(F.max(F.struct("agreement", "other")).alias("best"))
+        best = stored(best.select(F.least("id", "best.other").alias("a"), F.greatest("id", "best.other").alias("b")).distinct(), "pairs")
+        if not best.isEmpty():
+            state.confirm(best)
+
+    placed = state.component_of(members.select("key", "id"), "id", "component")
+    weights = classes.select("id", "n_shingles", "sketch", "bands")
+    ends = F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")
+    # As many blocks as their members and the bytes of their sets ask for.
+    blocks = f"cast(greatest(ceil(size / {BLOCK_MEMBERS}), ceil(bytes / {BLOCK_BYTES})) as long) as blocks"
+    sized = placed.join(weights.select("id", "n_shingles"), "id")
+    open_keys = sized.groupBy("key").agg(*ends, F.sum(8 * F.col("n_shingles")).alias("bytes")).where("low < high")
+    open_members = stored(placed.join(open_keys.selectExpr("key", blocks), "key"), "members")
+    if not open_members.isEmpty():
+        ids = stored(open_members.select("id").distinct(), "ids")
+        hashes = T.StructType([T.StructField("hashes", T.BinaryType())])
+        full = append_columns(
+            state.texts.join(small(ids), "id", "left_semi"),
+            ["text"], hashes, lambda lists: [[shingle_set(text).tobytes() for text in lists[0]]],
+        ).drop("text")
+        rows = open_members.join(weights.drop("n_shingles").join(full, "id"), "id")
+        state.add(_block_links(rows.select("key", "id", "component", "sketch", "bands", "hashes", "blocks")))
+
+    named = state.component_of(classes.select("set_hash", "id"), "id", "component_id").select("set_hash", "component_id")
     return (
         signed.select("doc_id", "n_shingles", "set_hash")
         .join(named, "set_hash", "left")
