@@ -2,10 +2,12 @@
 
 The events of the standard library's parser are read once per page. They give lines, one per block of text, each with its
 text-to-tag ratio: the characters of the block over its tags. The ratios are smoothed with a Gaussian along the page and
-split by two-means clustering; lines of the upper cluster are content. The content region is the smallest container that
-holds nearly all content characters, widened to the article or main element it lies in. All blocks of the region are
-returned in page order, short ones too; elements that are no article text by their name, role, class or id (menus, headers,
-footers, sidebars, notices, adverts, forms, scripts, styles, reader comments) are left out wherever they are.
+split by two-means clustering; lines of the upper cluster are content, and so are all others with text outside links: only
+blocks of nothing but links are left to the clustering. If the smallest container with nearly all characters of the upper
+cluster lies in an article or main element, that element is the content region; else it is the smallest container of all
+content, so that no text is left beside it. All blocks of the region are returned in page order, short ones too; elements
+that are no article text by their name, role, class or id (menus, headers, footers, sidebars, notices, adverts, forms,
+scripts, styles, reader comments) are left out wherever they are.
 
 Character references are decoded, white space in a block becomes one space, blocks are joined by line breaks. Null, empty
 or textless pages give an empty text. Tags may be unclosed and pages may end anywhere. Rows are handled one by one.
@@ -48,22 +50,23 @@ REGION_SHARE = 0.8
 
 
 class _Lines(HTMLParser):
-    """Lines (text, tags, path of container numbers) of a page."""
+    """Lines (text, tags, path of container numbers, whether there is text outside links) of a page."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, int, bool]] = []  # name, number, left out
         self.names: list[str] = []
-        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
+        self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
         self.text: list[str] = []
         self.tags = 0
+        self.plain = False
 
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
             path = tuple(number for name, number, _ in self.stack if name in CONTAINERS)
-            self.lines.append((text, max(self.tags, 1), path))
-        self.text, self.tags = [], 0
+            self.lines.append((text, max(self.tags, 1), path, self.plain))
+        self.text, self.tags, self.plain = [], 0, False
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in INLINE:
@@ -110,6 +113,8 @@ class _Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not (self.stack and self.stack[-1][2]):
             self.text.append(data)
+            if not self.plain and not any(name == "a" for name, _, _ in self.stack):
+                self.plain = any(c.isalnum() for c in data)
 
 
 def _content(ratios: np.ndarray) -> np.ndarray:
@@ -142,23 +147,30 @@ def main_text(html: str | None) -> str:
     lines = parser.lines
     if not lines:
         return ""
-    chosen = _content(np.array([len(text) / tags for text, tags, _ in lines], dtype=float))
+    upper = _content(np.array([len(text) / tags for text, tags, _, _ in lines], dtype=float))
+    region = _marked_region(parser, upper)
+    if region is None:
+        paths = [path for (_, _, path, plain), is_upper in zip(lines, upper, strict=True) if plain or is_upper]
+        shared = [numbers[0] for numbers in zip(*paths, strict=False) if len(set(numbers)) == 1]
+        region = shared[-1] if shared else None
+    return "\n".join(text for text, _, path, _ in lines if region is None or region in path)
+
+
+def _marked_region(parser: _Lines, upper: np.ndarray) -> int | None:
+    """The article or main element around the container with nearly all characters of the upper cluster."""
     weights: dict[int, int] = {}
-    for (text, _, path), content in zip(lines, chosen, strict=True):
-        if content:
+    total = 0
+    for (text, _, path, _), is_upper in zip(parser.lines, upper, strict=True):
+        if is_upper:
+            total += len(text)
             for number in path:
                 weights[number] = weights.get(number, 0) + len(text)
-    total = sum(len(text) for (text, _, _), content in zip(lines, chosen, strict=True) if content)
-    region = max((n for n, w in weights.items() if w >= REGION_SHARE * total), default=None)
-    if region is not None:
-        path = next(path for _, _, path in lines if region in path)
-        above = path[: path.index(region) + 1]
-        for name in ("article", "main"):
-            wider = [n for n in above if parser.names[n] == name]
-            if wider:
-                region = wider[0]
-                break
-    return "\n".join(text for text, _, path in lines if region is None or region in path)
+    inner = max((n for n, w in weights.items() if w >= REGION_SHARE * total), default=None)
+    if inner is None:
+        return None
+    path = next(path for _, _, path, _ in parser.lines if inner in path)
+    above = path[: path.index(inner) + 1]
+    return next((n for name in ("article", "main") for n in above if parser.names[n] == name), None)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -42,6 +42,18 @@ def test_region_without_an_article_element():
     assert html_text.main_text(html) == f"Head\n{text.strip()}\nShort.\n{text.strip()}"
 
 
+def test_text_beside_the_dominant_container():
+    text = lambda n: ("A sentence of the text. " * (n // 24 + 1)).strip()
+    intro, long, end = text(200), text(3_000), "The end of the text, which is short."
+    links = "<ul><li><a href=1>one</a></li> <li><a href=2>two</a> | <a href=3>three</a></li></ul>"
+    for inner in ("section", "blockquote", "div", "center"):
+        around = f"<p>{intro}</p><{inner}><p>{long}</p></{inner}><p>{end}</p>"
+        assert html_text.main_text(f"<body>{MENU}<div>{around}</div>{links}</body>") == f"{intro}\n{long}\n{end}"
+    body = f"<div><p>{intro}</p><div>" + f"<p>{text(900)}</p>" * 4 + f"</div><p>{end}</p></div>"
+    assert html_text.main_text(f"<body>{body}{JUNK[5]}</body>") == "\n".join([intro, *[text(900)] * 4, end])
+    assert html_text.main_text(f"<p>{end}</p><div><p>{long}</p></div><p>{end}") == f"{end}\n{long}\n{end}"
+
+
 def test_odd_pages(spark):
     long = "<p>" + "long text " * 50_000
     rows = [(1, None, None), (2, "u", ""), (3, "u", "<p"), (4, None, "&am"), (5, "u", "</p></div>plain &amp"), (6, "u", long), (None, "u", "<nav>x</nav>"), (2, "u", "")]
