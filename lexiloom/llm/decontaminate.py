@@ -8,9 +8,16 @@ text are left out.
 
 A fingerprint is cut into four blocks of 16 bits. Two fingerprints within ``RADIUS`` = 11 bits have a block that differs
 in two bits at most (else they would differ in 4 * 3 = 12), so looking a window's blocks up in a table of all item blocks
-with up to two bits changed finds every item within the radius. Candidates are then confirmed exactly: the weighted
-similarity of their five-word shingles (each weighted by its number of occurrences; the whole sequence if shorter), the
-sum of the smaller weights over the sum of the greater ones, must be at least ``THRESHOLD``.
+with up to two bits changed finds every item within the radius.
+
+A run of changed words can take a similar window beyond the radius, so parts of the items, laid end to end, have fingerprints
+too. A window of the full size that is similar enough lacks at most a seventh of the item's shingles. A changed run of r
+words takes r + 4 of them, or r at an end of the item, so with parts of ``PART_WORDS`` words (a third of short items) some
+part of every such window is unchanged and has an equal fingerprint. All windows that reach over such a part are candidates.
+
+Candidates are then confirmed exactly: the weighted similarity of their five-word shingles (each weighted by its number of
+occurrences; the whole sequence if shorter), the sum of the smaller weights over the sum of the greater ones, must be at
+least ``THRESHOLD``. The distance of a window is that of its fingerprint; if a part led to it, it can exceed the radius.
 
 The items are handled in slices of a bounded size, which go along with the tasks; more items mean more passes over the
 documents. Items without words are not searched. Null or empty texts contain nothing. Repeated rows are judged one by one,
@@ -38,6 +45,10 @@ SLICE_ITEMS = 2_000
 SLICE_WORDS = 200_000
 #: Ratio of neighbouring window sizes.
 SIZE_RATIO = 1.35
+#: Words of a part of an item, and of a part of the smallest items that have parts. Smaller ones must be met unchanged.
+PART_WORDS, LEAST_PART_WORDS = 12, 3
+#: Candidates that are made of parts at a time, unless one stretch of text has more.
+CANDIDATES = 1_000_000
 #: Words of one run of fingerprints, unless a single text has more.
 RUN_WORDS = 32_768
 #: Bits of the table that tells which shingles may belong to an item.
@@ -166,6 +177,99 @@ class Blocks:
         return start[once], member[once], distance[once].astype(np.int64)
 
 
+def part_size(size: int) -> int:
+    """Words of the parts of the items of a window size, 0 if they have none."""
+    return 0 if size < 8 else max(LEAST_PART_WORDS, min(PART_WORDS, size // 3))
+
+
+def _folded(prints: np.ndarray) -> np.ndarray:
+    return ((prints ^ (prints >> np.uint64(20)) ^ (prints >> np.uint64(40))) & np.uint64(2**FILTER_BITS - 1)).astype(np.intp)
+
+
+class Parts:
+    """Fingerprints of the parts of the items of one window size."""
+
+    def __init__(self, items: list[np.ndarray], words: int):
+        self.words = words
+        prints = [Sums(h).windows(words)[::words] for h in items]
+        member = np.repeat(np.arange(len(items)), [len(x) for x in prints])
+        pairs = np.unique(np.rec.fromarrays([np.concatenate(prints), member], names="print,member"))
+        self.member = np.ascontiguousarray(pairs["member"])
+        self.prints, self.first, self.count = np.unique(pairs["print"], return_index=True, return_counts=True)
+        self.mark = np.zeros(2**FILTER_BITS, dtype=bool)
+        self.mark[_folded(self.prints)] = True
+
+    def stretches(
+        self, windows: np.ndarray, lengths: np.ndarray, shared: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(member, first start, last start) of all stretches of windows that reach over a part of the member.
+
+        Parts with too few shingles of items around them are passed over.
+        """
+        at = np.flatnonzero(self.mark[_folded(windows)])
+        place = np.minimum(np.searchsorted(self.prints, windows[at]), len(self.prints) - 1)
+        equal = self.prints[place] == windows[at]
+        at, place = at[equal], place[equal]
+        times = self.count[place]
+        ends = np.cumsum(times)
+        inside = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - times, times)
+        member = self.member[np.repeat(self.first[place], times) + inside]
+        last = np.repeat(at, times)
+        first = np.maximum(last - lengths[member] + self.words, 0)
+        most = shared[np.minimum(last + lengths[member], len(shared) - 1)] - shared[first]
+        enough = most >= THRESHOLD * (lengths[member] - SHINGLE_WORDS + 1) - 1e-9
+        member, first, last = member[enough], first[enough], last[enough]
+        order = np.lexsort((last, member))
+        member, first, last = member[order], first[order], last[order]
+        new = np.ones(len(member), dtype=bool)
+        new[1:] = (member[1:] != member[:-1]) | (first[1:] > last[:-1] + 1)
+        return member[new], first[new], last[np.roll(new, -1)]
+
+
+def _spelt_out(
+    member: np.ndarray, first: np.ndarray, last: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(start, member) of all starts of the stretches, a bounded number at a time."""
+    times = last - first + 1
+    chunk = (np.cumsum(times) - 1) // CANDIDATES
+    for one in np.unique(chunk):
+        mine = chunk == one
+        n = times[mine]
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        yield np.repeat(first[mine], n) + inside, np.repeat(member[mine], n)
+
+
+def _best_window(
+    hashes: np.ndarray, first: int, last: int, length: int, item: tuple[np.ndarray, np.ndarray]
+) -> tuple[float, int]:
+    """Similarity and start of the best window of ``length`` words, or up to the end, that starts from ``first`` to ``last``."""
+    if length < SHINGLE_WORDS:
+        found = ((weighted_similarity(shingle_weights(hashes[s : s + length]), item), -s) for s in range(first, last + 1))
+        likeness, start = max(found)
+        return likeness, -start
+    shingles = shingle_hashes(hashes[first : last + length], SHINGLE_WORDS)
+    place = np.minimum(np.searchsorted(item[0], shingles), len(item[0]) - 1)
+    places = np.where(item[0][place] == shingles, place, -1).tolist()
+    # Occurrences in the item less those in the window: below zero, a window's further occurrences are not shared.
+    left = item[1].tolist()
+    total, size = sum(left), length - SHINGLE_WORDS + 1
+    shared = stop = 0
+    best = (-1.0, first)
+    for start in range(last - first + 1):
+        for p in places[stop : start + size]:
+            if p >= 0:
+                shared += left[p] > 0
+                left[p] -= 1
+        stop = max(stop, min(start + size, len(places)))
+        likeness = shared / (total + stop - start - shared)
+        if likeness > best[0]:
+            best = (likeness, first + start)
+        if (p := places[start]) >= 0:
+            left[p] += 1
+            shared -= left[p] > 0
+    return best
+
+
 def _block(prints: np.ndarray, block: int) -> np.ndarray:
     return np.ascontiguousarray(prints).view(np.uint16)[block::BLOCKS]
 
@@ -178,12 +282,15 @@ class Index:
         for number, words in items:
             by_size.setdefault(grid_size(len(words)), []).append((number, word_hashes(words)))
         self.blocks: dict[int, Blocks] = {}
+        self.parts: dict[int, Parts] = {}
         self.ids: dict[int, list[int]] = {}
         self.lengths: dict[int, np.ndarray] = {}
         self.weights: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         self.filter = np.zeros(2**FILTER_BITS, dtype=np.int32)
         for size, members in by_size.items():
             self.blocks[size] = Blocks(np.array([Sums(h).windows(size)[0] for _, h in members], dtype=np.uint64))
+            if words := part_size(size):
+                self.parts[size] = Parts([h for _, h in members], words)
             self.ids[size] = [number for number, _ in members]
             self.lengths[size] = np.array([len(h) for _, h in members])
             self.weights[size] = [shingle_weights(h) for _, h in members]
@@ -215,36 +322,63 @@ class Index:
             shingles = shingle_hashes(hashes, SHINGLE_WORDS) & np.uint64(2**FILTER_BITS - 1)
             np.cumsum(self.filter[shingles.astype(np.int64)], out=shared[1 : len(shingles) + 1])
             shared[len(shingles) + 1 :] = shared[len(shingles)]
+        part_windows: dict[int, np.ndarray] = {}
         for size, blocks in self.blocks.items():
             n = len(hashes) - size + 1
             if n < 1:
                 continue
-            longest = int(self.lengths[size].max())
+            lengths = self.lengths[size]
             whole = size >= SHINGLE_WORDS
             possible = np.ones(n, dtype=bool)
             if whole:
-                possible = shared[np.minimum(np.arange(n) + longest, len(hashes))] > shared[:n]
-            start, member, distance = blocks.within(sums.windows(size), possible)
+                possible = shared[np.minimum(np.arange(n) + int(lengths.max()), len(hashes))] > shared[:n]
+            windows = sums.windows(size)
+            found = [self._likely(size, *blocks.within(windows, possible)[:2], ends, shared)]
+            if parts := self.parts.get(size):
+                if parts.words not in part_windows:
+                    part_windows[parts.words] = sums.windows(parts.words)
+                stretches = parts.stretches(part_windows[parts.words], lengths, shared)
+                found += [self._likely(size, *pairs, ends, shared) for pairs in _spelt_out(*stretches)]
+            start, member = (np.concatenate(x) for x in zip(*found, strict=True))
             text = np.searchsorted(ends, start, side="right")
-            inside = start + size <= ends[text]
-            start, member, distance, text = start[inside], member[inside], distance[inside], text[inside]
-            stop = np.minimum(start + self.lengths[size][member], ends[text])
-            if whole and len(start):
-                most = shared[stop - SHINGLE_WORDS + 1] - shared[start]
-                both = (stop - start) + self.lengths[size][member] - 2 * (SHINGLE_WORDS - 1)
-                likely = most >= THRESHOLD * (both - most) - 1e-9
-                start, member, distance, text, stop = (x[likely] for x in (start, member, distance, text, stop))
-            for s, m, d, t, e in zip(*(x.tolist() for x in (start, member, distance, text, stop)), strict=True):
-                likeness = weighted_similarity(shingle_weights(hashes[s:e]), self.weights[size][m])
+            order = np.lexsort((start, member, text))
+            start, member, text = start[order], member[order], text[order]
+            # Windows of short items, which have no parts, are compared one by one.
+            gap = lengths[member[1:]] if size in self.parts else 0
+            new = np.ones(len(start), dtype=bool)
+            new[1:] = (text[1:] != text[:-1]) | (member[1:] != member[:-1]) | (start[1:] - start[:-1] > gap)
+            last = start[np.roll(new, -1)]
+            for s, e, m, t in zip(*(x.tolist() for x in (start[new], last, member[new], text[new])), strict=True):
+                low, high = int(ends[t - 1]) if t else 0, int(ends[t])
+                length = int(lengths[m])
+                likeness, s = _best_window(hashes[:high], s, e, length, self.weights[size][m])
                 if likeness >= THRESHOLD:
                     item = self.ids[size][m]
-                    first = s - (int(ends[t - 1]) if t else 0)
-                    best[t][item] = max(best[t].get(item, (-1.0, 0, 0, 0)), (likeness, -first, e - s, d))
+                    distance = int(np.bitwise_count(windows[s] ^ blocks.prints[m]))
+                    one = (likeness, low - s, min(s + length, high) - s, distance)
+                    best[t][item] = max(best[t].get(item, (-1.0, 0, 0, 0)), one)
         return [
             [(item, -first, size, distance, likeness) for item, (likeness, first, size, distance) in sorted(x.items())]
             for x in best
         ]
 
+    def _likely(
+        self, size: int, start: np.ndarray, member: np.ndarray, ends: np.ndarray, shared: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs whose window lies in one text and may share enough shingles with the item."""
+        inside = start + size <= ends[-1]
+        start, member = start[inside], member[inside]
+        end = ends[np.searchsorted(ends, start, side="right")]
+        inside = start + size <= end
+        start, member, end = start[inside], member[inside], end[inside]
+        if size < SHINGLE_WORDS:
+            return start, member
+        stop = np.minimum(start + self.lengths[size][member], end)
+        most = shared[stop - SHINGLE_WORDS + 1] - shared[start]
+        both = (stop - start) + self.lengths[size][member] - 2 * (SHINGLE_WORDS - 1)
+        likely = most >= THRESHOLD * (both - most) - 1e-9
+        return start[likely], member[likely]
+
 
 HIT = T.StructType(
     [

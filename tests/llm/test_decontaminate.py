@@ -86,6 +86,49 @@ def test_recall_and_precision_against_all_windows(spark):
     assert kept == {n for n, _ in docs} - {n for n, _ in found}
 
 
+def test_changed_runs_and_cut_beginnings_against_all_windows():
+    rng = random.Random(8)
+    words = lambda n: [f"w{rng.randrange(5_000)}" for _ in range(n)]
+    items = [(i, words(n)) for i, n in enumerate([9, 13, 21, 28, 38, 47, 60, 73, 100, 125, 150, 300, 420] * 2)]
+    texts = []
+    for _, item in items * 6:
+        n = len(item)
+        most = max(1, n // 7 - 3)
+        kind = rng.randrange(6)
+        run, at = rng.randrange(most + 1), rng.randrange(n)
+        passage = list(item)
+        if kind == 0:
+            passage[at : at + run] = words(len(passage[at : at + run]))
+        elif kind == 1:
+            passage[at : at + run] = []
+        elif kind == 2:
+            passage[at:at] = words(run)
+        elif kind == 3:
+            passage = passage[rng.randrange(n // 4 + 1) :]
+        elif kind == 4:
+            for _ in range(n // 35 + 1):
+                at = rng.randrange(n)
+                passage[at : at + 2] = words(len(passage[at : at + 2]))
+        else:
+            passage = passage[n // 2 :] + passage[: n // 2]
+        before, after = rng.choice([(0, 0), (30, 200), (0, 200), (30, 0)])
+        texts.append([*words(before), *passage, *words(after)])
+    want = {}
+    for t, text in enumerate(texts):
+        for i, item in items:
+            starts = range(len(text) - dc.grid_size(len(item)) + 1) if set(text) & set(item) else ()
+            near = [s for s in starts if len(set(item) & set(text[s : s + len(item)])) > len(set(item)) // 2]
+            best = max((plain_similarity(text[s : s + len(item)], item) for s in near), default=0)
+            if best >= dc.THRESHOLD:
+                want[t, i] = best
+    index = dc.Index([(i, [w.encode() for w in item]) for i, item in items])
+    hits = index.hits([" ".join(text) for text in texts])
+    found = {(t, hit[0]): hit[4] for t, one in enumerate(hits) for hit in one}
+    assert len(want) > 80
+    assert found.keys() == want.keys()
+    assert all(abs(found[key] - want[key]) < 1e-9 for key in want)
+
+
 def test_slices_change_nothing(spark, monkeypatch, small_docs):
     items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     once = sorted(map(tuple, dc.contaminated(small_docs, items).collect()))
