@@ -8,8 +8,6 @@ from lexiloom.operators.prepare import label_dimension, label_to_index, multi_la
 from lexiloom.sources.readers import spread
 
 VOCABULARY = 30_000
-#: The trainer in epochs hands its weights to every task.
-EPOCH_VOCABULARY = 20_000
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:

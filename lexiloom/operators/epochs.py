@@ -13,9 +13,9 @@ from lexiloom.config import (
 from lexiloom.functions.vectors import activation
 from lexiloom.operators.encode import encode
 from lexiloom.operators.evaluate import METRICS, metrics_for
-from lexiloom.operators.lookup import dense_array, with_value
+from lexiloom.operators.lookup import dense_array, lookup_join, with_value
 from lexiloom.operators.runs import EVAL, LOSS
-from lexiloom.operators.staging import fits, settle
+from lexiloom.operators.staging import fits, settle, with_stable_key
 from lexiloom.operators.train import BIAS_ID, Model
 from lexiloom.operators.vocabulary import FIRST_ID
 from lexiloom.schemas import METRIC_LOG
@@ -23,6 +23,8 @@ from lexiloom.schemas import METRIC_LOG
 # Decay of the running means of gradients and of their squares, and the guard of the division.
 MEAN_DECAY, SQUARE_DECAY, GUARD = 0.9, 0.999, 1e-8
 
+ROW_KEY = "_row_key"
+
 
 class EpochRun(NamedTuple):
     """The model of the best epoch and the metric log of all of them."""
@@ -35,14 +37,20 @@ def _zeros(n: int) -> Column:
     return F.array_repeat(F.lit(0.0), n)
 
 
-def _prepare(df: DataFrame, vocabulary: DataFrame, label: str) -> DataFrame:
-    """(label, ids): known tokens of the whole text and the start id, whose weight is the bias."""
-    encoded = encode(df, vocabulary, max_length=None)
+def _prepare(df: DataFrame, vocabulary: DataFrame, label: str, keyed: bool, limit: int) -> DataFrame:
+    """(label, ids): known tokens of the whole text and the start id, whose weight is the bias; with a row key if asked for."""
+    encoded = encode(df, vocabulary, max_length=None, limit=limit)
     known = F.filter("input_ids", lambda i: (i == START_ID) | (i >= FIRST_ID))
-    return settle(encoded.select(label, known.alias("ids")))
+    rows = encoded.select(label, known.alias("ids"))
+    return with_stable_key(rows, ROW_KEY) if keyed else settle(rows)
 
 
-def _scored(examples: DataFrame, state: DataFrame, outputs: int) -> DataFrame:
+def _scored(examples: DataFrame, state: DataFrame, outputs: int, limit: int) -> DataFrame:
+    if ROW_KEY in examples.columns:
+        pieces = examples.select(ROW_KEY, F.explode("ids").alias("id"))
+        found = lookup_join(pieces, state.select("id", "w"), "id", "inner", limit)
+        sums = [F.sum(F.get("w", F.lit(k))) for k in range(outputs)]
+        return examples.join(found.groupBy(ROW_KEY).agg(F.array(*sums).alias("logits")), ROW_KEY, "left")
     table = with_value(examples, "_weights", dense_array(state, "id", "w"))
 
     def add(acc: Column, i: Column) -> Column:
@@ -108,30 +116,33 @@ def train_epochs(
     weight_decay: float = WEIGHT_DECAY,
     patience: int = EARLY_STOP_PATIENCE,
     threshold: float = EARLY_STOP_THRESHOLD,
+    limit: int = BROADCAST_BYTES,
 ) -> EpochRun:
     """Fit a fresh model by gradient steps over all of train, one step per epoch, at a falling rate.
 
     Texts are encoded and settled once. An epoch is one pass over train and one over the evaluation
     rows; only the loss, the metrics and the decision to stop come to the driver. The state of each
     epoch is settled, so the plan does not grow and a lost executor costs one epoch at most.
+
+    Weights measured within ``limit`` are handed to the tasks. Larger ones are joined to the tokens
+    and summed by a key that the rows are settled with.
     """
     label = "labels" if problem_type == MULTI_LABEL else "label"
-    train_rows = _prepare(train, vocabulary, label)
-    evaluation_rows = _prepare(evaluation, vocabulary, label)
-    rows = train_rows.count()
     blank = _zeros(outputs)
     state = settle(vocabulary.select("id", "token", blank.alias("w"), blank.alias("m"), blank.alias("v")))
-    if not fits(state.select("id", "w"), BROADCAST_BYTES):
-        raise ValueError("the weights exceed what is handed to tasks; use a smaller vocabulary")
+    keyed = not fits(state.select("id", "w"), limit)
+    train_rows = _prepare(train, vocabulary, label, keyed, limit)
+    evaluation_rows = _prepare(evaluation, vocabulary, label, keyed, limit)
+    rows = train_rows.count()
     entries: list[tuple] = []
     best, best_f1, waited = state, None, 0
     for epoch in range(1, max_epochs + 1):
         rate = learning_rate * (1 - (epoch - 1) / max_epochs)
-        gradients = _gradients(_scored(train_rows, state, outputs), label, outputs, problem_type)
+        gradients = _gradients(_scored(train_rows, state, outputs, limit), label, outputs, problem_type)
         state = settle(_step(state, gradients, rows, epoch, rate, weight_decay))
         loss = state.where(F.col("id") == START_ID).first()["loss"]
         started = time.perf_counter()
-        scored = _scored(evaluation_rows, state, outputs)
+        scored = _scored(evaluation_rows, state, outputs, limit)
         measured = metrics_for(scored, problem_type).first()
         seconds = time.perf_counter() - started
         logged = {LOSS: {"loss": (loss or 0.0) / max(rows, 1), "learning_rate": rate, "step": epoch}}

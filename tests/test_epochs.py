@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from checks import fixtures as fx
+from checks import fixtures as fx, flows
 from lexiloom.config import MULTI_LABEL, SINGLE_LABEL
 from lexiloom.operators import runs as rn
 from lexiloom.operators.epochs import train_epochs
@@ -49,3 +49,26 @@ def test_first_loss_is_that_of_a_fresh_model(spark):
     run = train_epochs(df, df, build_vocabulary(df, 10), 2, SINGLE_LABEL, max_epochs=2, patience=5)
     assert values(run.log, "loss")[0] == pytest.approx(math.log(2))
     assert values(run.log, "f1") == [1.0, 1.0]
+
+
+@pytest.mark.parametrize("problem", [SINGLE_LABEL, MULTI_LABEL])
+def test_weights_above_the_limit_are_joined(spark, problem):
+    rows = [(i, None if i == 7 else f"a {'b c' if i % 2 else 'd a'} w{i % 11}", i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label long")
+    if problem == MULTI_LABEL:
+        df = df.select("doc_id", "text", F.array(F.col("label").cast("float"), F.lit(1.0).cast("float")).alias("labels"))
+    df = df.where("text is not null")
+    vocabulary = build_vocabulary(df, None)
+    runs = [train_epochs(df, df, vocabulary, 2, problem, max_epochs=3, limit=limit) for limit in (1 << 26, 0)]
+    for metric in ("loss", "f1"):
+        assert values(runs[1].log, metric) == pytest.approx(values(runs[0].log, metric))
+    found = [{r.token: r.weights for r in run.model.weights.collect()} for run in runs]
+    assert found[0].keys() == found[1].keys() and len(found[0]) == 16
+    assert all(found[1][token] == pytest.approx(found[0][token]) for token in found[0])
+
+
+def test_the_query_trains_on_all_tokens(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(flows, "build_vocabulary", lambda train, size: asked.append(size) or build_vocabulary(train, size))
+    flows.train_epochs(spark, SF)
+    assert asked == [None]
