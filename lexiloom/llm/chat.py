@@ -2,15 +2,17 @@
 
 Records come in many layouts. A layout is declared by the nested field paths it needs and an expression that turns a record
 into canonical turns (role, text). A table's fingerprints are the hashes of its nested field paths; the layout all of whose
-hashes occur, and which needs most of them, is applied. JSON records of mixed layouts are told apart row by row, by the hash
-of the paths that are present.
+hashes occur, and which needs most of them, is applied. JSON records of mixed layouts, and tables that have the fields of
+several record layouts, are told apart row by row: of the layouts whose paths are present in the row, the one with most paths
+is applied, the first of equal ones. Turns in JSON lists may name their fields by either list layout.
 
 The template writes each turn as ``<|turn|>role``, a line break, the text and ``<|end|>``. Backslashes in roles and texts
 are doubled, and a backslash is put into every control string (also those of other common templates), so texts can neither
 end a turn nor begin one, and ``unescaped`` gives them back exactly. The loss mask covers the texts of assistants.
 
 Null roles and texts count as empty. Turns are ordered by their number (null first), then role and text, so repeated rows
-stay and ties have an order. Rows without a conversation id form one conversation. Records of no known layout give no turns.
+stay and ties have an order. Rows without a conversation id form one conversation. Records of no known layout give no turns;
+those in JSON have a null layout.
 Other columns are not read.
 """
 
@@ -96,7 +98,8 @@ LAYOUTS = (
 )
 #: All fields of the record layouts, to read JSON records with.
 JSON_SCHEMA = (
-    "messages array<struct<role string, content string>>, conversations array<struct<`from` string, value string>>, "
+    "messages array<struct<role string, content string, `from` string, value string>>, "
+    "conversations array<struct<role string, content string, `from` string, value string>>, "
     "instruction string, input string, output string, prompt string, response string, completion string, "
     "question string, answer string"
 )
@@ -109,13 +112,48 @@ def layout_of(schema: T.StructType) -> Layout | None:
     return max(fitting, key=lambda layout: len(layout.paths), default=None)
 
 
+def _by_row(layouts: list[Layout], either_names: bool = False) -> tuple[Column, Column]:
+    """(name, turns) of the layout with most paths that are present in a row; nulls if none is."""
+    options = []
+    for layout in layouts:
+        tops = list(dict.fromkeys(path.split("[")[0] for path in layout.paths))
+        turns = layout.turns()
+        if "[]" in layout.paths[0]:
+            names = [path.rpartition(".")[2] for path in layout.paths]
+            if either_names:
+                names = ["role", "content", "from", "value"]
+                turns = F.transform(
+                    tops[0],
+                    lambda m: _turn(_named(F.coalesce(m["role"], m["from"])), F.coalesce(m["content"], m["value"])),
+                )
+            known = F.exists(tops[0], lambda m: F.coalesce(*[m[name] for name in names]).isNotNull())
+            options.append((len(layout.paths), (F.size(tops[0]) == 0) | known, layout.name, turns))
+            continue
+        for needed in {tuple(tops), tuple(top for top in tops if top != "input")}:
+            present = F.lit(True)
+            for top in needed:
+                present = present & F.col(top).isNotNull()
+            options.append((len(needed), present, layout.name, turns))
+    name, chosen = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
+    for _, present, layout_name, turns in reversed(sorted(options, key=lambda option: -option[0])):
+        present = F.coalesce(present, F.lit(False))
+        name = F.when(present, F.lit(layout_name)).otherwise(name)
+        chosen = F.when(present, turns).otherwise(chosen)
+    return name, chosen
+
+
 def canonical(records: DataFrame, id_column: str = "conv_id") -> DataFrame:
-    """(conv_id, turns) of a table in any known layout; its layout is found from the schema."""
+    """(conv_id, turns) of a table in any known layout; its layouts are found from the schema."""
     layout = layout_of(records.schema)
     if layout is None:
         return records.select(F.col(id_column).alias("conv_id"), F.expr(f"cast(array() as {TURNS})").alias("turns"))
     if not layout.by_turn:
-        return records.select(F.col(id_column).alias("conv_id"), F.coalesce(layout.turns(), F.array()).alias("turns"))
+        known = path_hashes(field_paths(records.schema))
+        fitting = [one for one in LAYOUTS if not one.by_turn and path_hashes(list(one.paths)) <= known]
+        turns = F.coalesce(layout.turns(), F.array())
+        if len(fitting) > 1:
+            turns = F.coalesce(_by_row(fitting)[1], turns)
+        return records.select(F.col(id_column).alias("conv_id"), turns.alias("turns"))
     one = F.struct("turn", _turn(F.col("role"), F.col("text")).alias("said"))
     grouped = records.groupBy("conv_id").agg(F.array_sort(F.collect_list(one)).alias("rows"))
     return grouped.select("conv_id", F.col("rows.said").alias("turns"))
@@ -125,21 +163,11 @@ TURNS = "array<struct<role:string,text:string>>"
 
 
 def canonical_json(records: DataFrame, id_column: str, json_column: str) -> DataFrame:
-    """(conv_id, layout, turns) of JSON records of mixed layouts, each mapped by the fingerprint of its present paths."""
+    """(conv_id, layout, turns) of JSON records of mixed layouts, each mapped by the paths that are present in it."""
     parsed = records.select(F.col(id_column).alias("conv_id"), F.from_json(json_column, JSON_SCHEMA).alias("_r"))
-    parsed = parsed.select("conv_id", "_r.*")
-    fields = [name for name in parsed.columns if name != "conv_id"]
-    present = F.array_sort(F.filter(F.array(*[F.when(F.col(name).isNotNull(), F.lit(name)) for name in fields]), lambda x: x.isNotNull()))
-    parsed = parsed.withColumn("_fingerprint", F.xxhash64(F.array_join(present, "\n")))
-    layout, turns = F.lit(None).cast("string"), F.expr(f"cast(array() as {TURNS})")
-    for one in LAYOUTS:
-        if not one.by_turn:
-            tops = {path.split("[")[0] for path in one.paths}
-            for names in {tuple(sorted(tops)), tuple(sorted(tops - {"input"}))}:
-                same = F.col("_fingerprint") == F.xxhash64(F.lit("\n".join(names)))
-                layout = F.when(same, F.lit(one.name)).otherwise(layout)
-                turns = F.when(same, one.turns()).otherwise(turns)
-    return parsed.select("conv_id", layout.alias("layout"), turns.alias("turns"))
+    layout, turns = _by_row([one for one in LAYOUTS if not one.by_turn], either_names=True)
+    turns = F.coalesce(turns, F.expr(f"cast(array() as {TURNS})"))
+    return parsed.select("conv_id", "_r.*").select("conv_id", layout.alias("layout"), turns.alias("turns"))
 
 
 def escaped(text: Column) -> Column:

@@ -83,3 +83,29 @@ def test_layouts_row_by_row(spark):
     assert found[4] == ["instruction", [("user", "q"), ("assistant", "a")]]
     assert found[6] == ["exchanges", [("user", "q")]]
     assert found[5] == found[7] == found[8] == [None, []]
+
+
+def test_no_record_is_lost_to_other_fields_or_names(spark):
+    pair = [("user", "q"), ("assistant", "a")]
+    said = [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]
+    told = [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}]
+    records = [
+        {"conversations": said}, {"messages": told}, {"messages": [said[0], told[1]]}, {"messages": said, "prompt": "q"},
+        {"instruction": "q", "output": "a", "prompt": "x"}, {"prompt": "q", "response": "a", "input": ""},
+    ]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)], "id long, record string")
+    found = {r.conv_id: [tuple(t) for t in r.turns] for r in chat.canonical_json(df, "id", "record").collect()}
+    assert found == dict.fromkeys(range(len(records)), pair)
+    odd = [{"messages": [{"speaker": "user", "said": "q"}]}, {"messages": []}, {"messages": [{"role": "user", "content": None}]}]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(odd)], "id long, record string")
+    rows = {r.conv_id: (r.layout, [tuple(t) for t in r.turns]) for r in chat.canonical_json(df, "id", "record").collect()}
+    assert rows == {0: (None, []), 1: ("messages", []), 2: ("messages", [("user", "")])}
+
+
+def test_tables_with_several_layouts(spark):
+    schema = "id long, prompt string, response string, question string, answer string, messages array<struct<role string, content string>>"
+    rows = [
+        (1, "q", "a", None, None, None), (2, None, None, "q", "a", None), (3, None, None, None, None, [("human", "q"), ("gpt", "a")]),
+    ]
+    found = chat.canonical(spark.createDataFrame(rows, schema), "id").collect()
+    assert {r.conv_id: [tuple(t) for t in r.turns] for r in found} == dict.fromkeys((1, 2, 3), [("user", "q"), ("assistant", "a")])
