@@ -4,16 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexiloom.llm import chat, decontaminate, html_text, knn_quality, license_scan, near_dedup, packing, pii, quality_rules, url_filter
+from lexiloom.llm import (
+    centroids, chat, collocations, decontaminate, html_text, knn_quality, license_scan, near_dedup, packing, pii, quality_rules,
+    substring_dedup, url_filter,
+)
 from lexiloom.llm.common import table
 
 
-def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return quality_rules.judge(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
-
-
-
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     role = F.when(F.col("id") == 0, "user").otherwise("assistant")
@@ -56,6 +53,23 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.judge(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.report(substring_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_knn_quality": op2_knn_quality,
@@ -67,9 +81,14 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
+    "op11_collocations": op11_collocations,
+    "op12_centroids": op12_centroids,
+    "op13_substring_dedup": op13_substring_dedup,
 }
 
 ORACLES = {
     "op1_chat_format": chat.ORACLE,
     "op3_url_filter": url_filter.ORACLE,
+    "op11_collocations": collocations.ORACLE,
+    "op12_centroids": centroids.ORACLE,
 }
