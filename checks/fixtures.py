@@ -14,8 +14,17 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+#: Setting of the session: into how many partitions the examples are spread; as read without it.
+PARTITIONS = "spark.lexiloom.input.partitions"
+
+
+def input_partitions(spark: SparkSession) -> int | None:
+    number = spark.conf.get(PARTITIONS, None)
+    return int(number) if number else None
+
+
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "documents").select("doc_id", "text", "lang"), "doc_id")
+    return spread(table(spark, sf, "documents").select("doc_id", "text", "lang"), "doc_id", input_partitions(spark))
 
 
 def split_of(key: Column) -> Column:

@@ -9,7 +9,7 @@ from checks import fixtures as fx
 from lexiloom.config import INFERENCE_BATCH, SINGLE_LABEL, TRAIN_BATCH
 from lexiloom.operators import decode as dec
 from lexiloom.operators import runs as rn
-from lexiloom.operators.epochs import train_epochs as fit_epochs
+from lexiloom.operators.epochs import Setting, train_epoch_grid, train_epochs as fit_epochs
 from lexiloom.operators.linear import score_linear, train_linear
 from lexiloom.operators.prepare import label_dimension_of_columns, union_train_test
 from lexiloom.operators.score import batch_score as score, batch_score_with
@@ -20,7 +20,7 @@ from lexiloom.functions.vectors import activation as activate, round_scores as r
 from lexiloom.plans.grid import grid_runs as run_grid
 from lexiloom.plans.multi_label import multi_label_predictions as predict_multi
 from lexiloom.plans.single_label import decode_single_label, score_texts, single_label_predictions as predict_single
-from lexiloom.sources.models import save_model
+from lexiloom.sources.models import model_path, save_model
 
 #: All tokens.
 SIZE = None
@@ -28,20 +28,20 @@ LANG_CLASSES = "SELECT label FROM langs"
 SMOOTHINGS = [0.1, 0.5, 1.0, 2.0]
 
 
-def _lang_model(spark, sf):
+def lang_model(spark, sf):
     examples, labels = fx.lang_examples(spark, sf)
     train, test = fx.train_test(examples)
     return train, test, labels, fit_single(train, labels.count(), SIZE)
 
 
-def _flag_model(spark, sf):
+def flag_model(spark, sf):
     examples = fx.flag_examples(spark, sf)
     train, test = fx.train_test(examples)
     return train, test, label_dimension_of_columns(spark, ["quality", "toxic"]), fit_multi(train, 2, SIZE)
 
 
 def flagship(spark, sf):
-    train, test, labels, model = _lang_model(spark, sf)
+    train, test, labels, model = lang_model(spark, sf)
     return predict_single(train, test, labels, model)
 
 
@@ -53,11 +53,11 @@ def _weight_rows(model):
 
 
 def train_single_label(spark, sf):
-    return _weight_rows(_lang_model(spark, sf)[3])
+    return _weight_rows(lang_model(spark, sf)[3])
 
 
 def train_multi_label(spark, sf):
-    return _weight_rows(_flag_model(spark, sf)[3])
+    return _weight_rows(flag_model(spark, sf)[3])
 
 
 def linear_single_label(spark, sf):
@@ -77,6 +77,32 @@ def train_epochs(spark, sf):
     return rn.best_epoch_metrics(fit_epochs(train, test, vocabulary, labels.count(), SINGLE_LABEL).log)
 
 
+#: Run id, rate and decay of the models that are trained together.
+EPOCH_GRID = {"slow": (0.005, 0.01), "plain": (0.02, 0.01), "decayed": (0.05, 0.5)}
+
+
+def epoch_grid(spark, sf):
+    """Loss and f1 of the first two epochs of several models that are trained in the same passes, all tokens."""
+    examples, labels = fx.lang_examples(spark, sf)
+    train, test = fx.train_test(examples)
+    settings = {name: Setting(rate, decay, patience=2) for name, (rate, decay) in EPOCH_GRID.items()}
+    runs = train_epoch_grid(train, test, build_vocabulary(train, SIZE), labels.count(), SINGLE_LABEL, settings, max_epochs=2)
+    log = None
+    for run in runs.values():
+        log = run.log if log is None else log.unionByName(run.log)
+    return log.where("metric in ('loss', 'f1')").select("run_id", "epoch", "metric", F.round("value", 5).alias("value"))
+
+
+def train_epochs_by_parts(spark, sf):
+    """The same for one model whose rare tokens are joined, as in a corpus with too many tokens to hand to the tasks."""
+    examples, labels = fx.lang_examples(spark, sf)
+    train, test = fx.train_test(examples)
+    run = fit_epochs(
+        train, test, build_vocabulary(train, SIZE), labels.count(), SINGLE_LABEL, "plain", max_epochs=2, patience=2, limit=256 * 1024
+    )
+    return run.log.where("metric in ('loss', 'f1')").select("run_id", "epoch", "metric", F.round("value", 5).alias("value"))
+
+
 def grid_runs(spark, sf):
     examples, labels = fx.lang_examples(spark, sf)
     train, test = fx.train_test(examples)
@@ -104,7 +130,7 @@ def run_metrics(spark, sf):
     f1 = written.where("is_train = 0").select((F.col("label_indx") == F.col("predicted_label_indx")).alias("hit"))
     metrics = rn.merged(
         {"f1": round(f1.agg(F.avg(F.col("hit").cast("int"))).first()[0], 4)},
-        {"model_size_mb": rn.stored_mb(spark, f"{folder}/models/run_id=nb")},
+        {"model_size_mb": rn.stored_mb(spark, model_path(f"{folder}/models", "nb"))},
         rn.rates("train", train_seconds, rows[1], TRAIN_BATCH),
         rn.rates("eval", score_seconds, rows[0], INFERENCE_BATCH),
         {"inference_seconds": round(score_seconds, 2)},
@@ -139,14 +165,14 @@ def best_run(spark, sf):
 
 
 def batch_score(spark, sf):
-    train, test, _, model = _lang_model(spark, sf)
+    train, test, _, model = lang_model(spark, sf)
     scored = score(union_train_test(train, test), model)
     return scored.select("doc_id", "is_train", fx.decimals("probabilities").alias("probabilities"))
 
 
 def batch_score_by_key(spark, sf):
     """The same scores by the way of a model too large to hand to the tasks."""
-    train, test, _, model = _lang_model(spark, sf)
+    train, test, _, model = lang_model(spark, sf)
     scored = score(union_train_test(train, test), model, key="doc_id", limit=64 * 1024)
     return scored.select("doc_id", "is_train", fx.decimals("probabilities").alias("probabilities"))
 
@@ -237,7 +263,7 @@ def index_names_by_key(spark, sf):
 
 
 def single_label_predictions(spark, sf):
-    train, test, labels, model = _lang_model(spark, sf)
+    train, test, labels, model = lang_model(spark, sf)
     table = predict_single(train, test, labels, model, keep=("doc_id",))
     return table.withColumn("probabilities", fx.decimals("probabilities")).withColumn(
         "predicted_probability", F.format_string("%.4f", "predicted_probability")
@@ -245,7 +271,7 @@ def single_label_predictions(spark, sf):
 
 
 def multi_label_predictions(spark, sf):
-    train, test, labels, model = _flag_model(spark, sf)
+    train, test, labels, model = flag_model(spark, sf)
     table = predict_multi(train, test, labels, model, keep=("doc_id",))
     for name in ("all_label_indxs", "pred_proba_label_indxs"):
         table = table.withColumn(name, fx.decimals(name))
@@ -270,7 +296,8 @@ def sentiment_score(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        train_single_label, train_multi_label, linear_single_label, train_epochs, grid_runs, run_metrics, best_epoch_metrics,
+        train_single_label, train_multi_label, linear_single_label, train_epochs, epoch_grid, train_epochs_by_parts, grid_runs,
+        run_metrics, best_epoch_metrics,
         best_checkpoint, early_stop_epoch, early_stop_epoch_patience_3, best_run, batch_score, batch_score_by_key,
         batch_score_plug_in,
         activation, round_scores, predicted_probability, predicted_label_index, predicted_label,
@@ -302,7 +329,7 @@ bias AS (
   FROM classes LEFT JOIN (SELECT label FROM examples WHERE is_train = 1) e USING (label) GROUP BY label)"""
 
 
-def _scored_sql(keys: str, target: str = "examples") -> str:
+def scored_sql(keys: str, target: str = "examples") -> str:
     """Probability list per row of ``target``, from ``weights`` and ``bias``."""
     return f"""sums AS (
   SELECT {keys}, label, sum(w) AS s
@@ -316,9 +343,9 @@ scored AS (
   FROM (SELECT *, sum(e) OVER (PARTITION BY {keys}) AS t FROM shifted) GROUP BY {keys})"""
 
 
-_LANG_MODEL = _single_sql(fx.LANG, LANG_CLASSES)
+LANG_MODEL = _single_sql(fx.LANG, LANG_CLASSES)
 
-_FLAG_MODEL = f"""{fx.FLAGS}, slots AS (SELECT range AS slot FROM range(2)),
+FLAG_MODEL = f"""{fx.FLAGS}, slots AS (SELECT range AS slot FROM range(2)),
 train_rows AS (SELECT slot, CAST(labels[slot + 1] = 1.0 AS INTEGER) AS y, text FROM examples, slots WHERE is_train = 1),
 per_slot AS (SELECT token, slot, y, count(*) AS n FROM (
   SELECT slot, y, unnest({fx.TOKENS}) AS token FROM train_rows) GROUP BY ALL),
@@ -336,11 +363,11 @@ bias AS (SELECT slot AS label, ln(sum(y) + 1.0) - ln(sum(1 - y) + 1.0) AS b FROM
 _WEIGHTS = """SELECT id, token, CAST(label AS INTEGER) AS output, round(w, 6) AS weight FROM weights
 UNION ALL SELECT -1, '', CAST(label AS INTEGER), round(b, 6) FROM bias"""
 
-_LANG_SCORED = f"{_LANG_MODEL}, {_scored_sql('doc_id')}"
+_LANG_SCORED = f"{LANG_MODEL}, {scored_sql('doc_id')}"
 
 
 def _hits_sql(smoothing: float) -> str:
-    return f"""(WITH {_single_sql(fx.LANG, LANG_CLASSES, smoothing)}, {_scored_sql('doc_id')},
+    return f"""(WITH {_single_sql(fx.LANG, LANG_CLASSES, smoothing)}, {scored_sql('doc_id')},
 first AS (SELECT doc_id, arg_max(output, (x, -output)) AS k FROM raw GROUP BY doc_id)
 SELECT CAST({smoothing} AS DOUBLE) AS smoothing, round(avg(CAST(k = label AS DOUBLE)), 6) AS f1
 FROM examples JOIN first USING (doc_id) WHERE is_train = 0)"""
@@ -382,9 +409,51 @@ _SENTIMENT_EXAMPLES = """examples AS (
   SELECT d.doc_id, d.text, CAST(l.quality AS BIGINT) AS label, CAST(d.doc_id % 5 <> 0 AS INTEGER) AS is_train
   FROM documents d JOIN labels l USING (doc_id))"""
 
+_EPOCH_ROWS = f"""{fx.LANG}, classes AS (SELECT label FROM langs),
+pieces AS (SELECT doc_id, is_train, unnest({fx.TOKENS}) AS token FROM examples),
+known AS (SELECT DISTINCT token FROM pieces WHERE is_train = 1),
+entries AS (
+  SELECT doc_id, is_train, token, count(*) AS n FROM pieces JOIN known USING (token) GROUP BY ALL
+  UNION ALL SELECT doc_id, is_train, '', 1 FROM examples),
+truth AS (SELECT doc_id, is_train, classes.label AS k, CAST(e.label = classes.label AS DOUBLE) AS y FROM examples e CROSS JOIN classes),
+size AS (SELECT CAST(count(*) AS DOUBLE) AS rows, (SELECT CAST(count(*) AS DOUBLE) FROM classes) AS outputs FROM examples WHERE is_train = 1),
+g1 AS (
+  SELECT token, k, sum(n * (1.0 / outputs - y)) / any_value(rows) AS g
+  FROM entries e JOIN truth t USING (doc_id) CROSS JOIN size WHERE e.is_train = 1 GROUP BY token, k)"""
+
+
+def _epochs_sql(run: str, rate: float, decay: float, epochs: int = 10) -> str:
+    """Loss and f1 of the first two steps with this rate and decay; needs the tables of _EPOCH_ROWS."""
+
+    def scores(weights: str) -> str:
+        return f"SELECT doc_id, k, sum(n * w) AS x FROM entries JOIN {weights} USING (token) GROUP BY doc_id, k"
+
+    def f1(table: str) -> str:
+        return f"""SELECT avg(y) AS a FROM truth JOIN (SELECT doc_id, arg_max(k, (x, -k)) AS k FROM {table} GROUP BY doc_id)
+  USING (doc_id, k) WHERE is_train = 0"""
+
+    later = rate * (1 - 1 / epochs)
+    return f"""(WITH w1 AS (SELECT token, k, -{rate} * g / (abs(g) + 1e-8) AS w, 0.1 * g AS m, 0.001 * g * g AS v FROM g1),
+x1 AS ({scores("w1")}),
+p AS (
+  SELECT doc_id, k, y, is_train, e / sum(e) OVER (PARTITION BY doc_id) AS p
+  FROM (SELECT *, exp(x - max(x) OVER (PARTITION BY doc_id)) AS e FROM x1 JOIN truth USING (doc_id, k))),
+g2 AS (
+  SELECT token, k, sum(n * (p - y)) / any_value(rows) AS g
+  FROM entries e JOIN p USING (doc_id) CROSS JOIN size WHERE e.is_train = 1 GROUP BY token, k),
+w2 AS (
+  SELECT token, k, w * (1 - {later} * {decay}) - {later} * ((0.9 * m + 0.1 * g) / (1 - 0.81))
+    / (sqrt((0.999 * v + 0.001 * g * g) / (1 - 0.998001)) + 1e-8) AS w FROM w1 JOIN g2 USING (token, k)),
+x2 AS ({scores("w2")})
+SELECT '{run}' AS run_id, CAST(1 AS DOUBLE) AS epoch, 'loss' AS metric, round((SELECT ln(outputs) FROM size), 5) AS value
+UNION ALL SELECT '{run}', 2, 'loss', round((SELECT -avg(ln(p)) FROM p WHERE is_train = 1 AND y = 1), 5)
+UNION ALL SELECT '{run}', 1, 'f1', round((SELECT a FROM ({f1("x1")})), 5)
+UNION ALL SELECT '{run}', 2, 'f1', round((SELECT a FROM ({f1("x2")})), 5))"""
+
+
 ORACLES = {
-    "train_single_label": f"WITH {_LANG_MODEL} {_WEIGHTS}",
-    "train_multi_label": f"WITH {_FLAG_MODEL} {_WEIGHTS}",
+    "train_single_label": f"WITH {LANG_MODEL} {_WEIGHTS}",
+    "train_multi_label": f"WITH {FLAG_MODEL} {_WEIGHTS}",
     "grid_runs": 'SELECT smoothing, f1, f1 AS "precision", f1 AS recall FROM ('
     + " UNION ALL ".join(f"SELECT * FROM {_hits_sql(s)}" for s in SMOOTHINGS)
     + ")",
@@ -422,7 +491,7 @@ SELECT doc_id, text, CAST(e.label AS INTEGER) AS label_indx, is_train, {fx.sql_d
   printf('%.4f', list_max(p)) AS predicted_probability, CAST({_FIRST} AS INTEGER) AS predicted_label_indx,
   l.lang AS predicted_label, e.lang AS label
 FROM examples e JOIN scored USING (doc_id) JOIN langs l ON l.label = {_FIRST}""",
-    "multi_label_predictions": f"""WITH {_FLAG_MODEL}, {_scored_sql('doc_id')},
+    "multi_label_predictions": f"""WITH {FLAG_MODEL}, {scored_sql('doc_id')},
 probs AS (SELECT doc_id, list(round(1 / (1 + exp(-x)), 4) ORDER BY output) AS p FROM raw GROUP BY doc_id),
 chosen AS (SELECT *, list_filter(range(2), lambda k: p[k + 1] > 0.5) AS above,
   list_filter(range(2), lambda k: labels[k + 1] = 1.0) AS ones FROM examples JOIN probs USING (doc_id))
@@ -434,10 +503,14 @@ FROM chosen""",
 texts AS (
   SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS key, text FROM documents
   UNION ALL SELECT 'turn-' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR), text FROM conversations),
-{_scored_sql('key', 'texts')}
+{scored_sql('key', 'texts')}
 SELECT key, ['NEGATIVE', 'POSITIVE'][{_FIRST} + 1] AS label_name, printf('%.4f', list_max(p)) AS score FROM scored""",
 }
 ORACLES["batch_score_plug_in"] = """SELECT doc_id,
   printf('%.4f', (length(text) % 10) / 10) || ',' || printf('%.4f', 1 - (length(text) % 10) / 10) AS probabilities
 FROM documents"""
 ORACLES["batch_score_by_key"] = ORACLES["batch_score"]
+ORACLES["epoch_grid"] = f"WITH {_EPOCH_ROWS} " + " UNION ALL ".join(
+    f"SELECT * FROM {_epochs_sql(name, rate, decay, 2)}" for name, (rate, decay) in EPOCH_GRID.items()
+)
+ORACLES["train_epochs_by_parts"] = f"WITH {_EPOCH_ROWS} SELECT * FROM {_epochs_sql('plain', 0.02, 0.01, 2)}"

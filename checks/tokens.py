@@ -94,7 +94,7 @@ def attention_mask(spark, sf):
 
 
 def assign_batches(spark, sf):
-    rows = spread(fx.table(spark, sf, "conversations").select("conv_id", "turn"), "conv_id")
+    rows = spread(fx.table(spark, sf, "conversations").select("conv_id", "turn"), "conv_id", fx.input_partitions(spark))
     return enc.assign_batches(rows, ["conv_id", "turn"], TRAIN_BATCH)
 
 

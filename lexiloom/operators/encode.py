@@ -8,7 +8,7 @@ from lexiloom.config import BROADCAST_BYTES, END_ID, MAX_LENGTH, PAD_ID, START_I
 from lexiloom.functions.text import tokens
 from lexiloom.operators.lookup import find, hash_buckets, lookup_join, positions_of, with_value
 from lexiloom.operators.ordering import dense_index
-from lexiloom.operators.staging import settle
+from lexiloom.operators.staging import free_name, settle, with_stable_key
 from lexiloom.operators.vocabulary import words
 
 _MASK = "attention_mask"
@@ -31,7 +31,7 @@ def encode(
     df: DataFrame,
     vocabulary: DataFrame,
     text: str = "text",
-    key: str = "doc_id",
+    key: str | None = None,
     max_length: int | None = MAX_LENGTH,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
@@ -39,7 +39,8 @@ def encode(
 
     ``max_length`` counts the start and end ids; None keeps everything. A vocabulary measured
     within ``limit`` is handed to the tasks and every text is encoded in place, with no shuffle. For a
-    larger one the tokens are joined to it and put together again by ``key``, which must be unique.
+    larger one the tokens are joined to it and put together again by ``key``, which must be unique; without one the
+    rows are settled with a key of their own.
     """
     known = words(vocabulary)
     buckets = hash_buckets(known, "token", "id", limit)
@@ -50,6 +51,10 @@ def encode(
             _kept_tokens(text, max_length), lambda t: F.coalesce(find(F.col("_buckets"), t, n), F.lit(UNKNOWN_ID))
         )
         return ready.select(*df.columns, _framed(ids).alias("input_ids"))
+    columns = df.columns
+    if key is None:
+        key = free_name(df, "_row_key")
+        df = with_stable_key(df, key)
     pieces = positions_of(df, key, _kept_tokens(text, max_length)).withColumnRenamed("item", "token")
     found = lookup_join(pieces, known, "token", "left", limit)
     # One group is one text, cut to max_length before it was taken apart.
@@ -57,15 +62,15 @@ def encode(
     lists = found.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
     joined = df.join(lists, key, "left")
     ids = F.coalesce(F.col("_entries.id"), F.array().cast("array<int>"))
-    return joined.select(*df.columns, F.when(F.col(text).isNotNull(), _framed(ids)).alias("input_ids"))
+    return joined.select(*columns, F.when(F.col(text).isNotNull(), _framed(ids)).alias("input_ids"))
 
 
 def decode(
-    df: DataFrame, vocabulary: DataFrame, ids: str = "input_ids", key: str = "doc_id", limit: int = BROADCAST_BYTES
+    df: DataFrame, vocabulary: DataFrame, ids: str = "input_ids", key: str | None = None, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Add ``tokens``: the token of each id, in order; null for an id outside the vocabulary.
 
-    Tokens are found by the value of the id, which may have gaps.
+    Tokens are found by the value of the id, which may have gaps. ``key`` and ``limit`` are as in :func:`encode`.
     """
     table = vocabulary.select(F.col("id").cast("int").alias("id"), "token")
     buckets = hash_buckets(table, "id", "token", limit)
@@ -74,11 +79,15 @@ def decode(
         ready = with_value(df, "_tokens", packed)
         named = F.transform(ids, lambda i: find(F.col("_tokens"), i.cast("int"), n))
         return ready.select(*df.columns, named.alias("tokens"))
+    columns = df.columns
+    if key is None:
+        key = free_name(df, "_row_key")
+        df = with_stable_key(df, key)
     pieces = positions_of(df, key, ids).withColumnRenamed("item", "id")
     found = lookup_join(pieces, table, "id", "left", limit)
     lists = found.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("_entries"))
     filled = F.coalesce("_entries.token", F.when(F.col(ids).isNotNull(), F.array().cast("array<string>")))
-    return df.join(lists, key, "left").select(*df.columns, filled.alias("tokens"))
+    return df.join(lists, key, "left").select(*columns, filled.alias("tokens"))
 
 
 def padded(ids: str | Column, length: int | Column) -> Column:

@@ -1,4 +1,4 @@
-"""Linear classifiers trained in epochs, evaluated after each, stopped early, best epoch kept."""
+"""Linear classifiers trained in epochs, evaluated after each, stopped early, best epoch kept; one or many at a time."""
 
 from __future__ import annotations
 
@@ -10,20 +10,30 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lexiloom.config import (
     BROADCAST_BYTES, EARLY_STOP_PATIENCE, EARLY_STOP_THRESHOLD, MAX_EPOCHS, MULTI_LABEL, START_ID, WEIGHT_DECAY,
 )
+from lexiloom.functions.text import tokens
 from lexiloom.functions.vectors import activation
-from lexiloom.operators.encode import encode
 from lexiloom.operators.evaluate import METRICS, metrics_for
-from lexiloom.operators.lookup import dense_array, lookup_join, with_value
+from lexiloom.operators.lookup import dense_array, find, hash_buckets, lookup_join, with_value
 from lexiloom.operators.runs import EVAL, LOSS
-from lexiloom.operators.staging import fits, settle, with_stable_key
+from lexiloom.operators.staging import Scratch, measure, settle
 from lexiloom.operators.train import BIAS_ID, Model
-from lexiloom.operators.vocabulary import FIRST_ID
+from lexiloom.operators.vocabulary import FIRST_ID, words
 from lexiloom.schemas import METRIC_LOG
 
 # Decay of the running means of gradients and of their squares, and the guard of the division.
 MEAN_DECAY, SQUARE_DECAY, GUARD = 0.9, 0.999, 1e-8
 
-ROW_KEY = "_row_key"
+#: Bytes that a row of the head takes besides its token or its values, and bytes of tail entries of one bucket, about.
+HEAD_OVERHEAD, BUCKET_BYTES = 64, 64 * 1024 * 1024
+
+
+class Setting(NamedTuple):
+    """How one model is trained."""
+
+    learning_rate: float = 0.02
+    weight_decay: float = WEIGHT_DECAY
+    patience: int = EARLY_STOP_PATIENCE
+    threshold: float = EARLY_STOP_THRESHOLD
 
 
 class EpochRun(NamedTuple):
@@ -33,34 +43,90 @@ class EpochRun(NamedTuple):
     log: DataFrame
 
 
+class Examples(NamedTuple):
+    """Encoded rows: (row, label, ids, tail array<struct<id, n>>) and, if there is a tail, its entries (id, row, n) by id.
+
+    ``ids`` holds the start id, whose weight is the bias, and the tokens of the head, repeated as often as they occur.
+    """
+
+    rows: DataFrame
+    tail: DataFrame | None
+
+
+def _head_size(vocabulary: DataFrame, slots: int, limit: int) -> int | None:
+    """Ids below it are looked up in place: they are ranks, so these are the most frequent tokens. None: all ids.
+
+    Both the tokens and the weights of the head are within ``limit``.
+    """
+    rows, size = measure(vocabulary.select("id", "token"))
+    # Weights of one token, and the longest of both kinds of rows decides.
+    row = max(size / max(rows, 1), HEAD_OVERHEAD + 8 * slots)
+    return None if rows * row <= limit else max(FIRST_ID, int(limit / row))
+
+
+def _encoded(df: DataFrame, vocabulary: DataFrame, label: str, head: int | None, scratch: Scratch) -> Examples:
+    """Encode once. Only tokens outside the head are joined to the vocabulary; they are rare ones by their rank."""
+    known = words(vocabulary)
+    near = known if head is None else known.where(F.col("id") < head)
+    packed, n = hash_buckets(near, "token", "id", limit=1 << 62)
+    ready = with_value(df.select(label, "text"), "_buckets", packed)
+    found = F.transform(tokens("text"), lambda t: F.struct(t.alias("t"), find(F.col("_buckets"), t, n).alias("i")))
+    rows = ready.select(label, F.coalesce(found, F.array().cast("array<struct<t:string,i:int>>")).alias("_found"))
+    ids = F.filter(F.col("_found.i"), lambda i: i.isNotNull())
+    rows = rows.select(
+        F.monotonically_increasing_id().alias("row"), label, F.concat(F.array(F.lit(START_ID)), ids).alias("ids"),
+        F.transform(F.filter("_found", lambda x: x["i"].isNull()), lambda x: x["t"]).alias("_rest"),
+    )
+    rows = scratch.keep(rows)
+    none = F.array().cast("array<struct<id:int,n:bigint>>")
+    if head is None:
+        return Examples(rows.select("row", label, "ids", none.alias("tail")), None)
+    pieces = rows.select("row", F.explode("_rest").alias("token")).groupBy("row", "token").agg(F.count(F.lit(1)).alias("n"))
+    entries = lookup_join(pieces, known.where(F.col("id") >= head), "token", "inner").select("id", "row", "n")
+    size = measure(entries)[1]
+    buckets = max(df.sparkSession.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES))
+    tail = scratch.keep(entries, "id", buckets)
+    # One group is the tail of one text.
+    lists = tail.groupBy("row").agg(F.collect_list(F.struct("id", "n")).alias("tail"))
+    joined = rows.select("row", label, "ids").join(lists, "row", "left")
+    together = scratch.keep(joined.select("row", label, "ids", F.coalesce("tail", none).alias("tail")), "row", buckets)
+    scratch.drop(rows)
+    return Examples(together, tail)
+
+
 def _zeros(n: int) -> Column:
     return F.array_repeat(F.lit(0.0), n)
 
 
-def _prepare(df: DataFrame, vocabulary: DataFrame, label: str, keyed: bool, limit: int) -> DataFrame:
-    """(label, ids): known tokens of the whole text and the start id, whose weight is the bias; with a row key if asked for."""
-    encoded = encode(df, vocabulary, max_length=None, limit=limit)
-    known = F.filter("input_ids", lambda i: (i == START_ID) | (i >= FIRST_ID))
-    rows = encoded.select(label, known.alias("ids"))
-    return with_stable_key(rows, ROW_KEY) if keyed else settle(rows)
-
+def _scored(examples: Examples, state: DataFrame, slots: int, head: int | None) -> DataFrame:
+    """``rows`` with ``logits`` of all models side by side.
 
-def _scored(examples: DataFrame, state: DataFrame, outputs: int, limit: int) -> DataFrame:
-    if ROW_KEY in examples.columns:
-        pieces = examples.select(ROW_KEY, F.explode("ids").alias("id"))
-        found = lookup_join(pieces, state.select("id", "w"), "id", "inner", limit)
-        sums = [F.sum(F.get("w", F.lit(k))) for k in range(outputs)]
-        return examples.join(found.groupBy(ROW_KEY).agg(F.array(*sums).alias("logits")), ROW_KEY, "left")
-    table = with_value(examples, "_weights", dense_array(state, "id", "w"))
+    Weights of the head are handed to the tasks. Entries of the tail meet theirs where both lie, in buckets of ids; only
+    their sums per text and bucket move.
+    """
+    near = state if head is None else state.where(F.col("id") < head)
+    table = with_value(examples.rows, "_weights", dense_array(near, "id", "w"))
 
     def add(acc: Column, i: Column) -> Column:
         return F.zip_with(acc, F.get(F.col("_weights"), i), lambda a, w: a + w)
 
-    return table.select(*examples.columns, F.aggregate("ids", _zeros(outputs), add).alias("logits"))
+    scored = table.select(*examples.rows.columns, F.aggregate("ids", _zeros(slots), add).alias("logits"))
+    if examples.tail is None:
+        return scored
+    found = examples.tail.join(state.select("id", "w"), "id")
+    sums = [F.sum(F.col("n") * F.get("w", F.lit(k))) for k in range(slots)]
+    per_row = found.groupBy("row").agg(F.array(*sums).alias("_far"))
+    both = F.coalesce(F.zip_with("logits", "_far", lambda a, b: a + b), F.col("logits"))
+    return scored.join(per_row, "row", "left").select(*examples.rows.columns, both.alias("logits"))
+
 
+def _model(values: str | Column, number: int, outputs: int) -> Column:
+    """The part of one model in values side by side."""
+    return F.slice(values, number * outputs + 1, outputs)
 
-def _gradients(scored: DataFrame, label: str, outputs: int, problem_type: str) -> DataFrame:
-    """(id, g, loss): sums of residuals per token; the loss is on the start id, which every text has once.
+
+def _gradients(scored: DataFrame, label: str, outputs: int, models: int, problem_type: str) -> DataFrame:
+    """(id, g, loss): sums of residuals per token; losses, one per model, are on the start id, which every text has once.
 
     Residuals are summed on the map side, so the shuffle carries the vocabulary, not the texts.
     """
@@ -70,99 +136,168 @@ def _gradients(scored: DataFrame, label: str, outputs: int, problem_type: str) -
         truth = F.transform(
             F.sequence(F.lit(0), F.lit(outputs - 1)), lambda k: F.when(k == F.col(label), 1.0).otherwise(0.0)
         )
-    rows = scored.select(
-        "ids", truth.alias("_y"), activation("logits", problem_type=problem_type).alias("_p")
-    )
 
     def cost(p: Column, y: Column) -> Column:
         wrong = (1.0 - y) * F.log(F.greatest(1.0 - p, F.lit(1e-12))) if problem_type == MULTI_LABEL else F.lit(0.0)
         return -(y * F.log(F.greatest(p, F.lit(1e-12))) + wrong)
 
-    total = F.aggregate(F.zip_with("_p", "_y", cost), F.lit(0.0), lambda acc, x: acc + x)
-    rows = rows.select("ids", F.zip_with("_p", "_y", lambda p, y: p - y).alias("_r"), total.alias("_loss"))
-    tokens = rows.select(F.explode_outer("ids").alias("id"), "_r", "_loss")
-    sums = [F.sum(F.get("_r", F.lit(k))) for k in range(outputs)]
-    loss = F.sum(F.when(F.col("id") == START_ID, F.col("_loss")))
-    return tokens.groupBy("id").agg(F.array(*sums).alias("g"), loss.alias("loss"))
+    def total(p: Column) -> Column:
+        return F.aggregate(F.zip_with(p, "_y", cost), F.lit(0.0), lambda acc, x: acc + x)
 
+    shares = [activation(_model("logits", i, outputs), problem_type=problem_type).alias(f"_p{i}") for i in range(models)]
+    rows = scored.select("ids", "tail", truth.alias("_y"), *shares)
+    residuals = [F.zip_with(f"_p{i}", "_y", lambda p, y: p - y) for i in range(models)]
+    rows = rows.select(
+        F.concat(F.transform("ids", lambda i: F.struct(i.alias("id"), F.lit(1).cast("bigint").alias("n"))), "tail").alias("_all"),
+        F.concat(*residuals).alias("_r"), F.array(*[total(F.col(f"_p{i}")) for i in range(models)]).alias("_loss"),
+    )
+    entries = rows.select(F.explode_outer("_all").alias("_e"), "_r", "_loss").select("_e.id", "_e.n", "_r", "_loss")
+    sums = [F.sum(F.col("n") * F.get("_r", F.lit(k))) for k in range(outputs * models)]
+    losses = [F.sum(F.when(F.col("id") == START_ID, F.get("_loss", F.lit(i)))) for i in range(models)]
+    return entries.groupBy("id").agg(F.array(*sums).alias("g"), F.array(*losses).alias("loss"))
 
-def _step(state: DataFrame, gradients: DataFrame, rows: int, epoch: int, rate: float, decay: float) -> DataFrame:
-    """Move the weights against the gradient, scaled by its running size, and shrink them a little."""
-    joined = state.select("id", "token", "w", "m", "v").join(gradients, "id", "left")
-    g = F.coalesce(F.transform("g", lambda x: x / F.lit(float(rows))), F.transform("w", lambda _: F.lit(0.0)))
-    joined = joined.select("id", "token", "w", "m", "v", "loss", g.alias("g"))
+
+def _step(state: DataFrame, gradients: DataFrame, rows: int, epoch: int, settings: list[Setting | None], outputs: int, max_epochs: int) -> DataFrame:
+    """Move the weights against the gradient, scaled by its running size, and shrink them a little.
+
+    A model that has stopped (None) keeps its values.
+    """
+    slots = outputs * len(settings)
+    rates, shrinks = [], []
+    for setting in settings:
+        rate = _rate(setting, epoch, max_epochs) if setting else 0.0
+        rates += [rate] * outputs
+        shrinks += [1.0 - rate * setting.weight_decay if setting else 1.0] * outputs
+    numbers = lambda values: F.array(*[F.lit(x) for x in values])
+    g = F.coalesce(F.transform("g", lambda x: x / F.lit(float(rows))), _zeros(slots))
+    joined = state.join(gradients, "id", "left").select("id", "w", "m", "v", "loss", g.alias("g"))
+    on = numbers([float(setting is not None) for setting in settings for _ in range(outputs)])
     mean = F.zip_with("m", "g", lambda m, x: m * MEAN_DECAY + x * (1 - MEAN_DECAY))
     square = F.zip_with("v", "g", lambda v, x: v * SQUARE_DECAY + x * x * (1 - SQUARE_DECAY))
-    moved = joined.select("id", "token", "w", "loss", mean.alias("m"), square.alias("v"))
+    moved = joined.select("id", "w", "loss", mean.alias("m"), square.alias("v"))
     move = F.zip_with(
-        "m", "v",
-        lambda m, v: F.lit(rate) * (m / (1 - MEAN_DECAY**epoch)) / (F.sqrt(v / (1 - SQUARE_DECAY**epoch)) + F.lit(GUARD)),
-    )
-    shrink = 1.0 - rate * decay
-    return moved.select(
-        "id", "token", F.zip_with("w", move, lambda w, d: w * F.lit(shrink) - d).alias("w"), "m", "v", "loss"
+        "m", "v", lambda m, v: (m / (1 - MEAN_DECAY**epoch)) / (F.sqrt(v / (1 - SQUARE_DECAY**epoch)) + F.lit(GUARD))
     )
+    if any(setting is None for setting in settings):
+        move = F.zip_with(move, on, lambda d, o: d * o)
+    shrunk = F.zip_with("w", numbers(shrinks), lambda w, s: w * s)
+    after = F.zip_with(shrunk, F.zip_with(move, numbers(rates), lambda d, r: d * r), lambda w, d: w - d)
+    return moved.select("id", after.alias("w"), "m", "v", "loss")
 
 
-def train_epochs(
+def _rate(setting: Setting, epoch: int, max_epochs: int) -> float:
+    return setting.learning_rate * (1 - (epoch - 1) / max_epochs)
+
+
+def train_epoch_grid(
     train: DataFrame,
     evaluation: DataFrame,
     vocabulary: DataFrame,
     outputs: int,
     problem_type: str,
-    run_id: str = "run",
+    settings: dict[str, Setting],
     max_epochs: int = MAX_EPOCHS,
-    learning_rate: float = 0.02,
-    weight_decay: float = WEIGHT_DECAY,
-    patience: int = EARLY_STOP_PATIENCE,
-    threshold: float = EARLY_STOP_THRESHOLD,
     limit: int = BROADCAST_BYTES,
-) -> EpochRun:
-    """Fit a fresh model by gradient steps over all of train, one step per epoch, at a falling rate.
+) -> dict[str, EpochRun]:
+    """Fit a fresh model for each setting (by run id) by gradient steps over all of train, one step per epoch, at a falling rate.
 
-    Texts are encoded and settled once. An epoch is one pass over train and one over the evaluation
-    rows; only the loss, the metrics and the decision to stop come to the driver. The state of each
-    epoch is settled, so the plan does not grow and a lost executor costs one epoch at most.
+    All models share the encoded texts and the passes over them: an epoch is one pass over train and one over the
+    evaluation rows for all models that still run, whose weights lie side by side. Each stops by itself, when its f1 has
+    not grown by more than its threshold for as many epochs as its patience. Only losses, metrics and these decisions
+    come to the driver. The state of each epoch is written, so the plan does not grow and a lost executor costs one epoch
+    at most; states that no model needs are deleted.
 
-    Weights measured within ``limit`` are handed to the tasks. Larger ones are joined to the tokens
-    and summed by a key that the rows are settled with.
+    Ids are ranks by frequency. The head, as many of the most frequent tokens as are within ``limit``, is looked up in
+    place; the tail is kept once by id and once by text, in buckets, so no token moves after the first epoch.
     """
+    if not settings:
+        raise ValueError("no settings")
+    spark = train.sparkSession
     label = "labels" if problem_type == MULTI_LABEL else "label"
-    blank = _zeros(outputs)
-    state = settle(vocabulary.select("id", "token", blank.alias("w"), blank.alias("m"), blank.alias("v")))
-    keyed = not fits(state.select("id", "w"), limit)
-    train_rows = _prepare(train, vocabulary, label, keyed, limit)
-    evaluation_rows = _prepare(evaluation, vocabulary, label, keyed, limit)
-    rows = train_rows.count()
+    names, running = list(settings), dict(settings)
+    slots = outputs * len(names)
+    scratch = Scratch(spark)
+    head = _head_size(vocabulary, slots, limit)
+    train_rows = _encoded(train, vocabulary, label, head, scratch)
+    evaluation_rows = _encoded(evaluation, vocabulary, label, head, scratch)
+    buckets = 0 if head is None else max(spark.sparkContext.defaultParallelism, -(-measure(vocabulary)[0] * 24 * slots // BUCKET_BYTES))
+    keep = lambda df: scratch.keep(df, "id" if buckets else None, buckets)
+    blank = _zeros(slots)
+    state = keep(vocabulary.select("id", blank.alias("w"), blank.alias("m"), blank.alias("v")))
+    rows = train_rows.rows.count()
     entries: list[tuple] = []
-    best, best_f1, waited = state, None, 0
+    best = {name: (state, None) for name in names}
+    waited = dict.fromkeys(names, 0)
     for epoch in range(1, max_epochs + 1):
-        rate = learning_rate * (1 - (epoch - 1) / max_epochs)
-        gradients = _gradients(_scored(train_rows, state, outputs, limit), label, outputs, problem_type)
-        state = settle(_step(state, gradients, rows, epoch, rate, weight_decay))
-        loss = state.where(F.col("id") == START_ID).first()["loss"]
+        now = [running.get(name) for name in names]
+        gradients = _gradients(_scored(train_rows, state, slots, head), label, outputs, len(names), problem_type)
+        before = state
+        stepped = keep(_step(state.select("id", "w", "m", "v"), gradients, rows, epoch, now, outputs, max_epochs))
+        state = stepped
+        losses = state.where(F.col("id") == START_ID).first()["loss"] or [0.0] * len(names)
         started = time.perf_counter()
-        scored = _scored(evaluation_rows, state, outputs, limit)
-        measured = metrics_for(scored, problem_type).first()
-        seconds = time.perf_counter() - started
-        logged = {LOSS: {"loss": (loss or 0.0) / max(rows, 1), "learning_rate": rate, "step": epoch}}
-        logged[EVAL] = {**{name: measured[name] for name in METRICS}, "eval_runtime": seconds, "step": epoch}
-        entries += [
-            (run_id, float(epoch), kind, name, float(value))
-            for kind, values in logged.items()
-            for name, value in values.items()
+        scored = _scored(evaluation_rows, state, slots, head)
+        cut = [
+            F.struct(F.lit(name).alias("run"), _model("logits", i, outputs).alias("logits"))
+            for i, name in enumerate(names)
+            if name in running
         ]
-        f1 = measured["f1"]
-        waited = 0 if best_f1 is None or f1 - best_f1 > threshold else waited + 1
-        if best_f1 is None or f1 > best_f1:
-            best, best_f1 = state, f1
-        if waited >= patience:
+        per_model = metrics_for(scored.select(label, F.inline(F.array(*cut))), problem_type, by=("run",))
+        measured = {row["run"]: row for row in per_model.collect()}
+        seconds = time.perf_counter() - started
+        for i, name in enumerate(names):
+            if name not in running:
+                continue
+            setting, row = running[name], measured.get(name)
+            found = {metric: row[metric] if row else 0.0 for metric in METRICS}
+            logged = {
+                LOSS: {"loss": (losses[i] or 0.0) / max(rows, 1), "learning_rate": _rate(setting, epoch, max_epochs), "step": epoch},
+                EVAL: {**found, "eval_runtime": seconds, "step": epoch},
+            }
+            entries += [
+                (name, float(epoch), kind, metric, float(value))
+                for kind, values in logged.items()
+                for metric, value in values.items()
+            ]
+            highest = best[name][1]
+            waited[name] = 0 if highest is None or found["f1"] - highest > setting.threshold else waited[name] + 1
+            if highest is None or found["f1"] > highest:
+                best[name] = (state, found["f1"])
+            if waited[name] >= setting.patience:
+                del running[name]
+        if all(before is not kept for kept, _ in best.values()):
+            scratch.drop(before)
+        if not running:
             break
-    log = train.sparkSession.createDataFrame(entries, METRIC_LOG)
+    log = spark.createDataFrame(entries, METRIC_LOG)
     is_bias = F.col("id") == START_ID
-    weights = best.where(is_bias | (F.col("id") >= FIRST_ID)).select(
-        F.when(is_bias, BIAS_ID).otherwise(F.col("id")).alias("id"),
-        F.when(~is_bias, F.col("token")).alias("token"),
-        F.col("w").alias("weights"),
-    )
-    return EpochRun(Model(settle(weights), outputs, problem_type), log)
+    named = vocabulary.select("id", "token").where(is_bias | (F.col("id") >= FIRST_ID))
+    runs = {}
+    for i, name in enumerate(names):
+        weights = best[name][0].select("id", _model("w", i, outputs).alias("weights")).join(named, "id").select(
+            F.when(is_bias, BIAS_ID).otherwise(F.col("id")).alias("id"),
+            F.when(~is_bias, F.col("token")).alias("token"),
+            "weights",
+        )
+        runs[name] = EpochRun(Model(settle(weights), outputs, problem_type), log.where(F.col("run_id") == name))
+    scratch.close()
+    return runs
+
+
+def train_epochs(
+    train: DataFrame,
+    evaluation: DataFrame,
+    vocabulary: DataFrame,
+    outputs: int,
+    problem_type: str,
+    run_id: str = "run",
+    max_epochs: int = MAX_EPOCHS,
+    learning_rate: float = 0.02,
+    weight_decay: float = WEIGHT_DECAY,
+    patience: int = EARLY_STOP_PATIENCE,
+    threshold: float = EARLY_STOP_THRESHOLD,
+    limit: int = BROADCAST_BYTES,
+) -> EpochRun:
+    """One model; see :func:`train_epoch_grid`."""
+    settings = {run_id: Setting(learning_rate, weight_decay, patience, threshold)}
+    return train_epoch_grid(train, evaluation, vocabulary, outputs, problem_type, settings, max_epochs, limit)[run_id]

@@ -24,11 +24,17 @@ def timed_write(write: Callable[[], None]) -> float:
     return time.perf_counter() - start
 
 
-def stored_mb(spark: SparkSession, path: str) -> float:
-    """Megabytes of the files of a written table; file contents are not read."""
+def stored_files(spark: SparkSession, path: str) -> DataFrame:
+    """(files, bytes): one row about the data files below a path; file contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    total = files.where(F.col("path").endswith(".parquet")).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-    return round(total / (1024 * 1024), 1)
+    return files.where(F.col("path").endswith(".parquet")).agg(
+        F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")
+    )
+
+
+def stored_mb(spark: SparkSession, path: str) -> float:
+    """Megabytes of the files of a written table."""
+    return round(stored_files(spark, path).first()["bytes"] / (1024 * 1024), 1)
 
 
 def rates(prefix: str, seconds: float, rows: int, batch_size: int, epochs: int = 1) -> dict[str, float]:

@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 import numpy as np
 from pyspark.ml.functions import predict_batch_udf
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from lexiloom.config import BROADCAST_BYTES, INFERENCE_BATCH
 from lexiloom.functions.text import tokens
-from lexiloom.functions.vectors import activation, round_scores
+from lexiloom.functions.vectors import activation, bind, round_scores
 from lexiloom.operators.lookup import find, hash_buckets, lookup_join, with_value
-from lexiloom.operators.staging import with_stable_key
+from lexiloom.operators.staging import free_name, with_stable_key
 from lexiloom.operators.train import BIAS_ID, Model
 
 
@@ -22,6 +22,44 @@ def require_text(df: DataFrame, text: str) -> None:
         raise TypeError(f"scoring needs a string column {text!r}")
 
 
+def token_sums(
+    df: DataFrame, table: DataFrame, columns: dict[str, str], outputs: int, text: str = "text", key: str | None = None,
+    limit: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Add ``_name`` for each array column of ``table`` (token, ...): its values summed over the tokens of the text.
+
+    ``columns`` names the columns and the type to sum in. A table measured within ``limit`` is handed to the tasks and rows
+    are summed in place, with no shuffle and no key; each token is looked up once for all columns. For a larger one tokens
+    are joined to it and summed by ``key``, which must be unique; without one the rows are settled with a key of their own.
+    """
+    zeros = {name: F.array_repeat(F.lit(0).cast(kind), outputs) for name, kind in columns.items()}
+    packed = hash_buckets(table.select("token", F.struct(*columns).alias("_v")), "token", "_v", limit)
+    if packed:
+        buckets, n = packed
+        ready = with_value(df, "_buckets", buckets)
+
+        def add(acc: Column, t: Column) -> Column:
+            more = lambda v: F.struct(*[F.zip_with(acc[c], v[c], lambda a, w: a + w).alias(c) for c in columns])
+            return bind(find(F.col("_buckets"), t, n), lambda v: F.when(v.isNull(), acc).otherwise(more(v)))
+
+        start = F.struct(*[zero.alias(name) for name, zero in zeros.items()])
+        summed = ready.select(*df.columns, F.aggregate(F.coalesce(tokens(text), F.array().cast("array<string>")), start, add).alias("_sums"))
+        return summed.select(*df.columns, *[F.col("_sums")[name].alias(f"_{name}") for name in columns])
+    names = df.columns
+    if key is None:
+        key = free_name(df, "_row_key")
+        df = with_stable_key(df, key)
+    pieces = df.select(key, F.explode(tokens(text)).alias("token"))
+    found = lookup_join(pieces, table, "token", "inner", limit)
+    sums = [
+        F.array(*[F.sum(F.get(name, F.lit(k)).cast(kind)) for k in range(outputs)]).alias(f"_{name}")
+        for name, kind in columns.items()
+    ]
+    joined = df.join(found.groupBy(key).agg(*sums), key, "left")
+    # A text without any known token has sums of 0.
+    return joined.select(*names, *[F.coalesce(f"_{name}", zeros[name]).alias(f"_{name}") for name in columns])
+
+
 def add_logits(
     df: DataFrame, model: Model, text: str = "text", key: str | None = None, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
@@ -46,7 +84,7 @@ def add_logits(
         return ready.select(*df.columns, logits.alias("logits"))
     columns = df.columns
     if key is None:
-        key = "_row_key"
+        key = free_name(df, "_row_key")
         df = with_stable_key(df, key)
     pieces = df.select(key, F.explode(tokens(text)).alias("token"))
     found = lookup_join(pieces, weights, "token", "inner", limit)

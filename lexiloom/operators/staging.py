@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from lexiloom.config import BROADCAST_BYTES
 
 ROW_OVERHEAD = 32
+# Bytes of an element of an array; others take 8.
+_BYTES = {T.ByteType: 1, T.BooleanType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4}
 
 
 def staging_dir(spark: SparkSession) -> str:
@@ -44,11 +46,55 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores in front of it, so that no column of ``df`` has it."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def with_stable_key(df: DataFrame, name: str) -> DataFrame:
     """``df``, settled, with a unique key that is the same whenever it is read."""
     return settle(df.withColumn(name, F.monotonically_increasing_id()))
 
 
+#: Database of the tables of :class:`Scratch`; its folder lies in the shared folder.
+SCRATCH = "lexiloom_scratch"
+
+
+class Scratch:
+    """Intermediate tables in the shared folder whose files are deleted as soon as they are not needed any more.
+
+    A table can be kept in buckets of a key: joins and groupings by that key then find its rows where they lie.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.names: dict[int, tuple[DataFrame, str]] = {}
+        folder = f"{staging_dir(spark).rstrip('/')}/tables"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH} LOCATION '{folder}'")
+
+    def keep(self, df: DataFrame, key: str | None = None, buckets: int = 0) -> DataFrame:
+        name = f"{SCRATCH}.t{uuid.uuid4().hex}"
+        if key:
+            df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+        else:
+            df.write.saveAsTable(name)
+        kept = self.spark.table(name)
+        self.names[id(kept)] = kept, name
+        return kept
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that :meth:`keep` returned; other ones are left alone."""
+        for table in tables:
+            if id(table) in self.names:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.names.pop(id(table))[1]}")
+
+    def close(self) -> None:
+        self.drop(*[table for table, _ in self.names.values()])
+
+
 def _width(value, data_type: T.DataType):
     """Bytes a value takes, as an expression."""
     if isinstance(data_type, (T.StringType, T.BinaryType)):
@@ -59,7 +105,7 @@ def _width(value, data_type: T.DataType):
             zero = F.lit(8).cast("long")
             total = F.aggregate(value, zero, lambda acc, x: acc + _width(x, element).cast("long"))
             return F.coalesce(total, zero)
-        return F.coalesce(F.size(value), F.lit(0)).cast("long") * 8 + F.lit(8)
+        return F.coalesce(F.size(value), F.lit(0)).cast("long") * _BYTES.get(type(element), 8) + F.lit(8)
     if isinstance(data_type, T.MapType):
         return _width(F.map_keys(value), T.ArrayType(data_type.keyType)) + _width(
             F.map_values(value), T.ArrayType(data_type.valueType)

@@ -16,7 +16,7 @@ from lexiloom.operators.train import train_multi_label, train_single_label
 from lexiloom.plans.multi_label import multi_label_predictions
 from lexiloom.plans.single_label import single_label_predictions
 from lexiloom.schemas import Splits
-from lexiloom.sources.models import load_model, save_model
+from lexiloom.sources.models import load_model, model_path, save_model
 from lexiloom.sources.readers import read_table
 from lexiloom.sources.writers import replace_table, save_table
 
@@ -51,7 +51,7 @@ def train_run(
     run_id: str,
     models: str,
     runs: str,
-    vocabulary_size: int = 30_000,
+    vocabulary_size: int | None = None,
     smoothing: float = 1.0,
 ) -> DataFrame:
     """Fit on train, evaluate on test, keep the model and append the run to the runs table."""
@@ -83,7 +83,7 @@ def train_run(
         ),
         merged(
             {name: round(best[name], 4) for name in METRICS},
-            {"model_size_mb": stored_mb(spark, f"{models.rstrip('/')}/run_id={run_id}")},
+            {"model_size_mb": stored_mb(spark, model_path(models, run_id))},
             rates("train", train_seconds, counts.get("train", 0), TRAIN_BATCH),
             rates("eval", eval_seconds, counts.get("test", 0), EVAL_BATCH),
         ),

@@ -11,8 +11,6 @@ from lexiloom.config import MULTI_LABEL, Dataset, dataset
 from lexiloom.operators.prepare import label_columns, label_dimension_of_columns, multi_label_pack
 from lexiloom.schemas import LABELS, SINGLE_LABEL_EXAMPLES, Splits, conform
 
-SMALL_SHARE_BYTES = 16 * 1024 * 1024
-
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """A saved table by name, or a parquet path."""
@@ -102,11 +100,6 @@ def with_row_key(df: DataFrame, name: str = "row_key") -> DataFrame:
     )
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread an input too small to fill the executors' cores by a hash of its unique key.
-
-    Large inputs are returned as they are: their files already give every core enough to do.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, key) if size < cores * SMALL_SHARE_BYTES else df
+def spread(df: DataFrame, key: str, partitions: int | None) -> DataFrame:
+    """Spread rows by a hash of their unique key, for an input with fewer files than there are cores; None: as read."""
+    return df if partitions is None else df.repartition(partitions, key)

@@ -15,6 +15,7 @@ def spark():
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": "8",
+            "spark.lexiloom.input.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",

@@ -40,6 +40,20 @@ def test_tokens_of_ids(spark):
     assert by_id(decode(rows, vocabulary, limit=0), "tokens") == want
 
 
+def test_ids_and_tokens_without_a_key(spark):
+    """Rows that repeat an id, and rows without one, keep their own tokens at every size of the vocabulary."""
+    rows = spark.createDataFrame([(1, "a b", "x"), (1, "c", "y"), (None, "b", "z"), (None, None, "n"), (1, "a b", "x")], "doc_id long, text string, _row_key string")
+    vocabulary = build_vocabulary(rows, None)
+    for df in (rows, rows.select("text"), rows.select("text", "_row_key")):
+        small = encode(df, vocabulary)
+        large = encode(df, vocabulary, limit=0)
+        assert large.columns == small.columns == [*df.columns, "input_ids"]
+        assert sorted(map(str, large.collect())) == sorted(map(str, small.collect()))
+        both = [decode(small, vocabulary, limit=limit) for limit in (1 << 26, 0)]
+        assert sorted(map(str, both[0].collect())) == sorted(map(str, both[1].collect()))
+        assert [r.tokens for r in both[0].collect() if r.text == "c"] == [["[CLS]", "c", "[SEP]"]]
+
+
 @pytest.mark.parametrize("key", ["doc_id", None])
 def test_names_of_gapped_indices(spark, key):
     labels = spark.createDataFrame([(0, "x"), (5, "y")], "idx int, label string")

@@ -35,7 +35,7 @@ def test_store_train_predict(spark, tmp_path, make):
 
     models, runs = f"{tmp_path}/models", f"{tmp_path}/runs"
     ds.train_run(spark, info, "small", models, runs, vocabulary_size=1)
-    run = ds.train_run(spark, info, "large", models, runs, vocabulary_size=5000).first()
+    run = ds.train_run(spark, info, "large run/1", models, runs).first()
     assert run.params["dataset"] == info.name and run.metrics["train_rows"] == counts["train"]
     assert run.metrics["f1"] > 0.5 and run.metrics["eval_rows"] == counts["test"]
     best = ds.choose_run(spark, runs, info)
