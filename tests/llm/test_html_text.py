@@ -54,6 +54,44 @@ def test_text_beside_the_dominant_container():
     assert html_text.main_text(f"<p>{end}</p><div><p>{long}</p></div><p>{end}") == f"{end}\n{long}\n{end}"
 
 
+def test_the_cluster_decides_without_an_article(monkeypatch):
+    """Unmarked boilerplate in containers of its own falls, short lines beside and between the content stay."""
+    long = ("A sentence of the text that is long enough to count as one. " * 8).strip()
+    before = "<div><p>Our paper since 1950</p><p>All about us and you</p></div><div><span>Monday</span></div>"
+    after = "<div><p>Printed in our own house</p></div><div><p>Call us on any day</p><p>Imprint and terms</p></div>"
+    middle = f"<div><h2>Head</h2><p>{long}</p><p>Short.</p><div><p>Shorter.</p></div><p>{long}</p><p>{long}</p><p>The end.</p></div>"
+    html = f"<body>{before}{middle}{after}</body>"
+    want = "\n".join(["Head", long, "Short.", "Shorter.", long, long, "The end."])
+    assert html_text.main_text(html) == want
+    monkeypatch.setattr(html_text, "_content", lambda ratios: ratios > -1)
+    assert "Our paper" in html_text.main_text(html) and "Imprint" in html_text.main_text(html)
+
+
+def test_class_words_rule_out_small_blocks_only():
+    text = ("A sentence of the text. " * 20).strip()
+    article = f"<article><p>{text}</p></article>"
+    for html in (
+        f'<div class="site has-sidebar">{MENU}{article}</div>',
+        f'<div class="long-form">{article}</div>',
+        f"<nav><ul><li><a href=/>Home</a></ul>{article}",
+        f"<body><div class=share><a href=/>Share</a>{article}</div></body>",
+        f'<div class="sidebar"><p>{text}</p></div><p>Few words.</p>'.replace("<p>Few words.</p>", ""),
+        f'<div class="page header"><main><p>{text}</p></main></div>',
+    ):
+        assert html_text.main_text(html) == text, html
+    comments = "<section class=comments>" + f"<article class=comment><p>{text} {text}</p></article>" * 3 + "</section>"
+    assert html_text.main_text(f"<body>{article}{comments}</body>") == text
+    assert html_text.main_text(f"<body><main><p>{text}</p></main><div id=comments>{comments}</div></body>") == text
+    assert html_text.main_text(f"<aside><article><p>{text}</p></article></aside><main><p>The text.</p></main>") == "The text."
+
+
+def test_words_of_classes():
+    for value in ("sidebar", "cookie-notice", "x site_header", "ad", "AD banner", "widget-2", "post-comments"):
+        assert html_text.marks(value), value
+    for value in ("has-sidebar", "long-form", "content", "advice", "comment-free zone", "two-column-header-image", ""):
+        assert not html_text.marks(value), value
+
+
 def test_odd_pages(spark):
     long = "<p>" + "long text " * 50_000
     rows = [(1, None, None), (2, "u", ""), (3, "u", "<p"), (4, None, "&am"), (5, "u", "</p></div>plain &amp"), (6, "u", long), (None, "u", "<nav>x</nav>"), (2, "u", "")]
