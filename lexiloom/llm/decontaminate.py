@@ -19,9 +19,11 @@ Candidates are then confirmed exactly: the weighted similarity of their five-wor
 occurrences; the whole sequence if shorter), the sum of the smaller weights over the sum of the greater ones, must be at
 least ``THRESHOLD``. The distance of a window is that of its fingerprint; if a part led to it, it can exceed the radius.
 
-The items are handled in slices of a bounded size, which go along with the tasks; more items mean more passes over the
-documents. Items without words are not searched. Null or empty texts contain nothing. Repeated rows are judged one by one,
-repeated items are searched under the smallest id of their words. Other columns are not read.
+The items are handled in slices of about a bounded size, which go along with the tasks; more items mean more passes over
+the documents. Items are made distinct and dealt into slices by Spark, so the driver holds one slice at a time. Items without
+words are not searched; items without an id are, and are reported with a null id. Null or empty texts contain nothing. Rows
+are judged one by one, with or without an id; repeated items are searched under the smallest id of their words. Without items
+no document contains one, and empty documents give no row. Other columns of the documents are not read.
 """
 
 from __future__ import annotations
@@ -32,7 +34,8 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from lexiloom.llm.common import append_columns, shingle_hashes, word_hashes
+from lexiloom.llm.common import append_columns, shingle_hashes, stored, word_hashes
+from lexiloom.operators.staging import free_name
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.75
@@ -41,8 +44,8 @@ BLOCKS = 4
 BLOCK_BITS = 16
 FLIPS = RADIUS // BLOCKS
 #: Items, and words of items, that one pass over the documents searches for.
-SLICE_ITEMS = 2_000
-SLICE_WORDS = 200_000
+SLICE_ITEMS = 20_000
+SLICE_WORDS = 2_000_000
 #: Ratio of neighbouring window sizes.
 SIZE_RATIO = 1.35
 #: Words of a part of an item, and of a part of the smallest items that have parts. Smaller ones must be met unchanged.
@@ -387,55 +390,58 @@ HIT = T.StructType(
         T.StructField("similarity", T.DoubleType()),
     ]
 )
-HITS = T.StructType([T.StructField("_hits", T.ArrayType(HIT))])
-
-
-def slices(items: DataFrame) -> Iterator[list[tuple[int, list[bytes]]]]:
-    """The items by slices of bounded size; each distinct sequence of words once, under its smallest id."""
-    rows = items.where("item_id is not null and text is not null").select("item_id", "text").orderBy("item_id")
-    current: list[tuple[int, list[bytes]]] = []
-    seen: set[bytes] = set()
-    total = 0
-    for row in rows.toLocalIterator():
-        words = words_of(row["text"])
-        key = b" ".join(words)
-        if not words or key in seen:
-            continue
-        seen.add(key)
-        if current and (len(current) >= SLICE_ITEMS or total + len(words) > SLICE_WORDS):
-            yield current
-            current, total = [], 0
-        current.append((row["item_id"], words))
-        total += len(words)
-    if current:
-        yield current
-
-
-def _searched(docs: DataFrame, items: list[tuple[int, list[bytes]]]) -> DataFrame:
+Item = tuple[int | None, list[bytes]]
+
+
+def slices(items: DataFrame) -> Iterator[list[Item]]:
+    """The items by slices of bounded size, each read when it is needed; each distinct sequence of words once, under its
+    smallest id, or without one if none of its rows has an id."""
+    outputs = T.StructType([T.StructField("_words", T.BinaryType()), T.StructField("_n", T.LongType())])
+
+    def cut(lists: list[list]) -> list[list]:
+        found = [words_of(text) for text in lists[0]]
+        return [[b" ".join(words) for words in found], [len(words) for words in found]]
+
+    rows = append_columns(items.where("text is not null").select("item_id", "text"), ["text"], outputs, cut)
+    rows = rows.where("_n > 0").groupBy(F.sha2("_words", 256).alias("_key")).agg(
+        F.min("item_id").alias("item_id"), F.first("_words").alias("_words"), F.first("_n").alias("_n")
+    )
+    rows = stored(rows, "items")
+    size = rows.agg(F.count(F.lit(1)).alias("items"), F.coalesce(F.sum("_n"), F.lit(0)).alias("words")).first()
+    n = max(-(-size["items"] // SLICE_ITEMS), -(-size["words"] // SLICE_WORDS))
+    for number in range(n):
+        part = rows.where(F.pmod(F.xxhash64("_key"), F.lit(n)) == number).select("item_id", "_words").collect()
+        if part:
+            order = sorted(part, key=lambda row: (row["item_id"] is None, row["item_id"] or 0, row["_words"]))
+            yield [(row["item_id"], bytes(row["_words"]).split(b" ")) for row in order]
+
+
+def _searched(docs: DataFrame, items: list[Item], name: str) -> DataFrame:
+    """``docs`` with the hits of ``items`` in the column ``name``."""
     shared = docs.sparkSession.sparkContext.broadcast(items)
     kept: list[Index] = []
 
     def search(lists: list[list]) -> list[list]:
         if not kept:
-            kept.append(Index(shared.value))
-        return [kept[0].hits(lists[0])]
+            kept.append(Index([(at, words) for at, (_, words) in enumerate(shared.value)]))
+        ids = [item_id for item_id, _ in shared.value]
+        return [[[(ids[at], *rest) for at, *rest in hits] for hits in kept[0].hits(lists[0])]]
 
-    return append_columns(docs, ["text"], HITS, search)
+    return append_columns(docs, ["text"], T.StructType([T.StructField(name, T.ArrayType(HIT))]), search)
 
 
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """One row per document row and item that it contains: doc_id, item_id, first_word, n_words, distance, similarity."""
     result = docs.sparkSession.createDataFrame([], T.StructType([T.StructField("doc_id", T.LongType()), *HIT]))
     for part in slices(items):
-        found = _searched(docs.select("doc_id", "text"), part)
+        found = _searched(docs.select("doc_id", "text"), part, "_hits")
         result = result.union(found.select("doc_id", F.explode("_hits").alias("hit")).select("doc_id", "hit.*"))
     return result
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that contain no item."""
+    columns, name = docs.columns, free_name(docs, "_hits")
     for part in slices(items):
-        docs = _searched(docs, part).where(F.size("_hits") == 0).drop("_hits")
+        docs = _searched(docs, part, name).where(F.size(name) == 0).select(*[f"`{column}`" for column in columns])
     return docs
-
-

@@ -21,7 +21,9 @@ def odd_docs(spark):
         (1, None), (2, ""), (3, " \n\t "), (None, None), (None, "some text without an id"), (4, "short"),
         (5, long), (6, long), (7, "twice the same row " * 20), (7, "twice the same row " * 20), (8, "Ünï©ode 😀 " * 60),
     ]
-    rows = [(i, t, None if i == 4 else "en", None, True, 7, "x", 1.5) for i, t in rows]
+    rows = [(i, t, None if i == 4 else "en", None, True, 7, "x", 1.5, "e", 2, "h", 9, "t") for i, t in rows]
     return spark.createDataFrame(
-        rows, "doc_id long, text string, lang string, source string, kept boolean, n_words int, labels string, score double"
+        rows,
+        "doc_id long, text string, lang string, source string, kept boolean, n_words int, labels string, score double, "
+        "_email string, _new int, _hits string, _q_n_words int, _text string",
     )

@@ -150,3 +150,22 @@ def test_odd_rows(spark, odd_docs):
     assert dc.contaminated(odd_docs.limit(0), items).count() == 0
     assert dc.contaminated(odd_docs, items.limit(0)).count() == 0
     assert dc.clean(odd_docs, items.limit(0)).count() == odd_docs.count()
+
+
+def test_items_without_an_id_and_clashing_columns(spark, odd_docs, monkeypatch):
+    """Items are searched with or without an id, in as many slices as their number asks for."""
+    monkeypatch.setattr(dc, "SLICE_ITEMS", 2)
+    words = [f"w{i}" for i in range(400)]
+    phrase = lambda a, n: " ".join(words[a : a + n])
+    items = [(None, phrase(0, 30)), (7, phrase(50, 30)), (3, phrase(50, 30).upper()), (9, phrase(100, 40)), (None, None), (5, " "), (None, phrase(0, 30)), (8, phrase(200, 50))]
+    items = spark.createDataFrame([(*item, "x") for item in items], "item_id long, text string, doc_id string")
+    docs = [(1, f"so {phrase(0, 30)} end"), (2, phrase(45, 40)), (3, phrase(300, 60)), (4, None), (None, phrase(100, 40)), (6, phrase(195, 60))]
+    docs = spark.createDataFrame([(*doc, "h", 5) for doc in docs], "doc_id long, text string, _hits string, __hits int")
+    found = {(r.doc_id, r.item_id) for r in dc.contaminated(docs, items).collect()}
+    assert found == {(1, None), (2, 3), (None, 9), (6, 8)}
+    cleaned = dc.clean(docs, items)
+    assert cleaned.columns == docs.columns
+    assert sorted(tuple(r) for r in cleaned.collect()) == [(3, phrase(300, 60), "h", 5), (4, None, "h", 5)]
+    assert sum(len(part) for part in dc.slices(items)) == 4
+    assert dc.clean(odd_docs, items.limit(0)).count() == odd_docs.count()
+    assert dc.contaminated(docs, items.limit(0)).isEmpty() and dc.contaminated(docs.limit(0), items).isEmpty()
