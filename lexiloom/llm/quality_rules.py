@@ -2,8 +2,9 @@
 
 Counts of every text are taken in one pass without a shuffle. A decision list is learned from labelled rows by
 sequential covering: a rule is a conjunction of thresholds, grown on one part of the sample by information gain and
-pruned on the other; rows it covers leave the sample, then the next rule is grown. The list becomes one ordered Spark
-conditional expression.
+pruned on the other; rows it covers leave the sample, then the next rule is grown. A rule that is not good enough is dropped
+and the rows it covers are set aside, so that others can still be found. The list becomes one ordered Spark conditional
+expression.
 
 Null or empty texts have zero counts, fail the base rule and are not kept. Repeated rows are judged one by one.
 Labels with a null id or value, or with two values for one id, are not used. Without labels of both kinds the list is
@@ -143,13 +144,16 @@ def learn(
 ) -> list[Rule]:
     """Sequential covering of the rows ``bad``.
 
-    ``prune_part`` marks the rows a grown rule is pruned and accepted on. A rule is accepted if, there, at least
-    ``min_precision`` of the rows it covers are bad and it covers ``min_rows`` of them over both parts.
+    ``prune_part`` marks the rows a grown rule is pruned on: the shortest beginning with the highest smoothed precision stays.
+    A rule is accepted if at least ``min_precision`` of the rows it covers are bad, on that part (of which it must cover
+    some) and over both, and if it covers ``min_rows`` bad rows over both. The rows of a rejected rule are set aside: no
+    further rule is grown for them, but accepted rules still cover them, and they count in the tests of later rules.
     """
     rules: list[Rule] = []
     left = np.ones(len(bad), dtype=bool)
-    while (bad & left & ~prune_part).any():
-        grow = left & ~prune_part
+    aside = np.zeros(len(bad), dtype=bool)
+    while (bad & left & ~aside & ~prune_part).any():
+        grow = left & ~aside & ~prune_part
         part = {name: column[grow] for name, column in values.items()}
         target = bad[grow]
         rule: Rule = ()
@@ -168,17 +172,31 @@ def learn(
         for size in range(1, len(rule) + 1):
             found = covers(rule[:size], held, int(test.sum()))
             p, n = int((found & bad[test]).sum()), int((found & ~bad[test]).sum())
-            worth.append(((p - n) / (p + n) if p + n else -1.0, p / (p + n) if p + n else 0.0, -size))
-        value, precision, size = max(worth)
+            worth.append(((p + 1) / (p + n + 2), -size, p / (p + n) if p + n else 0.0))
+        _, size, precision = max(worth)
         rule = rule[:-size]
         found = covers(rule, values, len(bad)) & left
-        if precision < min_precision or int((found & bad).sum()) < min_rows:
-            break
-        rules.append(rule)
-        left &= ~found
+        n_bad = int((found & bad).sum())
+        if precision < min_precision or n_bad < min_rows or n_bad < min_precision * int(found.sum()):
+            aside |= found | (grow & bad & covers(rule, values, len(bad)))
+            if not (found & grow).any():
+                break
+        else:
+            rules.append(rule)
+            left &= ~found
     return rules
 
 
+def parts(ids: np.ndarray, bad: np.ndarray) -> np.ndarray:
+    """Marks the prune part: every third row of each class in the order of a hash of the ids, so both parts have both classes."""
+    order = np.argsort(ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), kind="stable")
+    part = np.zeros(len(ids), dtype=bool)
+    for kind in (True, False):
+        of_kind = order[bad[order] == kind]
+        part[of_kind[2::3]] = True
+    return part
+
+
 def verdict(rules: list[Rule], columns: dict[str, Column]) -> Column:
     """True for rows that no rule of the ordered list rejects."""
     result = None
@@ -218,9 +236,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> l
     if got["_quality"].nunique() < 2:
         return []
     values = {name: got[f"_f_{name}"].to_numpy(dtype=float) for name in names}
-    ids = got["doc_id"].to_numpy().astype(np.uint64)
-    prune_part = (ids * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(3) == 0
-    return learn(values, got["_quality"].to_numpy() == 0, prune_part)
+    bad = got["_quality"].to_numpy() == 0
+    return learn(values, bad, parts(got["doc_id"].to_numpy(), bad))
 
 
 def judge(docs: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -236,6 +253,9 @@ def judge(docs: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def keep_good(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     """The rows of ``docs`` that pass the base rule and the list, with their own columns."""
-    counted = with_counts(docs, "_q_")
-    passed = ~base_failed("_q_") & verdict(rules, features("_q_"))
+    prefix = "_q_"
+    while any(name.lower().startswith(prefix) for name in docs.columns):
+        prefix = f"_{prefix}"
+    counted = with_counts(docs, prefix)
+    passed = ~base_failed(prefix) & verdict(rules, features(prefix))
     return counted.where(passed).select(*[f"`{name}`" for name in docs.columns])

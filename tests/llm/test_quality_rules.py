@@ -41,6 +41,68 @@ def test_list_finds_planted_conjunction():
     assert (hit == bad).mean() > 0.98
 
 
+def test_covering_goes_on_after_a_rejected_rule():
+    """The first rule that is grown covers a noisy corner and is dropped; the clean one after it is found all the same."""
+    rng = np.random.default_rng(2)
+    n = 900
+    values = {"a": rng.random(n), "b": rng.random(n)}
+    noisy = values["a"] > 0.8
+    clean = values["b"] > 0.95
+    bad = clean | noisy & (rng.random(n) < 0.6)
+    part = np.arange(n) % 3 == 0
+    found = rules.learn(values, bad, part, max_conditions=1)
+    assert found
+    for at, rule in enumerate(found):
+        before = np.zeros(n, dtype=bool)
+        for other in found[:at]:
+            before |= rules.covers(other, values, n)
+        hit = rules.covers(rule, values, n) & ~before
+        assert bad[hit].mean() >= 0.9 and bad[hit & part].mean() >= 0.9 and (bad & hit).sum() >= 5
+    every = np.zeros(n, dtype=bool)
+    for rule in found:
+        every |= rules.covers(rule, values, n)
+    assert (every & clean).sum() > 0.8 * clean.sum()
+
+
+def test_best_condition_by_trying_all():
+    """The gain of the chosen condition is that of the best one among all cuts between values."""
+    rng = np.random.default_rng(3)
+    for _ in range(30):
+        values = {name: rng.integers(0, 8, 40).astype(float) for name in ("a", "b")}
+        bad = rng.random(40) < 0.3
+        if bad.all() or not bad.any():
+            continue
+        before = np.log2(bad.mean())
+
+        def gain(hit):
+            p, n = int((hit & bad).sum()), int((hit & ~bad).sum())
+            return p * (np.log2(p / (p + n)) - before) if p else -1.0
+
+        tried = [gain(hit) for c in values.values() for cut in np.arange(-0.5, 8, 0.5) for hit in (c > cut, c <= cut)]
+        best, condition = rules._best_condition(values, bad, 256)
+        if condition is not None:
+            assert abs(best - gain(condition.holds(values))) < 1e-9
+        assert best >= max(0.0, max(tried)) - 1e-9
+
+
+def test_list_is_learned_from_few_labels(spark):
+    """At 399 labelled rows the list finds what the base rule leaves."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet") for name in ("documents", "labels"))
+    found = rules.fit(docs, labels)
+    judged = rules.judge(docs, found).join(labels, "doc_id").collect()
+    low = [r for r in judged if r.quality == 0 and not r.base_failed]
+    good = [r for r in judged if r.quality == 1 and not r.base_failed]
+    assert found and sum(not r.kept for r in low) >= 0.9 * len(low) > 10
+    assert sum(r.kept for r in good) >= 0.98 * len(good)
+
+
+def test_parts_hold_both_classes():
+    for n_bad in (3, 7, 58):
+        bad = np.arange(100) < n_bad
+        part = rules.parts(np.arange(100) * 17, bad)
+        assert part[bad].sum() == n_bad // 3 and part[~bad].sum() == (100 - n_bad) // 3
+
+
 def test_expression_agrees_with_numpy(spark):
     rng = np.random.default_rng(1)
     values = {"words": rng.integers(0, 200, 500).astype(float), "upper_case": rng.random(500).round(2)}
