@@ -11,7 +11,9 @@ added to the base spans where they overlap none.
 Counting of votes and features is an aggregation over all documents; only the counts, whose number is bounded by the
 kinds, the vote patterns and the feature buckets, reach the driver.
 
-Null texts count as empty. Repeated rows are handled one by one. Other columns are passed through or not read.
+Null texts count as empty; an empty table gives no row. Repeated rows are handled one by one. Other columns are passed
+through or not read. Texts are read whole. Of spans of one kind that overlap the leftmost counts, of added ones that begin
+together the shorter.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ LABELERS = ("regex", "gazetteer", "context", "form")
 SHAPE_BUCKETS = 64
 #: Least probability of an added span.
 SURE = 0.9
+#: Candidates that the starting share of true spans counts for.
+SHARE_WEIGHT = 20
 
 # The first pattern of an email is tried where a run of its characters begins, or where the last match ended: a match can
 # begin nowhere else, and long runs are read once. Repeated groups are possessive where nothing follows them: they give
@@ -50,7 +54,7 @@ WIDE_PATTERNS = {
     "ip": r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Fa-f:])",
     "card": r"(?<![0-9./_])[0-9]{4}(?:[./_][0-9]{4}){3}(?![0-9./_])",
     "phone": r"(?<![0-9A-Za-z+.])(?:00[1-9][0-9]|\(0[0-9]{1,4}\)|0[0-9]{2,4}[\x20/-])[\x20()0-9/-]{4,20}[0-9](?![0-9A-Za-z.])",
-    "secret": r"(?i)\b(?:password|passwd|pwd|token|secret|api[_-]?key)\x20?[=:]\x20?\"?[A-Za-z0-9+/_.-]{8,200}\"?",
+    "secret": r"(?i)\b(?:password|passwd|pwd|token|secret|api[_-]?key)\x20?[=:]\x20?\"?[A-Za-z0-9+/_.-]{8,}+\"?",
 }
 WIDE_GATES = {
     "email": r"[(\[]at[)\]]", "ip": r"[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:", "card": r"[0-9]{4}[./_][0-9]{4}",
@@ -236,7 +240,8 @@ def reliabilities(votes: np.ndarray, counts: np.ndarray, rounds: int = 100) -> t
                     [[0.5, 0.3, 0.2], [0.15, 0.3, 0.55]][1 - y] if y == 0 else [0.15, 0.3, 0.55]
                 )
                 table[j, y] /= table[j, y].sum()
-        share = float(np.clip((posterior * counts).sum() / counts.sum(), 0.01, 0.99))
+        # So does a share of one half, or few candidates would settle at either end.
+        share = float(np.clip(((posterior * counts).sum() + SHARE_WEIGHT / 2) / (counts.sum() + SHARE_WEIGHT), 0.01, 0.99))
     return posterior, table, share
 
 
@@ -329,7 +334,8 @@ def find(docs: DataFrame, model: Model) -> DataFrame:
 
 def mask(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with every span in text replaced by its kind in brackets; n_chars, if there, follows the new text."""
-    found = with_spans(docs, model)
+    # All columns travel in one, so that none can meet a column that is made on the way.
+    found = with_spans(docs.select("text", F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_row")), model)
     by_start = F.array_sort(F.transform("_all", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     empty = F.expr("cast(array() as array<struct<start:bigint,end:bigint,kind:string>>)")
 
@@ -351,5 +357,5 @@ def mask(docs: DataFrame, model: Model) -> DataFrame:
     masked = F.concat(F.array_join(pieces, ""), F.substr(text, F.element_at(ends, -1) + 1, F.length(text)))
     found = found.withColumn("_merged", F.aggregate(by_start, empty, merge))
     found = found.withColumn("_new", F.when(F.size("_merged") > 0, masked).otherwise(F.col("text")))
-    replaced = {"text": F.col("_new")} | ({"n_chars": F.when(F.size("_merged") > 0, F.length("_new").cast("long")).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})
-    return found.select(*[replaced[c].alias(c) if c in replaced else F.col(f"`{c}`") for c in docs.columns])
+    replaced = {"text": F.col("_new")} | ({"n_chars": F.when(F.size("_merged") > 0, F.length("_new").cast("long")).otherwise(F.col("_row")["n_chars"])} if "n_chars" in docs.columns else {})
+    return found.select(*[replaced[c].alias(c) if c in replaced else F.col("_row")[c].alias(c) for c in docs.columns])

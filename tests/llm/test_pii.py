@@ -100,3 +100,21 @@ def test_mask(spark, odd_docs):
 def test_no_python_in_the_plan(small_docs):
     plan = pii.find(small_docs, pii.fit(small_docs))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_long_tokens_are_masked_whole(spark, small_docs):
+    """Tokens of any length, also with a model that saw few of them."""
+    model = pii.fit(small_docs)
+    made = {n: "".join("aZ3b9"[i % 5] for i in range(n)) for n in (30, 198, 201, 600, 1000)}
+    docs = spark.createDataFrame([(n, f'x token = "{value}" y') for n, value in made.items()], "doc_id long, text string")
+    assert {r.text for r in pii.mask(docs, model).collect()} == {"x [SECRET] y"}
+
+
+def test_columns_of_the_user_stay(spark):
+    columns = ["_email", "_ip", "_card", "_phone", "_text", "_base", "_more", "_wide", "_failed", "_judged", "_all", "_apart", "_merged", "_new", "_row", "kind", "n_chars"]
+    rows = [(1, "mail a@b.co now", *columns[:-1], 15), (2, None, *[None] * (len(columns) - 1), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{c} string" for c in columns[:-1]) + ", n_chars int")
+    masked = pii.mask(docs, pii.fit(docs))
+    assert masked.columns == docs.columns
+    got = {r.doc_id: tuple(r) for r in masked.collect()}
+    assert got == {1: (1, "mail [EMAIL] now", *columns[:-1], 16), 2: (2, *[None] * (len(columns) + 1))}
