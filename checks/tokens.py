@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
-from lexiloom.config import MAX_LENGTH, TRAIN_BATCH
+from lexiloom.config import MAX_LENGTH, SEED, TRAIN_BATCH
 from lexiloom.functions.text import encoded_length
 from lexiloom.operators import encode as enc
 from lexiloom.operators import prepare, profile, token_vectors as vec
@@ -13,6 +13,8 @@ from lexiloom.operators.vocabulary import build_vocabulary
 from lexiloom.sources.readers import spread
 
 SHORT = 90
+#: Batches small enough that the smallest tables have several stretches of them.
+SMALL_BATCH, MEGA = 16, 5
 
 
 def row_counts(spark, sf):
@@ -99,6 +101,18 @@ def assign_batches(spark, sf):
 
 
 def pad_to_longest(spark, sf):
+    docs = fx.documents(spark, sf).select("doc_id", "text")
+    vocabulary = build_vocabulary(docs, fx.VOCABULARY)
+    # Lengths are known without encoding, so the texts stay where they are.
+    plan = enc.batch_widths(_encoded_lengths(spark, sf), ["doc_id"], TRAIN_BATCH, "encoded_length")
+    encoded = enc.encode(docs, vocabulary).select("doc_id", "input_ids")
+    return enc.pad_in_batches(encoded, plan, "doc_id").select(
+        "doc_id", "batch", fx.ints("input_ids").alias("input_ids"), fx.ints("attention_mask").alias("attention_mask")
+    )
+
+
+def pad_to_longest_of_batches(spark, sf):
+    """The same from rows that carry their batch."""
     docs = fx.documents(spark, sf).select("doc_id", "text")
     vocabulary = build_vocabulary(docs, fx.VOCABULARY)
     batched = enc.assign_batches(docs, ["doc_id"], TRAIN_BATCH)
@@ -108,6 +122,20 @@ def pad_to_longest(spark, sf):
     )
 
 
+def _shuffled(spark, sf):
+    return enc.group_by_length_shuffled(_encoded_lengths(spark, sf), SMALL_BATCH, "encoded_length", "doc_id", SEED, MEGA)
+
+
+def group_by_length_shuffled(spark, sf):
+    """Batches of similar length as a loader makes them: in random stretches, in random order."""
+    return _shuffled(spark, sf).select("doc_id", "encoded_length", "idx", "batch")
+
+
+def padding_cost_shuffled(spark, sf):
+    """What padding costs under these batches."""
+    return enc.batches_cost(_shuffled(spark, sf), "by_length_shuffled")
+
+
 def group_by_length(spark, sf):
     lengths = _encoded_lengths(spark, sf).withColumnRenamed("encoded_length", "n_ids")
     return enc.group_by_length(lengths, TRAIN_BATCH, "n_ids", "doc_id")
@@ -158,7 +186,8 @@ QUERIES = {
     for f in (
         row_counts, token_length, token_length_histogram, token_length_quartiles, token_length_deciles,
         encoded_length_histogram, encoded_length_deciles_of_groups, order_by_length, test_leak, encode, truncate,
-        pad_fixed, attention_mask, assign_batches, pad_to_longest, group_by_length, padding_cost, decode,
+        pad_fixed, attention_mask, assign_batches, pad_to_longest, pad_to_longest_of_batches, group_by_length,
+        group_by_length_shuffled, padding_cost, padding_cost_shuffled, decode,
         token_vectors, first_position_vector, vector_shape,
     )
 }
@@ -199,6 +228,18 @@ def _padded(order: str) -> str:
     return f"SELECT sum(m * c) FROM (SELECT max(n) AS m, count(*) AS c FROM ({_batches(order)}) GROUP BY batch)"
 
 
+_SHUFFLED = f"""{_LONG},
+placed AS (
+  SELECT doc_id, CAST(len(input_ids) AS INTEGER) AS n, md5('{SEED}:' || CAST(doc_id AS VARCHAR)) AS h,
+    row_number() OVER (ORDER BY md5('{SEED}:' || CAST(doc_id AS VARCHAR)), doc_id) - 1 AS place FROM encoded),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY place // {SMALL_BATCH * MEGA} ORDER BY n DESC, h, doc_id) - 1 AS r FROM placed),
+cut AS (SELECT *, (place // {SMALL_BATCH * MEGA}) * {MEGA} + r // {SMALL_BATCH} AS b FROM ranked),
+batches AS (
+  SELECT b, row_number() OVER (ORDER BY md5('{SEED}:' || CAST(b AS VARCHAR)), b) - 1 AS batch FROM (SELECT DISTINCT b FROM cut)),
+shuffled AS (
+  SELECT doc_id, n, batch, row_number() OVER (ORDER BY batch, r % {SMALL_BATCH}) - 1 AS idx FROM cut JOIN batches USING (b))"""
+
 ORACLES = {
     "row_counts": """SELECT CASE WHEN doc_id % 5 <> 0 THEN 'train' ELSE 'test' END AS split, count(*) AS n_rows
 FROM documents GROUP BY 1
@@ -239,6 +280,10 @@ SELECT doc_id, n_ids, idx, idx // {TRAIN_BATCH} AS batch FROM numbered""",
 SELECT 'fixed' AS strategy, CAST(n AS BIGINT) AS real, CAST(c * {MAX_LENGTH} AS BIGINT) AS padded FROM total
 UNION ALL SELECT 'dynamic', CAST(n AS BIGINT), CAST(({_padded('doc_id')}) AS BIGINT) FROM total
 UNION ALL SELECT 'by_length', CAST(n AS BIGINT), CAST(({_padded('len(input_ids), doc_id')}) AS BIGINT) FROM total""",
+    "group_by_length_shuffled": f"WITH {_SHUFFLED} SELECT doc_id, n AS encoded_length, idx, batch FROM shuffled",
+    "padding_cost_shuffled": f"""WITH {_SHUFFLED}
+SELECT 'by_length_shuffled' AS strategy, CAST(sum(s) AS BIGINT) AS real, CAST(sum(m * c) AS BIGINT) AS padded
+FROM (SELECT sum(n) AS s, max(n) AS m, count(*) AS c FROM shuffled GROUP BY batch)""",
     "decode": f"""WITH {_WHOLE},
 ids AS (SELECT doc_id, unnest(input_ids) AS id, generate_subscripts(input_ids, 1) AS pos FROM encoded)
 SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS tokens FROM ids JOIN vocabulary USING (id) GROUP BY doc_id""",
@@ -248,3 +293,5 @@ SELECT doc_id, id, dimension, first_value, last_value FROM positions WHERE pos =
     "vector_shape": f"""WITH {_POSITIONS}
 SELECT doc_id, count(*) AS sequence_length, max(dimension) AS dimension FROM positions GROUP BY doc_id""",
 }
+
+ORACLES["pad_to_longest_of_batches"] = ORACLES["pad_to_longest"]

@@ -13,6 +13,7 @@ TOKENIZE_BATCH = 1000
 TRAIN_BATCH = 64
 EVAL_BATCH = 64
 INFERENCE_BATCH = 256
+MEGA_BATCHES = 50
 MAX_EPOCHS = 10
 WEIGHT_DECAY = 0.01
 SEED = 123

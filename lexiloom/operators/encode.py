@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lexiloom.config import BROADCAST_BYTES, END_ID, MAX_LENGTH, PAD_ID, START_ID, UNKNOWN_ID
+from lexiloom.config import BROADCAST_BYTES, END_ID, MAX_LENGTH, MEGA_BATCHES, PAD_ID, SEED, START_ID, UNKNOWN_ID
 from lexiloom.functions.text import tokens
+from lexiloom.functions.vectors import bind
 from lexiloom.operators.lookup import find, hash_buckets, lookup_join, positions_of, with_value
 from lexiloom.operators.ordering import dense_index
-from lexiloom.operators.staging import free_name, settle, with_stable_key
+from lexiloom.operators.staging import fits, free_name, settle, with_stable_key
 from lexiloom.operators.vocabulary import words
 
 _MASK = "attention_mask"
@@ -134,12 +135,75 @@ def group_by_length(df: DataFrame, batch_size: int, length: str, key: str) -> Da
     return assign_batches(df, [length, key], batch_size)
 
 
+def _random_order(key: str | Column, seed: int) -> Column:
+    """A value by which rows are in random order, the same one whenever it is computed."""
+    key = F.col(key) if isinstance(key, str) else key
+    return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
+
+
+def group_by_length_shuffled(
+    df: DataFrame, batch_size: int, length: str, key: str, seed: int = SEED, mega: int = MEGA_BATCHES
+) -> DataFrame:
+    """Batches of rows of similar length in random order: (..., idx, batch), idx being the place in the whole order.
+
+    Rows are put in random order and cut into stretches of ``mega`` batches; inside a stretch the longest come first, and
+    each run of ``batch_size`` is a batch. Then the batches are put in random order. A seed always gives the same batches.
+    ``key`` must be unique. Pass narrow rows: they move twice, in stretches that no task sees more than a few of.
+    """
+    if batch_size < 1 or mega < 1:
+        raise ValueError("batch_size and mega must be positive")
+    columns = [name for name in df.columns if name not in ("idx", "batch")]
+    placed = dense_index(df.select(*columns, _random_order(key, seed).alias("_order")), ["_order", key], "_spot")
+    rows = placed.withColumn("_mega", F.floor(F.col("_spot") / F.lit(batch_size * mega)).cast("long"))
+    # A stretch has batch_size * mega rows.
+    inside = Window.partitionBy("_mega").orderBy(F.desc(length), "_order", key)
+    rows = rows.withColumn("_rank", F.row_number().over(inside) - 1)
+    rows = rows.withColumn("_batch", F.col("_mega") * mega + F.floor(F.col("_rank") / F.lit(batch_size)).cast("long"))
+    rows = rows.withColumn("_at", F.col("_rank") % F.lit(batch_size))
+    rows = settle(rows.select(*columns, "_batch", "_at"))
+    sizes = rows.groupBy("_batch").agg(F.count(F.lit(1)).alias("_rows"))
+    numbered = dense_index(sizes.withColumn("_order", _random_order("_batch", seed)), ["_order", "_batch"], "batch")
+    # Only the last stretch can have a batch that is not full; batches after it begin by that much earlier.
+    short = numbered.where(F.col("_rows") < batch_size).agg(
+        F.min("batch").alias("at"), F.coalesce(F.min(F.lit(batch_size) - F.col("_rows")), F.lit(0)).alias("gap")
+    )
+    starts = with_value(numbered, "_short", short.select(F.struct("at", "gap"))).select(
+        "_batch", "batch",
+        bind(F.col("_short"), lambda s: F.col("batch") * batch_size - F.when(F.col("batch") > s["at"], s["gap"]).otherwise(0)).alias("_start"),
+    )
+    return lookup_join(rows, starts, "_batch", "inner").select(*columns, (F.col("_start") + F.col("_at")).alias("idx"), "batch")
+
+
 def pad_to_longest(df: DataFrame, ids: str = "input_ids", batch: str = "batch") -> DataFrame:
     """Pad the rows of each batch to the longest of them."""
     widest = F.max(F.size(ids)).over(Window.partitionBy(batch))
     return _pad_to(df.withColumn("_width", widest), ids, F.col("_width")).drop("_width")
 
 
+def batch_widths(df: DataFrame, order: list[str], batch_size: int, length: str) -> DataFrame:
+    """Batches in ``order`` and, as ``width``, the greatest length of each: the plan of a padding, from narrow rows."""
+    batched = assign_batches(df, order, batch_size)
+    widths = batched.groupBy("batch").agg(F.max(length).alias("width"))
+    return lookup_join(batched, widths, "batch", "inner").drop("idx")
+
+
+def pad_in_batches(df: DataFrame, plan: DataFrame, key: str, ids: str = "input_ids", limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Pad encoded rows by a plan (key, batch, width) of :func:`batch_widths`.
+
+    Rows stay where they are if the plan was measured within ``limit``; a larger one is joined by ``key``.
+    """
+    plan = plan.select(key, "batch", F.col("width").alias("_width"))
+    joined = df.join(F.broadcast(plan) if fits(plan, limit) else plan, key)
+    return _pad_to(joined, ids, F.col("_width")).drop("_width")
+
+
+def batches_cost(batched: DataFrame, strategy: str, length: str = "encoded_length") -> DataFrame:
+    """(strategy, real, padded) positions of given batches."""
+    batches = batched.groupBy("batch").agg(F.sum(length).alias("_real"), (F.max(length) * F.count(F.lit(1))).alias("_padded"))
+    totals = batches.agg(F.coalesce(F.sum("_real"), F.lit(0)).alias("real"), F.coalesce(F.sum("_padded"), F.lit(0)).alias("padded"))
+    return totals.select(F.lit(strategy).alias("strategy"), "real", "padded")
+
+
 def padding_cost(
     df: DataFrame, batch_size: int, key: str, length: str = "encoded_length", max_length: int = MAX_LENGTH
 ) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from lexiloom.config import BROADCAST_BYTES
 from lexiloom.operators.staging import fits, measure, settle
@@ -101,13 +102,17 @@ def hash_buckets(
     entries = table.select(
         bucket_of(F.col(key), buckets).alias("b"), F.struct(F.col(key).alias("k"), F.col(value).alias("v")).alias("e")
     )
-    # Every bucket gets a row without an entry; the list leaves nulls out.
-    rows_of_buckets = table.sparkSession.range(buckets).select(
-        F.col("id").cast("int").alias("b"), F.lit(None).cast(entries.schema["e"].dataType).alias("e")
+    filled = entries.groupBy("b").agg(F.collect_list("e").alias("e"))
+    pairs = filled.agg(F.sort_array(F.collect_list(F.struct("b", "e"))).alias("_pairs"))
+    item = entries.schema["e"].dataType
+    nothing = F.lit(None).cast(T.MapType(item["k"].dataType, item["v"].dataType))
+    following = lambda i: F.coalesce(F.get(F.col("_pairs"), i)["b"], F.lit(buckets))
+    # The map of each bucket goes to its place; places without one stay null.
+    placed = F.transform(
+        "_pairs",
+        lambda x, i: F.concat(F.array(F.map_from_entries(x["e"])), F.array_repeat(nothing, following(i + 1) - x["b"] - 1)),
     )
-    filled = entries.unionByName(rows_of_buckets).groupBy("b").agg(F.collect_list("e").alias("e"))
-    ordered = F.sort_array(F.collect_list(F.struct("b", "e")))
-    return filled.agg(F.transform(ordered, lambda x: F.map_from_entries(x["e"])).alias("buckets")), buckets
+    return pairs.select(F.concat(F.array_repeat(nothing, following(F.lit(0))), F.flatten(placed)).alias("buckets")), buckets
 
 
 def bucket_of(key: Column, buckets: int) -> Column:

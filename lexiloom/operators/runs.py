@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from lexiloom.config import EARLY_STOP_PATIENCE, EARLY_STOP_THRESHOLD, SCORE_DIGITS
 from lexiloom.schemas import RUNS
@@ -24,6 +24,17 @@ def timed_write(write: Callable[[], None]) -> float:
     return time.perf_counter() - start
 
 
+def observed_write(df: DataFrame, path: str, **measures: Column) -> tuple[dict, float]:
+    """Write ``df`` as Parquet; returns aggregates of its rows and the seconds it took.
+
+    The aggregates are collected by the tasks that write, so nothing is read again.
+    """
+    seen = Observation()
+    watched = df.observe(seen, *[measure.alias(name) for name, measure in measures.items()])
+    seconds = timed_write(lambda: watched.write.mode("overwrite").parquet(path))
+    return dict(seen.get), seconds
+
+
 def stored_files(spark: SparkSession, path: str) -> DataFrame:
     """(files, bytes): one row about the data files below a path; file contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
@@ -84,9 +95,22 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUNS).parquet(f"{path.rstrip('/')}/run=*")
 
 
-def run_metrics(runs: DataFrame) -> DataFrame:
-    """(run_id, metric, value) rows of the runs table."""
-    return runs.select("run_id", F.explode("metrics").alias("metric", "value"))
+#: Endings of the names of metrics that tell of time or storage; they differ from run to run.
+MEASURED = ("_seconds", "_minutes", "_per_second", "_size_mb")
+
+
+def run_metrics(runs: DataFrame, measured: bool | None = None) -> DataFrame:
+    """(run_id, metric, value) rows of the runs table.
+
+    ``measured``: only metrics that tell of time or storage, only the others, or (None) all.
+    """
+    rows = runs.select("run_id", F.explode("metrics").alias("metric", "value"))
+    if measured is None:
+        return rows
+    ends = F.lit(False)
+    for ending in MEASURED:
+        ends = ends | F.col("metric").endswith(ending)
+    return rows.where(ends if measured else ~ends)
 
 
 def best_checkpoint(log: DataFrame) -> DataFrame:
