@@ -6,8 +6,10 @@ template); votes are counted per text, template and diagonal, neighbouring diago
 so a few inserted or missing words do no harm, and the span of each merged diagonal is verified: the words that text and
 template share in order must cover enough of the template.
 
-Besides, base phrases are found exactly, wherever their words stand consecutively. Null or empty texts have no words and no
-labels. Repeated rows are judged one by one. Rows without an id are judged like others. Other columns are not read.
+Besides, base phrases are found exactly, wherever their words stand consecutively. The score is the best verified share of a
+template, or 1 where a base phrase stands. Null or empty texts have no words and no labels; an empty table gives no row.
+Equal texts are judged once, every row is returned, with or without an id. Of templates that share a place the one with the
+highest share counts, of equal ones the later. Texts are read whole. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -18,24 +20,78 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from lexiloom.llm.common import append_columns, shingle_hashes, small, word_hashes
+from lexiloom.llm.common import append_columns, shingle_hashes, small, stored, word_hashes
+from lexiloom.operators.lookup import lookup_join
 
 #: Words of the base phrases and their labels.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
-#: Opening or naming sentences of widespread licenses, as words.
+#: Opening or naming sentences, and notices and bodies, of widespread licenses, as words. Public license texts.
 TEMPLATES = (
     ("apache-2.0", "licensed under the apache license version 2 0"),
     ("apache-2.0", "you may not use this file except in compliance with the license"),
+    (
+        "apache-2.0",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license "
+        "you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed "
+        "to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any "
+        "kind either express or implied see the license for the specific language governing permissions and limitations under the license",
+    ),
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
+    (
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files "
+        "the software to deal in the software without restriction including without limitation the rights to use copy modify merge "
+        "publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do "
+        "so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the software the software is provided as is without warranty of any kind express or implied including "
+        "but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the "
+        "authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or "
+        "otherwise arising from out of or in connection with the software or the use or other dealings in the software",
+    ),
     ("gpl", "this work is licensed under the gnu general public license version 3"),
     ("gpl", "you can redistribute it and or modify it under the terms of the gnu general public license"),
+    (
+        "gpl",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as "
+        "published by the free software foundation either version 3 of the license or at your option any later version this program is "
+        "distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or "
+        "fitness for a particular purpose see the gnu general public license for more details you should have received a copy of the gnu "
+        "general public license along with this program if not see http www gnu org licenses",
+    ),
     ("lgpl", "under the terms of the gnu lesser general public license as published by the free software foundation"),
     ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("cc-by-sa", "licensed under cc by sa 4 0"),
     ("cc-by", "licensed under a creative commons attribution 4 0 international license"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
+    (
+        "bsd",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following "
+        "conditions are met redistributions of source code must retain the above copyright notice this list of conditions and the "
+        "following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
+        "following disclaimer in the documentation and or other materials provided with the distribution this software is provided by "
+        "the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied "
+        "warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the copyright holder or "
+        "contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited "
+        "to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any "
+        "theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of "
+        "the use of this software even if advised of the possibility of such damage",
+    ),
+    (
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided "
+        "that the above copyright notice and this permission notice appear in all copies the software is provided as is and the author "
+        "disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no "
+        "event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting "
+        "from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in "
+        "connection with the use or performance of this software",
+    ),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    (
+        "mpl-2.0",
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed "
+        "with this file you can obtain one at http mozilla org mpl 2 0",
+    ),
     ("reserved", "copyright all rights reserved"),
 )
 GRAM_WORDS = 3
@@ -156,30 +212,29 @@ def _verify(lists: list[list]) -> list[list]:
 
 
 def template_labels(docs: DataFrame) -> DataFrame:
-    """doc_id, _key (hash of the text), _found (labels) and _score of the texts that match some template."""
-    source = docs.select("doc_id", "text").withColumn("_key", F.xxhash64("text"))
+    """_key (digest of the text), _found (labels) and _score of the distinct texts that match some template."""
+    source = docs.where("text is not null").select("text", F.unhex(F.md5("text")).alias("_key"))
     grams = append_columns(source, ["text"], GRAMS, lambda lists: [[gram_hashes(words_of(text)) for text in lists[0]]])
-    placed = grams.select("doc_id", "_key", "text", F.posexplode("_grams").alias("position", "gram"))
+    # Texts stay behind: only the key travels with a match. Equal texts vote together, and once.
+    placed = grams.select("_key", F.posexplode("_grams").alias("position", "gram"))
     matched = placed.join(small(template_positions(docs.sparkSession)), "gram")
     diagonals = (
         matched.withColumn("diagonal", F.col("position") - F.col("place"))
-        .groupBy("doc_id", "_key", "template", "diagonal")
-        .agg(F.min("position").alias("first"), F.max("position").alias("last"), F.first("text").alias("text"))
+        .groupBy("_key", "template", "diagonal")
+        .agg(F.min("position").alias("first"), F.max("position").alias("last"))
     )
-    votes = diagonals.groupBy("doc_id", "_key").agg(
-        F.first("text").alias("text"), F.collect_list(F.struct("template", "diagonal", "first", "last")).alias("_votes")
-    )
-    return append_columns(votes, ["text", "_votes"], FOUND, _verify).select("doc_id", "_key", "_found", "_score")
+    votes = diagonals.groupBy("_key").agg(F.collect_list(F.struct("template", "diagonal", "first", "last")).alias("_votes"))
+    found = append_columns(source.join(small(stored(votes, "votes")), "_key"), ["text", "_votes"], FOUND, _verify)
+    return found.groupBy("_key").agg(F.first("_found").alias("_found"), F.first("_score").alias("_score"))
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """Base places and labels of every row of ``docs`` (doc_id, text)."""
-    source = docs.select("doc_id", "text").withColumn("_key", F.xxhash64("text"))
+    source = docs.select("doc_id", "text").withColumn("_key", F.unhex(F.md5("text")))
     base = append_columns(
         source, ["text"], BASE, lambda lists: list(zip(*map(base_places, lists[0]), strict=True))
     ).drop("text")
-    found = template_labels(docs).withColumnsRenamed({"doc_id": "_id", "_key": "_k"})
-    joined = base.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_key").eqNullSafe(F.col("_k")), "left")
+    joined = lookup_join(base, template_labels(docs), "_key", "left")
     every = F.array_sort(F.array_union("_base", F.coalesce("_found", F.expr("cast(array() as array<string>)"))))
     return joined.select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",

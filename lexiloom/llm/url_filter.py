@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexiloom.llm.common import small
+from lexiloom.operators.lookup import lookup_join
 
 #: (host, beginning of the path, verdict).
 RULES = (
@@ -76,16 +76,24 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     )
     wanted = F.flatten(F.transform(F.array_distinct(suffixes), lambda h: F.transform(begins, lambda p: expression(h, p))))
     # Pages with the same host and beginning share their expressions: looked up once per distinct host and path.
-    distinct = split.select("host", "path").distinct()
+    distinct = split.select(expression(F.col("host"), F.col("path")).alias("_url"), "host", "path").distinct()
     asked = (
-        distinct.select("host", "path", F.explode(wanted).alias("expression"))
+        distinct.select("_url", F.explode(wanted).alias("expression"))
         .withColumn("digest", F.sha2("expression", 256))
-        .select("host", "path", "digest", F.substring("digest", 1, PREFIX_DIGITS).alias("prefix"))
+        .select("_url", "digest", F.substring("digest", 1, PREFIX_DIGITS).alias("prefix"))
     )
-    confirmed = asked.join(small(table), "prefix").where("digest = rule_digest")
+    # The few rules of a prefix are one row, so that expressions of a frequent prefix need not meet in one task.
+    by_prefix = table.groupBy("prefix").agg(
+        F.collect_list(F.struct("rule_digest", "rule_length", "host_length", "rule", "rule_verdict")).alias("rules")
+    )
+    hits = lookup_join(asked, by_prefix, "prefix", "inner")
+    confirmed = hits.select("_url", F.explode(F.filter("rules", lambda x: x["rule_digest"] == F.col("digest"))).alias("hit"))
+    confirmed = confirmed.select("_url", "hit.*")
     order = F.struct("rule_length", "host_length", F.expr("transform(split(rule, ''), c -> -ascii(c))").alias("text"))
-    best = confirmed.groupBy("host", "path").agg(F.max_by(F.struct("rule", "rule_verdict"), order).alias("best"))
-    return split.join(best, ["host", "path"], "left").select(
+    best = confirmed.groupBy("_url").agg(F.max_by(F.struct("rule", "rule_verdict"), order).alias("best"))
+    # Pages without a host, and those of a popular URL, share a key.
+    keyed = split.select("page_id", "host", "path", expression(F.col("host"), F.col("path")).alias("_url"))
+    return lookup_join(keyed, best, "_url", "left").select(
         "page_id", "host", "path", F.col("best.rule").alias("rule"),
         F.coalesce("best.rule_verdict", F.lit(default)).alias("verdict"),
     )

@@ -50,3 +50,33 @@ def test_odd_rows(spark, odd_docs):
     assert scan.scan(odd_docs.limit(0)).count() == 0
     twice = spark.createDataFrame([(1, "Released under the MIT License")] * 3 + [(None, "Released under the MIT License")], "doc_id long, text string")
     assert [r.labels for r in scan.scan(twice).collect()] == ["mit"] * 4
+
+
+def test_whole_texts_with_edits_and_breaks(spark):
+    """Bodies of hundreds of words with words changed, left out and put in, and cut openings: recall over all templates."""
+    rng = random.Random(9)
+    pad = " ".join(f"filler{i}" for i in range(40))
+    rows, want = [], {}
+    for number, (label, text) in enumerate(t for t in scan.TEMPLATES if len(t[1].split()) > 60):
+        for copy in range(4):
+            words = text.split()
+            for _ in range(len(words) // 20):
+                at = rng.randrange(len(words))
+                kind = rng.random()
+                words[at : at + 1] = [f"x{at}"] if kind < 0.4 else [] if kind < 0.7 else [words[at], "really"]
+            body = ", ".join(" ".join(words[i : i + 9]) for i in range(0, len(words), 9))
+            rows.append((10 * number + copy, f"{pad} {body.upper() if copy == 3 else body}. {pad}"))
+            want[10 * number + copy] = label
+    rows += [(1000 + i, " ".join(rng.sample(scan.TEMPLATES[2][1].split() * 3, 150))) for i in range(10)]
+    found = {r.doc_id: (r.labels.split(","), r.score) for r in scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(want[i] in found[i][0] and found[i][1] > 0.75 for i in want)
+    assert all(found[i][0] == [""] for i in found if i >= 1000)
+
+
+def test_many_matches_take_time_in_proportion(spark):
+    """One text with thousands of license lines: no text travels with a match."""
+    line = "Released under the MIT License. Some other words stand here. "
+    df = spark.createDataFrame([(1, line * 4_000), (2, line * 2), (3, None)], "doc_id long, text string")
+    plan = scan.template_labels(df)._jdf.queryExecution().executedPlan().toString()
+    assert "first(text" not in plan
+    assert {r.doc_id: r.labels for r in scan.scan(df).collect()} == {1: "mit", 2: "mit", 3: ""}
