@@ -19,7 +19,7 @@ together the shorter.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, product
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
@@ -32,8 +32,8 @@ LABELERS = ("regex", "gazetteer", "context", "form")
 SHAPE_BUCKETS = 64
 #: Least probability of an added span.
 SURE = 0.9
-#: Candidates that the starting share of true spans counts for.
-SHARE_WEIGHT = 20
+#: Share of true spans among the candidates of a kind that the documents have none of.
+START_SHARE = 0.6
 
 # The first pattern of an email is tried where a run of its characters begins, or where the last match ended: a match can
 # begin nowhere else, and long runs are read once. Repeated groups are possessive where nothing follows them: they give
@@ -218,6 +218,13 @@ class Model:
     reliability: dict[str, dict[str, tuple[float, float]]]
 
 
+def starting_table(labelers: int) -> np.ndarray:
+    """P(vote | truth) by labeler, truth and vote, before anything is seen."""
+    table = np.tile(np.array([[0.5, 0.3, 0.2], [0.15, 0.3, 0.55]]), (labelers, 1, 1))
+    table[0] = [[0.8, 0.15, 0.05], [0.04, 0.16, 0.8]]
+    return table
+
+
 def reliabilities(votes: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray, float]:
     """Expectation-maximisation for one kind.
 
@@ -225,8 +232,7 @@ def reliabilities(votes: np.ndarray, counts: np.ndarray, rounds: int = 100) -> t
     and vote, and the share of true spans. The regex labeler's start is stronger, so that truth means what it means.
     """
     n, labelers = votes.shape
-    table = np.tile(np.array([[0.5, 0.3, 0.2], [0.15, 0.3, 0.55]]), (labelers, 1, 1))
-    table[0] = [[0.8, 0.15, 0.05], [0.04, 0.16, 0.8]]
+    table = starting_table(labelers)
     share = 0.5
     at = votes + 1
     for _ in range(rounds):
@@ -240,11 +246,19 @@ def reliabilities(votes: np.ndarray, counts: np.ndarray, rounds: int = 100) -> t
                     [[0.5, 0.3, 0.2], [0.15, 0.3, 0.55]][1 - y] if y == 0 else [0.15, 0.3, 0.55]
                 )
                 table[j, y] /= table[j, y].sum()
-        # So does a share of one half, or few candidates would settle at either end.
-        share = float(np.clip(((posterior * counts).sum() + SHARE_WEIGHT / 2) / (counts.sum() + SHARE_WEIGHT), 0.01, 0.99))
+        share = float(np.clip((posterior * counts).sum() / counts.sum(), 0.01, 0.99))
     return posterior, table, share
 
 
+def _odds_of_votes(kind: str, table: np.ndarray) -> dict[str, float]:
+    """Log odds of every pattern of votes, from the reliabilities of the labelers."""
+    found = {}
+    for votes in product((-1, 0, 1), repeat=len(table)):
+        ratio = [np.log(table[j, 1, vote + 1] / table[j, 0, vote + 1]) for j, vote in enumerate(votes)]
+        found[f"{kind} votes {','.join(map(str, votes))}"] = float(sum(ratio))
+    return found
+
+
 def fit(docs: DataFrame) -> Model:
     """Learn from the candidates of all documents."""
     found = stored(
@@ -259,12 +273,17 @@ def fit(docs: DataFrame) -> Model:
     for kind in KINDS:
         rows = sorted((r["votes"], r["count"]) for r in by_votes if r["kind"] == kind)
         if not rows:
+            # Nothing to learn from: the starting beliefs decide.
+            prior[kind] = float(np.log(START_SHARE / (1 - START_SHARE)))
+            odds |= _odds_of_votes(kind, starting_table(len(LABELERS)))
             continue
         votes = np.array([[int(v) for v in text.split(",")] for text, _ in rows])
         counts = np.array([n for _, n in rows], dtype=float)
         posterior, table, share = reliabilities(votes, counts)
         posterior_of |= {(kind, text): p for (text, _), p in zip(rows, posterior, strict=True)}
         prior[kind] = float(np.log(share / (1 - share)))
+        # Patterns that were not seen are judged by the labelers' reliabilities; the others follow below.
+        odds |= _odds_of_votes(kind, table)
         reliability[kind] = {
             name: (float(table[j, 1, 2]), float(table[j, 0, 0])) for j, name in enumerate(LABELERS)
         }
