@@ -1,19 +1,19 @@
 """Chat formatting: layouts by schema fingerprint, canonical turns, one template with a loss mask.
 
 Records come in many layouts. A layout is declared by the nested field paths it needs and an expression that turns a record
-into canonical turns (role, text). A table's fingerprints are the hashes of its nested field paths; the layout all of whose
-hashes occur, and which needs most of them, is applied. JSON records of mixed layouts, and tables that have the fields of
-several record layouts, are told apart row by row: of the layouts whose paths are present in the row, the one with most paths
-is applied, the first of equal ones. Turns in JSON lists may name their fields by either list layout.
+into canonical turns (role, text). Field paths are hashed, those of a table's schema or, record by record, those that a JSON
+record has; of the layouts all of whose hashes occur, the one with most paths is applied, the first of equal ones. In tables
+that have the fields of several record layouts each row is told by the fields that are not null in it. Turns in JSON lists may
+name their fields by either list layout. The hash of all paths of a record is its fingerprint: ``layouts_found`` counts records
+by fingerprint and tells which have no layout.
 
 The template writes each turn as ``<|turn|>role``, a line break, the text and ``<|end|>``. Backslashes in roles and texts
 are doubled, and a backslash is put into every control string (also those of other common templates), so texts can neither
 end a turn nor begin one, and ``unescaped`` gives them back exactly. The loss mask covers the texts of assistants.
 
 Null roles and texts count as empty. Turns are ordered by their number (null first), then role and text, so repeated rows
-stay and ties have an order. Rows without a conversation id form one conversation. Records of no known layout give no turns;
-those in JSON have a null layout.
-Other columns are not read.
+stay and ties have an order. Rows without a conversation id form one conversation. JSON records of no known layout have a null
+layout and no turns; a table of no known layout is an error. An empty table gives no row. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -112,33 +112,75 @@ def layout_of(schema: T.StructType) -> Layout | None:
     return max(fitting, key=lambda layout: len(layout.paths), default=None)
 
 
-def _by_row(layouts: list[Layout], either_names: bool = False) -> tuple[Column, Column]:
-    """(name, turns) of the layout with most paths that are present in a row; nulls if none is."""
+def _strings(values: list[str]) -> Column:
+    return F.array(*map(F.lit, values)).cast("array<string>")
+
+
+def json_paths(record: Column) -> Column:
+    """Paths of a JSON object: fields that are not null, ``name[]`` for lists, ``name[].field`` and ``name.field`` for what
+    the elements of a list of objects, or an object, have. Empty for anything else."""
+    fields = F.map_entries(F.coalesce(F.from_json(record, "map<string,string>"), F.expr("map()").cast("map<string,string>")))
+    inner = lambda value, kind: F.from_json(value, kind)
+
+    def paths(field: Column) -> Column:
+        name, value = field["key"], field["value"]
+        elements = F.filter(inner(value, "array<map<string,string>>"), lambda x: x.isNotNull())
+        names = F.array_distinct(F.flatten(F.transform(elements, F.map_keys)))
+        of_list = F.concat(F.array(F.concat(name, F.lit("[]"))), F.coalesce(F.transform(names, lambda x: F.concat(name, F.lit("[]."), x)), _strings([])))
+        of_object = F.coalesce(F.transform(F.map_keys(inner(value, "map<string,string>")), lambda x: F.concat(name, F.lit("."), x)), _strings([]))
+        return F.when(value.startswith("["), of_list).when(value.startswith("{"), of_object).otherwise(F.array(name))
+
+    present = F.filter(fields, lambda field: field["value"].isNotNull())
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(present, paths))))
+
+
+def _row_paths(schema: T.StructType) -> Column:
+    """The same for a row of a table, whose schema tells what elements of lists have."""
+    found = []
+    for field in schema:
+        name = field.name
+        if isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.StructType):
+            inside = [f"{name}[].{x.name}".lower() for x in field.dataType.elementType]
+            found.append(F.when(F.col(f"`{name}`").isNotNull(), _strings([f"{name}[]".lower()])))
+            found.append(F.when(F.size(f"`{name}`") > 0, _strings(inside)))
+        else:
+            found.append(F.when(F.col(f"`{name}`").isNotNull(), _strings([name.lower()])))
+    return F.flatten(F.filter(F.array(*found), lambda x: x.isNotNull()))
+
+
+def _hashed(paths: Column) -> Column:
+    return F.transform(paths, lambda path: F.xxhash64(path))
+
+
+def fingerprint(paths: Column) -> Column:
+    """One number for a set of paths."""
+    return F.xxhash64(F.array_join(F.array_sort(paths), "\n"))
+
+
+def _chosen(hashes: Column, layouts: list[Layout], either_names: bool = False) -> tuple[Column, Column]:
+    """(name, turns) of the layout with most paths whose hashes are all among ``hashes``; nulls if there is none."""
     options = []
     for layout in layouts:
         tops = list(dict.fromkeys(path.split("[")[0] for path in layout.paths))
         turns = layout.turns()
         if "[]" in layout.paths[0]:
-            names = [path.rpartition(".")[2] for path in layout.paths]
+            top, needed = tops[0], [layout.paths]
             if either_names:
-                names = ["role", "content", "from", "value"]
+                needed = [tuple(f"{top}[].{name}" for name in names) for names in (("role", "content"), ("from", "value"))]
                 turns = F.transform(
-                    tops[0],
-                    lambda m: _turn(_named(F.coalesce(m["role"], m["from"])), F.coalesce(m["content"], m["value"])),
+                    top, lambda m: _turn(_named(F.coalesce(m["role"], m["from"])), F.coalesce(m["content"], m["value"]))
                 )
-            known = F.exists(tops[0], lambda m: F.coalesce(*[m[name] for name in names]).isNotNull())
-            options.append((len(layout.paths), (F.size(tops[0]) == 0) | known, layout.name, turns))
-            continue
-        for needed in {tuple(tops), tuple(top for top in tops if top != "input")}:
-            present = F.lit(True)
-            for top in needed:
-                present = present & F.col(top).isNotNull()
-            options.append((len(needed), present, layout.name, turns))
+            options += [(len(paths), paths, F.lit(True), layout.name, turns) for paths in needed]
+            options.append((1, (f"{top}[]",), F.size(top) == 0, layout.name, turns))
+        else:
+            for needed in dict.fromkeys((layout.paths, tuple(path for path in layout.paths if path != "input"))):
+                options.append((len(needed), needed, F.lit(True), layout.name, turns))
     name, chosen = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
-    for _, present, layout_name, turns in reversed(sorted(options, key=lambda option: -option[0])):
-        present = F.coalesce(present, F.lit(False))
-        name = F.when(present, F.lit(layout_name)).otherwise(name)
-        chosen = F.when(present, turns).otherwise(chosen)
+    for _, needed, guard, layout_name, turns in reversed(sorted(options, key=lambda option: -option[0])):
+        fits = (F.size(F.array_except(F.array(*[F.xxhash64(F.lit(path)) for path in needed]), hashes)) == 0) & guard
+        fits = F.coalesce(fits, F.lit(False))
+        name = F.when(fits, F.lit(layout_name)).otherwise(name)
+        chosen = F.when(fits, turns).otherwise(chosen)
     return name, chosen
 
 
@@ -146,13 +188,13 @@ def canonical(records: DataFrame, id_column: str = "conv_id") -> DataFrame:
     """(conv_id, turns) of a table in any known layout; its layouts are found from the schema."""
     layout = layout_of(records.schema)
     if layout is None:
-        return records.select(F.col(id_column).alias("conv_id"), F.expr(f"cast(array() as {TURNS})").alias("turns"))
+        raise ValueError(f"no known layout has the fields {', '.join(field_paths(records.schema))}")
     if not layout.by_turn:
         known = path_hashes(field_paths(records.schema))
         fitting = [one for one in LAYOUTS if not one.by_turn and path_hashes(list(one.paths)) <= known]
         turns = F.coalesce(layout.turns(), F.array())
         if len(fitting) > 1:
-            turns = F.coalesce(_by_row(fitting)[1], turns)
+            turns = F.coalesce(_chosen(_hashed(_row_paths(records.schema)), fitting)[1], turns)
         return records.select(F.col(id_column).alias("conv_id"), turns.alias("turns"))
     one = F.struct("turn", _turn(F.col("role"), F.col("text")).alias("said"))
     grouped = records.groupBy("conv_id").agg(F.array_sort(F.collect_list(one)).alias("rows"))
@@ -162,12 +204,35 @@ def canonical(records: DataFrame, id_column: str = "conv_id") -> DataFrame:
 TURNS = "array<struct<role:string,text:string>>"
 
 
+def _read_json(records: DataFrame, id_column: str, json_column: str) -> DataFrame:
+    """(conv_id, _paths, _hashes, and the fields of all record layouts) of JSON records."""
+    parsed = records.select(
+        F.col(id_column).alias("conv_id"), json_paths(F.col(json_column)).alias("_paths"), F.from_json(json_column, JSON_SCHEMA).alias("_r")
+    )
+    return parsed.select("conv_id", "_paths", _hashed(F.col("_paths")).alias("_hashes"), "_r.*")
+
+
+def _record_layouts() -> list[Layout]:
+    return [one for one in LAYOUTS if not one.by_turn]
+
+
 def canonical_json(records: DataFrame, id_column: str, json_column: str) -> DataFrame:
-    """(conv_id, layout, turns) of JSON records of mixed layouts, each mapped by the paths that are present in it."""
-    parsed = records.select(F.col(id_column).alias("conv_id"), F.from_json(json_column, JSON_SCHEMA).alias("_r"))
-    layout, turns = _by_row([one for one in LAYOUTS if not one.by_turn], either_names=True)
+    """(conv_id, layout, turns, fingerprint) of JSON records of mixed layouts, each mapped by the hashes of its own paths."""
+    layout, turns = _chosen(F.col("_hashes"), _record_layouts(), either_names=True)
     turns = F.coalesce(turns, F.expr(f"cast(array() as {TURNS})"))
-    return parsed.select("conv_id", "_r.*").select("conv_id", layout.alias("layout"), turns.alias("turns"))
+    return _read_json(records, id_column, json_column).select(
+        "conv_id", layout.alias("layout"), turns.alias("turns"), fingerprint(F.col("_paths")).alias("fingerprint")
+    )
+
+
+def layouts_found(records: DataFrame, json_column: str) -> DataFrame:
+    """(fingerprint, paths, layout, n_records): the kinds of JSON records there are; a null layout tells of lost records."""
+    read = _read_json(records.withColumn("_one", F.lit(1)), "_one", json_column)
+    layout, _ = _chosen(F.col("_hashes"), _record_layouts(), either_names=True)
+    kinds = read.select(fingerprint(F.col("_paths")).alias("fingerprint"), "_paths", layout.alias("layout"))
+    return kinds.groupBy("fingerprint", "layout").agg(F.first("_paths").alias("paths"), F.count(F.lit(1)).alias("n_records")).select(
+        "fingerprint", "paths", "layout", "n_records"
+    )
 
 
 def escaped(text: Column) -> Column:

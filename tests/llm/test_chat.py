@@ -2,8 +2,11 @@ import hashlib
 import json
 from collections import defaultdict
 
+import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
+from pyspark.sql import functions as F
+
 from lexiloom.llm import chat
 
 PARTS = ["\\", "<|end|>", "<|turn|>", "<|", "</s>", "<s>", "[INST]", "[/INST]", "<<SYS>>", "\n", "a", "<", "|", "[", "😀", " ", "<\\|", "$1"]
@@ -61,7 +64,9 @@ def test_layouts_by_schema(spark):
         assert chat.layout_of(df.schema).name == name
         assert [tuple(t) for t in chat.canonical(df, "id").first().turns] == pair
     other = spark.createDataFrame([(1, "q")], "id long, something string")
-    assert chat.layout_of(other.schema) is None and chat.canonical(other, "id").first().turns == []
+    assert chat.layout_of(other.schema) is None
+    with pytest.raises(ValueError, match="no known layout has the fields id, something"):
+        chat.canonical(other, "id")
 
 
 def test_layouts_row_by_row(spark):
@@ -109,3 +114,19 @@ def test_tables_with_several_layouts(spark):
     ]
     found = chat.canonical(spark.createDataFrame(rows, schema), "id").collect()
     assert {r.conv_id: [tuple(t) for t in r.turns] for r in found} == dict.fromkeys((1, 2, 3), [("user", "q"), ("assistant", "a")])
+
+
+def test_fingerprints_of_records(spark):
+    records = [
+        '{"messages": [{"role": "user", "content": "q"}], "meta": {"a": 1, "b": null}}', '{"meta": {"b": 2, "a": "x"}, "messages": [{"content": "q"}, {"role": null}]}',
+        '{"prompt": "q", "response": null}', '{"x": [1, 2], "y": {"z": [3]}}', "[1]", "7", "{broken", None, "{}",
+    ]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(records)], "id long, record string")
+    paths = {r.id: r.p for r in df.select("id", chat.json_paths(F.col("record")).alias("p")).collect()}
+    assert paths[0] == ["messages[]", "messages[].content", "messages[].role", "meta.a", "meta.b"] == paths[1]
+    assert paths[2] == ["prompt"] and paths[3] == ["x[]", "y.z"]
+    assert paths[4] == paths[5] == paths[6] == paths[7] == paths[8] == []
+    found = {tuple(r.paths): (r.layout, r.n_records) for r in chat.layouts_found(df, "record").collect()}
+    assert found == {tuple(paths[0]): ("messages", 2), ("prompt",): (None, 1), ("x[]", "y.z"): (None, 1), (): (None, 5)}
+    marks = {r.conv_id: r.fingerprint for r in chat.canonical_json(df, "id", "record").collect()}
+    assert marks[0] == marks[1] != marks[2] and len(set(marks.values())) == 4
