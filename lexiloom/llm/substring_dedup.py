@@ -19,8 +19,8 @@ compared by 128-bit digests made from 128-bit hashes of the words. What must sta
 shared folder; texts move only if the positions to look at, or to remove, exceed the measured limit for broadcasts.
 
 Null and empty texts have no words; texts shorter than a window stay whole. Every row is returned; rows that repeat, with or
-without an id, are repeats of each other. An empty table gives no row. Other columns are not read. Memory follows a unit or
-the longest text.
+without an id, are repeats of each other. An empty table gives no row. Other columns are not read. Memory follows what is
+parsed at a time, the anchors of a unit (about a tenth of its words) or the longest text.
 """
 
 from __future__ import annotations
@@ -41,7 +41,9 @@ from lexiloom.llm.common import append_columns, mixed, small, stored
 WINDOW_WORDS = 35
 ROUNDS = 5
 #: Words of a unit, and entries of a range, about.
-UNIT_WORDS, RANGE_ENTRIES = 1_000_000, 1_000_000
+UNIT_WORDS, RANGE_ENTRIES = 1_000_000, 250_000
+#: Words that are parsed at a time, unless a single text has more, and rows whose texts are unpacked at a time.
+PARSE_WORDS, ROWS = 100_000, 256
 
 _U = np.uint64
 _RUN, _COUNT, _LEFT, _RIGHT = (_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
@@ -231,31 +233,47 @@ def _units(rows: DataFrame, least_words: int, unit_words: int, items: Callable)
     def read(batches: Batches) -> Batches:
         number = TaskContext.get().partitionId() << 33
         keys: list[bytes] = []
+        done: list[tuple[np.ndarray, ...]] = []
         found: list[np.ndarray] = []
         more: list[tuple] = []
-        size = 0
+        waiting = size = 0
 
-        def closed() -> pa.RecordBatch | None:
+        def parse() -> None:
             sizes = np.array([len(x) for x in found], dtype=np.int64)
-            text, first, last, name, context = items(np.concatenate(found), sizes, more)
-            return _unit(keys, text, first, last, name, context, number) if len(name) else None
-
-        for batch in batches:
-            for key, text, *rest in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                words = text.encode("utf-8", "surrogatepass").split()
-                if len(words) < least_words:
-                    continue
-                keys.append(key)
-                found.append(hashes_of(words))
-                more.append(tuple(rest))
-                size += len(words)
-                if size >= unit_words:
-                    if (unit := closed()) is not None:
-                        yield unit
-                    number += 1
-                    keys, found, more, size = [], [], [], 0
-        if keys and (unit := closed()) is not None:
-            yield unit
+            text, *rest = items(np.concatenate(found), sizes, more)
+            done.append((text + (len(keys) - len(found)), *rest))
+            found.clear()
+            more.clear()
+
+        def closed() -> Batches:
+            columns = [np.concatenate(parts) for parts in zip(*done, strict=True)]
+            if len(columns[0]):
+                yield _unit(keys, *columns, number)
+            keys.clear()
+            done.clear()
+
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                for key, text, *rest in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                    words = text.encode("utf-8", "surrogatepass").split()
+                    if len(words) < least_words:
+                        continue
+                    keys.append(key)
+                    found.append(hashes_of(words))
+                    more.append(tuple(rest))
+                    waiting += len(words)
+                    size += len(words)
+                    if waiting >= PARSE_WORDS or size >= unit_words:
+                        parse()
+                        waiting = 0
+                    if size >= unit_words:
+                        yield from closed()
+                        number, size = number + 1, 0
+        if found:
+            parse()
+        if done:
+            yield from closed()
 
     return rows.mapInArrow(read, UNIT)
 
@@ -307,7 +325,7 @@ def _codes(units: DataFrame, range_entries: int) -> DataFrame:
     )
     judged = sent.groupBy("range").applyInArrow(judge, "range int, unit long, codes binary")
     parts = F.sort_array(F.collect_list(F.struct("range", "codes")))
-    return judged.groupBy("unit").agg(parts.alias("parts")).select("unit", F.expr("array_join(transform(parts, x -> hex(x.codes)), '')").alias("codes"))
+    return judged.groupBy("unit").agg(parts.alias("parts")).select("unit", F.expr("aggregate(parts, X'', (a, x) -> concat(a, x.codes))").alias("codes"))
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> list[int]:
@@ -326,7 +344,7 @@ def _found(units: DataFrame, codes: DataFrame, window: int) -> DataFrame:
         for batch in batches:
             for keys, *arrays, codes in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 text, first, last, entry = (np.frombuffer(x, dtype=np.int32).astype(np.int64) for x in arrays)
-                code = np.frombuffer(bytes.fromhex(codes), dtype=np.uint8)[entry]
+                code = np.frombuffer(codes, dtype=np.uint8)[entry]
                 repeated = (code == AGAIN) | (code == AGAIN_SENT)
                 asked = code == OPEN
                 # One anchor speaks for all of the unit with its context.
