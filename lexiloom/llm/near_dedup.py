@@ -3,15 +3,16 @@
 A document's set holds the 64-bit hashes of its distinct shingles of words (the whole sequence if it is shorter).
 Documents with equal sets form a class that is represented by its smallest id; only representatives go on.
 
-1. A signature has one minimum for each of many universal hash functions. Bands of it are bucket keys.
+1. A signature has one minimum for each of many universal hash functions. Bands of it are bucket keys. Most keys have one
+   member: they are counted as packed ranges of sorted keys, once per unit of documents, and only the others become rows.
 2. Rounds of stars: each bucket whose members lie in several components so far picks a pivot (the smallest member first,
    then another one by a hash), which is paired with the members of other components. Pairs whose signatures agree too
-   little are left out; the rest (in later rounds, the likeliest pair of each member) are confirmed on the full sets, and
-   components grow. Pairs grow with the members of a bucket, not with their square.
+   little are left out; the likeliest pair of each member is confirmed on the full sets, and components grow. Pairs grow
+   with the members of a bucket, not with their square.
 3. Only buckets whose members still lie in several components can hold a link that matters. Their members are dealt into
-   blocks by a hash, and two blocks of a bucket meet once, with their full sets: members of different components whose
-   signatures agree enough are confirmed right there, each pair in the first bucket that it shares. Only links that join
-   two components leave a block.
+   blocks by a hash, and two blocks of a bucket meet once. First only sketches of the signatures meet: they tell which
+   members can have a partner in another component. Then these meet with their full sets and are confirmed right there,
+   each pair in the first bucket that it shares. Only links that join two components leave a block.
 
 The chance that a pair at the threshold shares no band is (1 - t^rows)^bands, about 1e-6; that its signatures agree too
 little is below 1e-6.
@@ -26,11 +27,13 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from lexiloom.llm.common import append_columns, shingle_hashes, small, stored, word_hashes
 from lexiloom.llm.components import components
+from lexiloom.llm.substring_dedup import ALONE, UNIT, _codes, _unit
 
 SHINGLE_WORDS = 5
 #: Least similarity of linked documents, in hundredths.
@@ -43,6 +46,8 @@ LEAST_AGREEMENT = 0.62
 ROUNDS = 2
 #: Members of a block, and bytes of their sets, about.
 BLOCK_MEMBERS, BLOCK_BYTES = 512, 8_000_000
+#: Documents whose keys are counted together, and keys of a range.
+UNIT_DOCUMENTS, RANGE_KEYS = 4_000, 250_000
 
 SIGNED = T.StructType(
     [
@@ -91,7 +96,8 @@ def _sign(lists: list[list]) -> list[list]:
             minima = signature(found)
             digests.append(xxhash.xxh3_128_digest(found.tobytes()))
             bands.append(band_keys(minima))
-            sketches.append((minima >> np.uint32(24)).astype(np.uint8).tobytes())
+            # Minima of large sets are small numbers; a mixed byte still tells them apart.
+            sketches.append(((minima * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8).tobytes())
         else:
             digests.append(None)
             bands.append(None)
@@ -155,25 +161,100 @@ def _root(parents: dict[int, int], node: int) -> int:
     return node
 
 
-def _block_links(members: DataFrame) -> DataFrame:
-    """Links (a, b) between components, among the members of each bucket.
+def _buckets(classes: DataFrame) -> DataFrame:
+    """(key, id) of the bands of ``classes`` (id, bands) whose key has more than one member.
 
-    ``members``: key, id, component, sketch, bands, hashes (the full set), blocks (number of blocks of the bucket).
+    Keys travel packed and sorted, each once per unit; what comes back is a code for each.
     """
+
+    def read(batches):
+        number = TaskContext.get().partitionId() << 33
+        ids: list[int] = []
+        bands: list[np.ndarray] = []
+
+        def closed() -> pa.RecordBatch:
+            name = np.concatenate(bands).view(np.uint64)
+            text = np.repeat(np.arange(len(ids)), [len(x) for x in bands])
+            keys = [i.to_bytes(16, "little", signed=True) for i in ids]
+            nothing = np.zeros(len(name), dtype=np.int32)
+            return _unit(keys, text, nothing, nothing, name, np.zeros((len(name), 2), dtype=np.uint64), number)
+
+        for batch in batches:
+            lists = batch.column(1)
+            for at, i in enumerate(batch.column(0).to_pylist()):
+                ids.append(i)
+                bands.append(lists[at].values.to_numpy())
+                if len(ids) == UNIT_DOCUMENTS:
+                    yield closed()
+                    number, ids, bands = number + 1, [], []
+        if ids:
+            yield closed()
+
+    def members(batches):
+        for batch in batches:
+            for keys, texts, entries, names, codes in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                entry = np.frombuffer(entries, dtype=np.int32)
+                shared = np.flatnonzero((np.frombuffer(codes, dtype=np.uint8) != ALONE)[entry])
+                text = np.frombuffer(texts, dtype=np.int32)[shared]
+                ids = np.frombuffer(keys, dtype=np.int64).reshape(-1, 2)[text, 0]
+                key = np.frombuffer(names, dtype=np.int64)[entry[shared]]
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids)], names=["key", "id"])
+
+    units = stored(classes.select("id", "bands").mapInArrow(read, UNIT), "units")
+    codes = _codes(units, RANGE_KEYS)
+    joined = units.select("unit", "keys", "texts", "entry", "name").join(small(codes), "unit")
+    return joined.select("keys", "texts", "entry", "name", "codes").mapInArrow(members, "key long, id long").distinct()
+
+
+def _met(members: DataFrame, *carried: str) -> DataFrame:
+    """(key, members, own): the members of two blocks of a bucket, or of one (own), with the columns ``carried``."""
     packed = (
         members.withColumn("block", F.expr("pmod(xxhash64(id), blocks)"))
         .groupBy("key", "blocks", "block")
-        .agg(F.collect_list(F.struct("id", "component", "block", "sketch", "bands", "hashes")).alias("members"))
+        .agg(F.collect_list(F.struct("id", "component", "block", *carried)).alias("members"))
     )
     # Two blocks meet once, under the pair of their numbers; a block also meets itself.
     others = "transform(sequence(0L, blocks - 1), x -> struct(least(x, block) as i, greatest(x, block) as j))"
-    met = (
+    return (
         packed.withColumn("meeting", F.explode(F.expr(others)))
         .groupBy("key", "meeting")
         .agg(F.flatten(F.collect_list("members")).alias("members"))
         .select("key", "members", F.expr("meeting.i = meeting.j").alias("own"))
     )
 
+
+def _possible(members: DataFrame) -> DataFrame:
+    """Distinct (id) of the members that may be similar to a member of their bucket in another component.
+
+    ``members``: key, id, component, n_shingles, sketch, blocks. Only sketches travel, no sets.
+    """
+
+    def find(batches):
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.column(1)[at].as_py()
+                ids, kinds, sizes = (np.array([x[name] for x in row]) for name in ("id", "component", "n_shingles"))
+                bits = np.frombuffer(b"".join(x["sketch"] for x in row), dtype=np.uint8).reshape(len(row), -1)
+                found = np.zeros(len(row), dtype=bool)
+                for i in range(len(row) - 1):
+                    low, high = np.minimum(sizes[i + 1 :], sizes[i]), np.maximum(sizes[i + 1 :], sizes[i])
+                    rest = np.flatnonzero((kinds[i + 1 :] != kinds[i]) & (100 * low >= THRESHOLD * high)) + i + 1
+                    rest = rest[_agreement(bits[i], bits[rest]) >= LEAST_AGREEMENT] if len(rest) else rest
+                    if len(rest):
+                        found[i] = found[rest] = True
+                if found.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[found], pa.int64())], names=["id"])
+
+    return _met(members, "n_shingles", "sketch").mapInArrow(find, "id long").distinct()
+
+
+def _block_links(members: DataFrame) -> DataFrame:
+    """Links (a, b) between components, among the members of each bucket.
+
+    ``members``: key, id, component, sketch, bands, hashes (the full set), blocks (number of blocks of the bucket).
+    """
+    met = _met(members, "sketch", "bands", "hashes")
+
     def links_of(key: int, row: list[dict], own: bool) -> list[tuple[int, int]]:
         ids, kinds, blocks = (np.array([x[name] for x in row]) for name in ("id", "component", "block"))
         bits = np.frombuffer(b"".join(x["sketch"] for x in row), dtype=np.uint8).reshape(len(row), -1)
@@ -266,10 +347,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .where("n > 1"),
         "repeated",
     )
-    keys = classes.select("id", F.explode("bands").alias("key"))
-    crowded = keys.groupBy("key").agg(F.min("id").alias("pivot"), F.count("id").alias("n")).where("n > 1").drop("n")
-    members = stored(keys.join(crowded, "key"), "members")
-
+    members = stored(_buckets(classes), "members")
     ids = stored(members.select("id").distinct(), "ids")
     texts = source.where("text is not null").withColumnRenamed("doc_id", "id").join(small(ids), "id", "left_semi")
     own = None
@@ -281,15 +359,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         own = own.select(F.col("id").alias("a"), F.col("doc_id").alias("b")).where("a <> b").distinct()
     state = _Links(stored(texts.select("id", "text"), "texts"), own)
 
-    sketches = classes.select("id", "sketch")
-    if ROUNDS:
-        pairs = members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-        pairs = pairs.join(sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sketch_b")), "b")
-        pairs = pairs.join(sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sketch_a")), "a")
-        state.confirm(stored(_agreed(pairs).select("a", "b"), "pairs"))
-    for number in range(1, ROUNDS):
+    sketches = stored(classes.select("id", "sketch").join(small(ids), "id", "left_semi"), "sketches")
+    for number in range(ROUNDS):
         placed = state.component_of(members.select("key", "id"), "id", "component")
-        pivot = F.min_by(F.struct("id", "component"), F.xxhash64("id", "key", F.lit(number))).alias("pivot")
+        order = F.xxhash64("id", "key", F.lit(number)) if number else F.col("id")
+        pivot = F.min_by(F.struct("id", "component"), order).alias("pivot")
         open_keys = placed.groupBy("key").agg(pivot, F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key", "pivot")
         members = stored(placed.join(open_keys, "key"), "members")
         pairs = members.where("component <> pivot.component").select("id", F.col("pivot.id").alias("other")).distinct()
@@ -302,14 +376,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     placed = state.component_of(members.select("key", "id"), "id", "component")
     weights = classes.select("id", "n_shingles", "sketch", "bands")
+    sizes = classes.select("id", "n_shingles").join(small(ids), "id", "left_semi")
     ends = F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")
     # As many blocks as their members and the bytes of their sets ask for.
     blocks = f"cast(greatest(ceil(size / {BLOCK_MEMBERS}), ceil(bytes / {BLOCK_BYTES})) as long) as blocks"
-    sized = placed.join(weights.select("id", "n_shingles"), "id")
+    sized = placed.join(sizes, "id")
     open_keys = sized.groupBy("key").agg(*ends, F.sum(8 * F.col("n_shingles")).alias("bytes")).where("low < high")
     open_members = stored(placed.join(open_keys.selectExpr("key", blocks), "key"), "members")
     if not open_members.isEmpty():
-        ids = stored(open_members.select("id").distinct(), "ids")
+        # As often as blocks of a bucket meet, but without sets.
+        ids = stored(_possible(open_members.join(sketches, "id").join(sizes, "id")), "ids")
+        open_members = stored(open_members.join(small(ids), "id", "left_semi"), "members")
+    if not open_members.isEmpty():
         hashes = T.StructType([T.StructField("hashes", T.BinaryType())])
         full = append_columns(
             state.texts.join(small(ids), "id", "left_semi"),
@@ -319,9 +397,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         state.add(_block_links(rows.select("key", "id", "component", "sketch", "bands", "hashes", "blocks")))
 
     named = state.component_of(classes.select("set_hash", "id"), "id", "component_id").select("set_hash", "component_id")
+    rows = signed.select("doc_id", "n_shingles", "set_hash")
+    # Rows without words have no class; they must not meet under one missing key.
+    wordless = rows.where("set_hash is null").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"))
     return (
-        signed.select("doc_id", "n_shingles", "set_hash")
-        .join(named, "set_hash", "left")
+        rows.where("set_hash is not null")
+        .join(small(named), "set_hash", "left")
+        .select("doc_id", "n_shingles", "component_id")
+        .union(wordless)
         .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
         .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -332,7 +415,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that represent their group of near duplicates, one for each; rows without an id stay."""
     kept = near_duplicates(docs).where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
     kept = stored(kept, "kept")
-    once = docs.join(kept.where("_n = 1 and doc_id is not null").select("doc_id"), "doc_id", "left_semi")
+    once = docs.join(small(kept.where("_n = 1 and doc_id is not null").select("doc_id")), "doc_id", "left_semi")
     rows = once.select(docs.columns).union(docs.where("doc_id is null"))
     again = kept.where("_n > 1 and doc_id is not null").select("doc_id")
     if again.isEmpty():
