@@ -99,7 +99,7 @@ def add_both_logits(
 ) -> DataFrame:
     """Add ``logits`` and ``quantized_logits``: one pass over the texts looks each token up once, for both models."""
     require_text(df, text)
-    weights = model.weights.where(F.col("id") != BIAS_ID).select("token", "weights")
+    weights = model.weights.where(F.col("id") != BIAS_ID).select("id", "token", "weights")
     both = weights.join(quantized.steps.select("token", "steps"), "token")
     sums = token_sums(df, both, {"weights": "double", "steps": "bigint"}, model.outputs, text, key, limit)
     bias = model.weights.where(F.col("id") == BIAS_ID).select("weights")

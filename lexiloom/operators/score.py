@@ -13,8 +13,9 @@ from lexiloom.config import BROADCAST_BYTES, INFERENCE_BATCH
 from lexiloom.functions.text import tokens
 from lexiloom.functions.vectors import activation, bind, round_scores
 from lexiloom.operators.lookup import find, hash_buckets, lookup_join, with_value
-from lexiloom.operators.staging import free_name, with_stable_key
+from lexiloom.operators.staging import free_name, measure, settle
 from lexiloom.operators.train import BIAS_ID, Model
+from lexiloom.operators.vocabulary import FIRST_ID
 
 
 def require_text(df: DataFrame, text: str) -> None:
@@ -22,15 +23,72 @@ def require_text(df: DataFrame, text: str) -> None:
         raise TypeError(f"scoring needs a string column {text!r}")
 
 
+def _by_rank(table: DataFrame, values: list[str], limit: int) -> tuple[DataFrame, int, DataFrame]:
+    """The most frequent tokens, packed within ``limit`` (see :func:`hash_buckets`), and the rows of the others.
+
+    Ids are ranks, so they are the first ones.
+    """
+    rows, size = measure(table.select("token", *values))
+    head = FIRST_ID + int(limit * rows / max(size, 1))
+    while True:
+        near = table.where(F.col("id") < head).select("token", F.struct(*values).alias("_v"))
+        packed = hash_buckets(near, "token", "_v", limit if head > FIRST_ID else 1 << 62)
+        if packed:
+            return *packed, table.where(F.col("id") >= head).select("token", *values)
+        head = FIRST_ID + (head - FIRST_ID) // 2
+
+
+def _sums_by_parts(
+    df: DataFrame, table: DataFrame, columns: dict[str, str], outputs: int, text: str, key: str | None, limit: int
+) -> DataFrame:
+    """:func:`token_sums` for a table (id, token, ...) above ``limit``.
+
+    The most frequent tokens, which are nearly all occurrences, are summed in place; only the others are joined.
+    """
+    names = df.columns
+    buckets, n, far = _by_rank(table, list(columns), limit)
+    zeros = {name: F.array_repeat(F.lit(0).cast(kind), outputs) for name, kind in columns.items()}
+    pairs = F.transform(tokens(text), lambda t: F.struct(t.alias("t"), find(F.col("_buckets"), t, n).alias("v")))
+    found = F.coalesce(pairs, F.array().cast(T.ArrayType(T.StructType([
+        T.StructField("t", T.StringType()), T.StructField("v", T.StructType([table.schema[name] for name in columns]))
+    ]))))
+    row = key or free_name(df, "_row_key")
+    own = [] if key else [F.monotonically_increasing_id().alias(row)]
+    rows = with_value(df, "_buckets", buckets).select(*names, *own, found.alias("_found"))
+
+    def near(name: str) -> Column:
+        hits = F.filter("_found", lambda x: x["v"].isNotNull())
+        return F.aggregate(hits, zeros[name], lambda acc, x: F.zip_with(acc, x["v"][name], lambda a, w: a + w))
+
+    rest = F.transform(F.filter("_found", lambda x: x["v"].isNull()), lambda x: x["t"])
+    # With a key of the caller's the texts need not be kept.
+    kept = settle(rows.select(*([row] if key else [*names, row]), *[near(c).alias(f"_{c}") for c in columns], rest.alias("_rest")))
+    hits = lookup_join(kept.select(row, F.explode("_rest").alias("token")), far, "token", "inner", limit)
+
+    def summed(rows: DataFrame, of: dict[str, str]) -> DataFrame:
+        sums = {c: F.array(*[F.sum(F.get(name, F.lit(k)).cast(columns[c])) for k in range(outputs)]) for c, name in of.items()}
+        return rows.groupBy(row).agg(*[value.alias(f"_far_{c}") for c, value in sums.items()])
+
+    per_row = summed(hits, {c: c for c in columns})
+    if key:
+        both = kept.select(row, *[F.col(f"_{c}").alias(f"_far_{c}") for c in columns]).unionByName(per_row)
+        joined = df.join(summed(both, {c: f"_far_{c}" for c in columns}), row, "left")
+        return joined.select(*names, *[F.coalesce(f"_far_{c}", zeros[c]).alias(f"_{c}") for c in columns])
+    joined = kept.join(per_row, row, "left")
+    both = {c: F.zip_with(f"_{c}", f"_far_{c}", lambda a, b: a + b) for c in columns}
+    return joined.select(*names, *[F.coalesce(both[c], f"_{c}").alias(f"_{c}") for c in columns])
+
+
 def token_sums(
     df: DataFrame, table: DataFrame, columns: dict[str, str], outputs: int, text: str = "text", key: str | None = None,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Add ``_name`` for each array column of ``table`` (token, ...): its values summed over the tokens of the text.
+    """Add ``_name`` for each array column of ``table`` (id, token, ...): its values summed over the tokens of the text.
 
     ``columns`` names the columns and the type to sum in. A table measured within ``limit`` is handed to the tasks and rows
-    are summed in place, with no shuffle and no key; each token is looked up once for all columns. For a larger one tokens
-    are joined to it and summed by ``key``, which must be unique; without one the rows are settled with a key of their own.
+    are summed in place, with no shuffle and no key; each token is looked up once for all columns. For a larger one this
+    holds for its most frequent tokens; others are joined to it and summed by ``key``, which must be unique; without one the
+    rows are settled with a key of their own.
     """
     zeros = {name: F.array_repeat(F.lit(0).cast(kind), outputs) for name, kind in columns.items()}
     packed = hash_buckets(table.select("token", F.struct(*columns).alias("_v")), "token", "_v", limit)
@@ -45,19 +103,7 @@ def token_sums(
         start = F.struct(*[zero.alias(name) for name, zero in zeros.items()])
         summed = ready.select(*df.columns, F.aggregate(F.coalesce(tokens(text), F.array().cast("array<string>")), start, add).alias("_sums"))
         return summed.select(*df.columns, *[F.col("_sums")[name].alias(f"_{name}") for name in columns])
-    names = df.columns
-    if key is None:
-        key = free_name(df, "_row_key")
-        df = with_stable_key(df, key)
-    pieces = df.select(key, F.explode(tokens(text)).alias("token"))
-    found = lookup_join(pieces, table, "token", "inner", limit)
-    sums = [
-        F.array(*[F.sum(F.get(name, F.lit(k)).cast(kind)) for k in range(outputs)]).alias(f"_{name}")
-        for name, kind in columns.items()
-    ]
-    joined = df.join(found.groupBy(key).agg(*sums), key, "left")
-    # A text without any known token has sums of 0.
-    return joined.select(*names, *[F.coalesce(f"_{name}", zeros[name]).alias(f"_{name}") for name in columns])
+    return _sums_by_parts(df, table, columns, outputs, text, key, limit)
 
 
 def add_logits(
@@ -66,8 +112,8 @@ def add_logits(
     """Add ``logits``: bias plus the weights of all tokens of the text; tokens the model lacks add nothing.
 
     A model measured within ``limit`` is handed to the tasks and rows are scored in place, with no
-    shuffle and no key. For a larger one tokens are joined to the weights and summed by ``key``, which
-    must be unique; without one the rows are settled with a key of their own. A null text has null logits.
+    shuffle and no key. Of a larger one this holds for the most frequent tokens; others are joined to the weights and summed
+    by ``key``, which must be unique; without one the rows are settled with a key of their own. A null text has null logits.
     """
     require_text(df, text)
     weights = model.weights.where(F.col("id") != BIAS_ID).select("token", "weights")
@@ -82,20 +128,14 @@ def add_logits(
             lambda acc, t: F.coalesce(F.zip_with(acc, find(F.col("_buckets"), t, n), lambda a, w: a + w), acc),
         )
         return ready.select(*df.columns, logits.alias("logits"))
-    columns = df.columns
-    if key is None:
-        key = free_name(df, "_row_key")
-        df = with_stable_key(df, key)
-    pieces = df.select(key, F.explode(tokens(text)).alias("token"))
-    found = lookup_join(pieces, weights, "token", "inner", limit)
-    sums = [F.sum(F.get("weights", F.lit(k))) for k in range(model.outputs)]
-    per_row = found.groupBy(key).agg(F.array(*sums).alias("_sums"))
-    joined = with_value(df.join(per_row, key, "left"), "_bias", bias)
-    # A text without any known token keeps the bias.
-    logits = F.aggregate(
-        F.array(F.col("_sums")), F.col("_bias"), lambda acc, s: F.coalesce(F.zip_with(acc, s, lambda a, w: a + w), acc)
+    # Told beforehand, so that the texts need not move where the caller leaves them out.
+    known = free_name(df, "_known")
+    ranked = model.weights.where(F.col("id") != BIAS_ID)
+    summed = _sums_by_parts(
+        df.withColumn(known, F.col(text).isNotNull()), ranked, {"weights": "double"}, model.outputs, text, key, limit
     )
-    return joined.select(*columns, F.when(F.col(text).isNotNull(), logits).alias("logits"))
+    logits = F.zip_with(F.col("_bias"), "_weights", lambda b, x: b + x)
+    return with_value(summed, "_bias", bias).select(*df.columns, F.when(F.col(known), logits).alias("logits"))
 
 
 def batch_score(

@@ -11,10 +11,13 @@ from lexiloom.functions.text import tokens
 from lexiloom.functions.vectors import bind
 from lexiloom.operators.lookup import lookup_join, with_value
 from lexiloom.operators.staging import settle
-from lexiloom.operators.vocabulary import token_counts, vocabulary_of_counts, words
+from lexiloom.operators.vocabulary import ranked_tokens, token_counts, words
 
 BIAS_ID = -1
 
+#: Up to so many outputs the counts of a token move as one row; of more, most are 0, so they move one by one first.
+WIDE_OUTPUTS = 8
+
 
 class Counts(NamedTuple):
     """What training needs from the corpus.
@@ -58,20 +61,33 @@ def checked_labels(examples: DataFrame, outputs: int) -> DataFrame:
     return examples.withColumn("label", F.when(F.col("label").between(0, outputs - 1), F.col("label")).otherwise(wrong))
 
 
+def _per_class(examples: DataFrame, outputs: int) -> DataFrame:
+    """(token, c array<bigint>, n): occurrences per class and in all."""
+    if 0 < outputs <= WIDE_OUTPUTS:
+        exploded = examples.select("label", F.explode(tokens("text")).alias("token"))
+        hits = [F.count(F.when(F.col("label") == k, F.lit(1))) for k in range(outputs)]
+        return exploded.groupBy("token").agg(F.array(*hits).alias("c"), F.count(F.lit(1)).alias("n"))
+    entries = F.map_from_entries(F.collect_list(F.struct(F.col("label").cast("int"), F.col("n"))))
+    by_class = token_counts(examples, "text", ("label",)).groupBy("token")
+    return by_class.agg(_slots(entries, outputs).alias("c"), F.sum("n").alias("n"))
+
+
+def _with_ids(counts: DataFrame, vocabulary_size: int | None, vocabulary: DataFrame | None) -> DataFrame:
+    """(id, token, n) of (token, c, n): the counts take their ids by rank, or those of a vocabulary that is given."""
+    if vocabulary is None:
+        # The shorter list is found from the counts, so they are read twice.
+        found = ranked_tokens(counts if vocabulary_size is None else settle(counts), vocabulary_size)
+    else:
+        found = lookup_join(counts.select("token", "c"), words(vocabulary), "token", "inner")
+    return found.select("id", "token", F.col("c").alias("n"))
+
+
 def count_single_label(
     examples: DataFrame, outputs: int, vocabulary_size: int | None = None, vocabulary: DataFrame | None = None
 ) -> Counts:
-    """Count tokens per class in one pass over the texts (text, label); all tokens unless a size is named.
-
-    The table per token is not settled: fitting uses it twice in one job, over one exchange.
-    """
+    """Count tokens per class in one pass over the texts (text, label); all tokens unless a size is named."""
     examples = checked_labels(examples, outputs)
-    per_class = settle(token_counts(examples, "text", ("label",)))
-    if vocabulary is None:
-        totals = per_class.groupBy("token").agg(F.sum("n").alias("n"))
-        vocabulary = vocabulary_of_counts(totals, vocabulary_size)
-    kept = lookup_join(per_class, words(vocabulary), "token", "inner")
-    by_token = _as_slots(kept, ["id", "token"], outputs)
+    by_token = _with_ids(_per_class(examples, outputs), vocabulary_size, vocabulary)
     classes = examples.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     return Counts(by_token, _as_slots(classes, [], outputs), outputs, SINGLE_LABEL)
 
@@ -89,11 +105,7 @@ def count_multi_label(
 
     examples = checked_labels(examples, outputs)
     exploded = examples.select("labels", F.explode(tokens("text")).alias("token"))
-    per_token = settle(exploded.groupBy("token").agg(*sums(F.lit(1))))
-    if vocabulary is None:
-        vocabulary = vocabulary_of_counts(per_token.select("token", "n"), vocabulary_size)
-    kept = lookup_join(per_token, words(vocabulary), "token", "inner")
-    by_token = settle(kept.select("id", "token", F.col("c").alias("n")))
+    by_token = _with_ids(exploded.groupBy("token").agg(*sums(F.lit(1))), vocabulary_size, vocabulary)
     rows = examples.agg(*sums(F.lit(1))).select(F.col("c").alias("n"))
     return Counts(by_token, rows, outputs, MULTI_LABEL)
 

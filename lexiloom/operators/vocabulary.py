@@ -35,20 +35,28 @@ def likely_tokens(counts: DataFrame, size: int) -> DataFrame:
         .where(F.col("_above") < size)
         .agg(F.coalesce(F.min("n"), F.lit(0)).alias("_lowest"))
     )
-    return counts.select("token", "n").where(F.col("n") >= lowest.scalar())
+    return counts.where(F.col("n") >= lowest.scalar())
 
 
-def vocabulary_of_counts(counts: DataFrame, size: int | None) -> DataFrame:
-    """(token, id, is_special): reserved tokens, then the most frequent tokens by rank, ties by token; None keeps all.
+def ranked_tokens(counts: DataFrame, size: int | None) -> DataFrame:
+    """``counts`` (token, n, ...) of the most frequent tokens with their ``id`` in place of ``n``; None keeps all.
 
-    Ranks are row numbers over a range partitioning, so no task sees the whole list. Settled, because everything that
-    encodes with it must see the same ids.
+    Ranks are row numbers over a range partitioning, so no task sees the whole list. Further columns travel with the
+    token, so nothing has to be joined to the list afterwards.
     """
-    kept = counts.select("token", "n") if size is None else likely_tokens(counts, size)
-    ranked = dense_index(kept.withColumn("_down", -F.col("n")), ["_down", "token"], "_rank")
+    kept = counts if size is None else likely_tokens(counts, size)
+    ranked = dense_index(kept.withColumn("_down", -F.col("n")).drop("n"), ["_down", "token"], "_rank")
     if size is not None:
         ranked = ranked.where(F.col("_rank") < size)
-    ranked = ranked.select("token", (F.col("_rank") + FIRST_ID).cast("int").alias("id"), F.lit(False).alias("is_special"))
+    return ranked.withColumn("id", (F.col("_rank") + FIRST_ID).cast("int")).drop("_down", "_rank")
+
+
+def vocabulary_of_counts(counts: DataFrame, size: int | None) -> DataFrame:
+    """(token, id, is_special): reserved tokens, then the most frequent tokens by rank, ties by token; None keeps all.
+
+    Settled, because everything that encodes with it must see the same ids.
+    """
+    ranked = ranked_tokens(counts.select("token", "n"), size).select("token", "id", F.lit(False).alias("is_special"))
     special = counts.sparkSession.createDataFrame(
         [(token, i, True) for token, i in SPECIAL_TOKENS.items()], "token string, id int, is_special boolean"
     )

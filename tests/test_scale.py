@@ -128,3 +128,36 @@ def test_scores_are_the_same_both_ways(spark):
 
 def test_staging_dir_is_the_named_one(spark):
     assert staging_dir(spark) == spark.sparkContext.getCheckpointDir()
+
+
+@pytest.mark.parametrize("key", [None, "doc_id"])
+def test_only_rare_tokens_are_joined_above_the_limit(spark, monkeypatch, key):
+    from lexiloom.operators import score
+
+    rows = [(i, f"a b a b c a w{i % 40} x{i}") for i in range(200)] + [(900, None), (901, ""), (902, "zz")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = train_single_label(df.where("text is not null").withColumn("label", F.col("doc_id") % 2), 2)
+    joined = []
+
+    def counting(pieces, *rest):
+        joined.append(pieces.count())
+        return lookup_join(pieces, *rest)
+
+    monkeypatch.setattr(score, "lookup_join", counting)
+    got = {r.doc_id: r.logits for r in add_logits(df, model, key=key, limit=8_000).collect()}
+    assert 0 < joined[0] < 500
+    plain = {r.doc_id: r.logits for r in add_logits(df, model).collect()}
+    assert got.keys() == plain.keys() and got.pop(900) is None and plain.pop(900) is None
+    assert all(got[k] == pytest.approx(plain[k], rel=1e-12) for k in got)
+
+
+@pytest.mark.parametrize("outputs", [2, 11])
+def test_counts_take_their_ids_without_a_join(spark, monkeypatch, outputs):
+    from lexiloom.operators import train
+
+    monkeypatch.setattr(train, "lookup_join", None)
+    df = spark.createDataFrame([("b a b", 0), ("c", 1), ("a b", 1), (None, 1)], "text string, label long")
+    for size, names in ((None, ["b", "a", "c"]), (2, ["b", "a"])):
+        found = train.count_single_label(df, outputs, size).tokens.orderBy("id").collect()
+        assert [r.token for r in found] == names and [r.n[:2] for r in found] == [[2, 1], [1, 1], [0, 1]][: len(names)]
+        assert all(len(r.n) == outputs for r in found)
