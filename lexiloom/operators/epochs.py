@@ -13,7 +13,7 @@ from lexiloom.config import (
 from lexiloom.functions.text import tokens
 from lexiloom.functions.vectors import activation
 from lexiloom.operators.evaluate import METRICS, metrics_for
-from lexiloom.operators.lookup import dense_array, find, hash_buckets, lookup_join, with_value
+from lexiloom.operators.lookup import dense_array, find, hash_buckets, with_value
 from lexiloom.operators.runs import EVAL, LOSS
 from lexiloom.operators.staging import Scratch, measure, settle
 from lexiloom.operators.train import BIAS_ID, Model
@@ -23,8 +23,12 @@ from lexiloom.schemas import METRIC_LOG
 # Decay of the running means of gradients and of their squares, and the guard of the division.
 MEAN_DECAY, SQUARE_DECAY, GUARD = 0.9, 0.999, 1e-8
 
-#: Bytes that a row of the head takes besides its token or its values, and bytes of tail entries of one bucket, about.
-HEAD_OVERHEAD, BUCKET_BYTES = 64, 64 * 1024 * 1024
+#: Bytes that a row of the head takes besides its token or its values, bytes of one bucket and of a tail entry in it, about.
+#: Sums per text and per id are taken within a bucket before they move, so few large ones move less.
+HEAD_OVERHEAD, BUCKET_BYTES, ENTRY_BYTES = 64, 256 * 1024 * 1024, 16
+
+#: As many of the first ids of the tail are matched by broadcast when it is looked up: a short head leaves frequent tokens to it.
+HOT_IDS = 10_000
 
 
 class Setting(NamedTuple):
@@ -51,6 +55,7 @@ class Examples(NamedTuple):
 
     rows: DataFrame
     tail: DataFrame | None
+    buckets: int = 0
 
 
 def _head_size(vocabulary: DataFrame, slots: int, limit: int) -> int | None:
@@ -64,8 +69,13 @@ def _head_size(vocabulary: DataFrame, slots: int, limit: int) -> int | None:
     return None if rows * row <= limit else max(FIRST_ID, int(limit / row))
 
 
-def _encoded(df: DataFrame, vocabulary: DataFrame, label: str, head: int | None, scratch: Scratch) -> Examples:
-    """Encode once. Only tokens outside the head are joined to the vocabulary; they are rare ones by their rank."""
+def _encoded(
+    df: DataFrame, vocabulary: DataFrame, label: str, head: int | None, scratch: Scratch, buckets: int = 0, least: int = 1
+) -> Examples:
+    """Encode once. Only tokens outside the head are joined to the vocabulary; they are rare ones by their rank.
+
+    All tables that meet must have equal numbers of ``buckets``; without one it follows the tail and is ``least`` at least.
+    """
     known = words(vocabulary)
     near = known if head is None else known.where(F.col("id") < head)
     packed, n = hash_buckets(near, "token", "id", limit=1 << 62)
@@ -81,17 +91,26 @@ def _encoded(df: DataFrame, vocabulary: DataFrame, label: str, head: int | None,
     none = F.array().cast("array<struct<id:int,n:bigint>>")
     if head is None:
         return Examples(rows.select("row", label, "ids", none.alias("tail")), None)
-    pieces = rows.select("row", F.explode("_rest").alias("token")).groupBy("row", "token").agg(F.count(F.lit(1)).alias("n"))
-    entries = lookup_join(pieces, known.where(F.col("id") >= head), "token", "inner").select("id", "row", "n")
-    size = measure(entries)[1]
-    buckets = max(df.sparkSession.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES))
-    tail = scratch.keep(entries, "id", buckets)
+    if not buckets:
+        size = (rows.agg(F.sum(F.size("_rest"))).first()[0] or 0) * ENTRY_BYTES
+        spark = df.sparkSession
+        # Sums come in as many partitions as a shuffle of the session has. Were buckets fewer, tables would move to meet them.
+        shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = max(spark.sparkContext.defaultParallelism, shuffled, least, -(-size // BUCKET_BYTES))
+    pieces = rows.select("row", F.explode("_rest").alias("token"))
+    hot = F.broadcast(known.where(F.col("id").between(head, head + HOT_IDS - 1)))
+    cold = pieces.join(hot.select("token"), "token", "left_anti").join(known.where(F.col("id") >= head + HOT_IDS), "token")
+    entries = pieces.join(hot, "token").unionByName(cold).select("id", "row")
+    # Rows of an id are in one task, so its texts are counted where they lie.
+    dealt = entries.repartition(buckets, "id").groupBy("id", "row").agg(F.count(F.lit(1)).alias("n"))
+    tail = scratch.keep(dealt, "id", buckets, placed=True)
     # One group is the tail of one text.
-    lists = tail.groupBy("row").agg(F.collect_list(F.struct("id", "n")).alias("tail"))
-    joined = rows.select("row", label, "ids").join(lists, "row", "left")
-    together = scratch.keep(joined.select("row", label, "ids", F.coalesce("tail", none).alias("tail")), "row", buckets)
+    lists = tail.repartition(buckets, "row").groupBy("row").agg(F.collect_list(F.struct("id", "n")).alias("tail"))
+    lists = scratch.keep(lists, "row", buckets, placed=True)
+    near = scratch.keep(rows.select("row", label, "ids"), "row", buckets)
     scratch.drop(rows)
-    return Examples(together, tail)
+    together = near.join(lists, "row", "left").select("row", label, "ids", F.coalesce("tail", none).alias("tail"))
+    return Examples(together, tail, buckets)
 
 
 def _zeros(n: int) -> Column:
@@ -218,12 +237,14 @@ def train_epoch_grid(
     slots = outputs * len(names)
     scratch = Scratch(spark)
     head = _head_size(vocabulary, slots, limit)
-    train_rows = _encoded(train, vocabulary, label, head, scratch)
-    evaluation_rows = _encoded(evaluation, vocabulary, label, head, scratch)
-    buckets = 0 if head is None else max(spark.sparkContext.defaultParallelism, -(-measure(vocabulary)[0] * 24 * slots // BUCKET_BYTES))
-    keep = lambda df: scratch.keep(df, "id" if buckets else None, buckets)
+    least = 1 if head is None else -(-vocabulary.count() * 24 * slots // BUCKET_BYTES)
+    train_rows = _encoded(train, vocabulary, label, head, scratch, least=least)
+    buckets = train_rows.buckets
+    evaluation_rows = _encoded(evaluation, vocabulary, label, head, scratch, buckets)
+    # Gradients go to the buckets of the state that they move, so later states are in their places already.
+    keep = lambda df, placed: scratch.keep(df, "id" if buckets else None, buckets, placed)
     blank = _zeros(slots)
-    state = keep(vocabulary.select("id", blank.alias("w"), blank.alias("m"), blank.alias("v")))
+    state = keep(vocabulary.select("id", blank.alias("w"), blank.alias("m"), blank.alias("v")), placed=False)
     rows = train_rows.rows.count()
     entries: list[tuple] = []
     best = {name: (state, None) for name in names}
@@ -232,7 +253,7 @@ def train_epoch_grid(
         now = [running.get(name) for name in names]
         gradients = _gradients(_scored(train_rows, state, slots, head), label, outputs, len(names), problem_type)
         before = state
-        stepped = keep(_step(state.select("id", "w", "m", "v"), gradients, rows, epoch, now, outputs, max_epochs))
+        stepped = keep(_step(state.select("id", "w", "m", "v"), gradients, rows, epoch, now, outputs, max_epochs), placed=True)
         state = stepped
         losses = state.where(F.col("id") == START_ID).first()["loss"] or [0.0] * len(names)
         started = time.perf_counter()

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from lexiloom.config import BROADCAST_BYTES
 
 ROW_OVERHEAD = 32
+#: Of intermediate results: denser than the default, as they are written once and read a few times.
+COMPRESSION = "zstd"
 # Bytes of an element of an array; others take 8.
 _BYTES = {T.ByteType: 1, T.BooleanType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4}
 
@@ -42,7 +44,7 @@ def settle(df: DataFrame) -> DataFrame:
     Kept as Parquet: compressed, and later uses read only the columns they need.
     """
     path = fresh_path(df.sparkSession, "settled")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=COMPRESSION)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -75,12 +77,14 @@ class Scratch:
         folder = f"{staging_dir(spark).rstrip('/')}/tables"
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH} LOCATION '{folder}'")
 
-    def keep(self, df: DataFrame, key: str | None = None, buckets: int = 0) -> DataFrame:
+    def keep(self, df: DataFrame, key: str | None = None, buckets: int = 0, placed: bool = False) -> DataFrame:
+        """``placed``: the rows of a bucket are in one task already, as after a join with a table in such buckets."""
         name = f"{SCRATCH}.t{uuid.uuid4().hex}"
         if key:
-            df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+            dealt = df if placed else df.repartition(buckets, key)
+            dealt.write.option("compression", COMPRESSION).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
         else:
-            df.write.saveAsTable(name)
+            df.write.option("compression", COMPRESSION).saveAsTable(name)
         kept = self.spark.table(name)
         self.names[id(kept)] = kept, name
         return kept

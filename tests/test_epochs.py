@@ -144,3 +144,22 @@ def test_the_query_trains_on_all_tokens(spark, monkeypatch):
     monkeypatch.setattr(flows, "build_vocabulary", lambda train, size: asked.append(size) or build_vocabulary(train, size))
     flows.train_epochs(spark, SF)
     assert asked == [None]
+
+
+def test_all_tables_lie_in_equal_buckets_and_states_are_not_dealt_again(spark, monkeypatch):
+    kept = []
+    keep = Scratch.keep
+
+    def noting(self, df, key=None, buckets=0, placed=False):
+        kept.append((key, buckets, placed))
+        return keep(self, df, key, buckets, placed)
+
+    monkeypatch.setattr(Scratch, "keep", noting)
+    # Many more tokens for evaluation than for training.
+    df = spark.createDataFrame([("a b b", 0), ("c", 1)], "text string, label long")
+    more = spark.createDataFrame([(" ".join(f"w{i}" for i in range(5_000)) + " a", 0)], "text string, label long")
+    monkeypatch.setattr(epochs, "BUCKET_BYTES", 2_000)
+    train_epochs(df, more, build_vocabulary(df, None), 2, SINGLE_LABEL, max_epochs=2, patience=5, limit=0)
+    assert len({buckets for key, buckets, _ in kept if key}) == 1
+    # The blank state, then one of each epoch.
+    assert [placed for *_, placed in kept[-3:]] == [False, True, True]
