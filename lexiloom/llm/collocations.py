@@ -35,6 +35,8 @@ TOP = 2000
 SHARD_WORDS = 2_000_000
 #: Bytes of text that one range stands for, about.
 RANGE_BYTES = 32 << 20
+#: Paths of three words that are read before they are united.
+WAITING_PATHS = 2_000_000
 #: Rows whose texts are split at a time.
 ROWS = 512
 
@@ -137,14 +139,21 @@ def _united(shards: DataFrame, least: int) -> DataFrame:
     """(lang, range, n, data): one transducer per range, without rare paths; n counts the words of the range."""
 
     def unite(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Parts are united many at a time, so that a path is moved and a word is numbered a few times only.
         runs: list[Paths] = []
+        waiting: list[Paths] = []
+        paths = 0
         for batch in batches:
             for data in batch.column("data"):
-                runs.append(automata.from_bytes(data.as_py()))
-                # Runs of like sizes are united, so every path is moved a logarithmic number of times.
-                while len(runs) > 1 and 2 * len(runs[-1].triple_counts) >= len(runs[-2].triple_counts):
-                    runs.append(automata.union([runs.pop(), runs.pop()]))
-        whole = automata.union(runs)
+                waiting.append(automata.from_bytes(data.as_py()))
+                paths += len(waiting[-1].triple_counts)
+                if paths >= WAITING_PATHS:
+                    runs.append(automata.union(waiting))
+                    waiting, paths = [], 0
+                    # Runs of like sizes are united, so this happens a logarithmic number of times.
+                    while len(runs) > 1 and 2 * len(runs[-1].triple_counts) >= len(runs[-2].triple_counts):
+                        runs.append(automata.union([runs.pop(), runs.pop()]))
+        whole = automata.union([*runs, *waiting])
         n = int(whole.single_counts.sum())
         data = automata.to_bytes(whole.at_least(least))
         yield pa.RecordBatch.from_arrays(
