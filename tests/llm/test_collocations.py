@@ -107,3 +107,9 @@ def test_equal_states_are_kept_once():
     paths = paths_of(texts)
     state, first = automata._merged_states(np.bincount(paths.triple_pairs, minlength=len(paths.pairs)), paths.thirds, paths.triple_counts)
     assert len(state) == 5_001 and len(first) == 2
+
+
+def test_parts_that_are_united_in_several_rounds(spark, small_docs, monkeypatch):
+    monkeypatch.setattr(collocations, "WAITING_PATHS", 3_000)
+    got = collocations.collocations(small_docs, range_bytes=60_000, shard_words=3_000)
+    assert sorted(map(tuple, got.collect())) == by_sql(small_docs)
