@@ -13,70 +13,59 @@ from lexiloom.config import BROADCAST_BYTES, INFERENCE_BATCH
 from lexiloom.functions.text import tokens
 from lexiloom.functions.vectors import activation, bind, round_scores
 from lexiloom.operators.lookup import find, hash_buckets, lookup_join, with_value
-from lexiloom.operators.staging import free_name, measure, settle
+from lexiloom.operators.staging import fits, free_name, measure, with_stable_key
 from lexiloom.operators.train import BIAS_ID, Model
 from lexiloom.operators.vocabulary import FIRST_ID
 
 
+#: A table summed in place is part of every task, and is read anew by it: above this it is broadcast once per executor instead.
+IN_PLACE_BYTES = 8 * 1024 * 1024
+
+
 def require_text(df: DataFrame, text: str) -> None:
     if text not in df.columns or not isinstance(df.schema[text].dataType, T.StringType):
         raise TypeError(f"scoring needs a string column {text!r}")
 
 
-def _by_rank(table: DataFrame, values: list[str], limit: int) -> tuple[DataFrame, int, DataFrame]:
-    """The most frequent tokens, packed within ``limit`` (see :func:`hash_buckets`), and the rows of the others.
+def _by_rank(table: DataFrame, values: list[str], limit: int) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of the most frequent tokens, measured within ``limit``, and those of the others, None if all are within it.
 
-    Ids are ranks, so they are the first ones.
+    Ids are ranks, so the most frequent ones are the first.
     """
     rows, size = measure(table.select("token", *values))
+    if size <= limit:
+        return table.select("token", *values), None
     head = FIRST_ID + int(limit * rows / max(size, 1))
     while True:
-        near = table.where(F.col("id") < head).select("token", F.struct(*values).alias("_v"))
-        packed = hash_buckets(near, "token", "_v", limit if head > FIRST_ID else 1 << 62)
-        if packed:
-            return *packed, table.where(F.col("id") >= head).select("token", *values)
+        near = table.where(F.col("id") < head).select("token", *values)
+        if head == FIRST_ID or fits(near, limit):
+            return near, table.where(F.col("id") >= head).select("token", *values)
         head = FIRST_ID + (head - FIRST_ID) // 2
 
 
 def _sums_by_parts(
     df: DataFrame, table: DataFrame, columns: dict[str, str], outputs: int, text: str, key: str | None, limit: int
 ) -> DataFrame:
-    """:func:`token_sums` for a table (id, token, ...) above ``limit``.
+    """:func:`token_sums` for a table (id, token, ...) too large to be part of every task.
 
-    The most frequent tokens, which are nearly all occurrences, are summed in place; only the others are joined.
+    The most frequent tokens, which are nearly all occurrences, meet their values in a broadcast and are summed before
+    they move; only the others, if the table is above ``limit``, are joined by shuffle. Tokens are rows here, not elements
+    of arrays, as Spark compiles joins and sums of rows but interprets functions over arrays.
     """
     names = df.columns
-    buckets, n, far = _by_rank(table, list(columns), limit)
+    near, far = _by_rank(table, list(columns), limit)
     zeros = {name: F.array_repeat(F.lit(0).cast(kind), outputs) for name, kind in columns.items()}
-    pairs = F.transform(tokens(text), lambda t: F.struct(t.alias("t"), find(F.col("_buckets"), t, n).alias("v")))
-    found = F.coalesce(pairs, F.array().cast(T.ArrayType(T.StructType([
-        T.StructField("t", T.StringType()), T.StructField("v", T.StructType([table.schema[name] for name in columns]))
-    ]))))
     row = key or free_name(df, "_row_key")
-    own = [] if key else [F.monotonically_increasing_id().alias(row)]
-    rows = with_value(df, "_buckets", buckets).select(*names, *own, found.alias("_found"))
-
-    def near(name: str) -> Column:
-        hits = F.filter("_found", lambda x: x["v"].isNotNull())
-        return F.aggregate(hits, zeros[name], lambda acc, x: F.zip_with(acc, x["v"][name], lambda a, w: a + w))
-
-    rest = F.transform(F.filter("_found", lambda x: x["v"].isNull()), lambda x: x["t"])
-    # With a key of the caller's the texts need not be kept.
-    kept = settle(rows.select(*([row] if key else [*names, row]), *[near(c).alias(f"_{c}") for c in columns], rest.alias("_rest")))
-    hits = lookup_join(kept.select(row, F.explode("_rest").alias("token")), far, "token", "inner", limit)
-
-    def summed(rows: DataFrame, of: dict[str, str]) -> DataFrame:
-        sums = {c: F.array(*[F.sum(F.get(name, F.lit(k)).cast(columns[c])) for k in range(outputs)]) for c, name in of.items()}
-        return rows.groupBy(row).agg(*[value.alias(f"_far_{c}") for c, value in sums.items()])
-
-    per_row = summed(hits, {c: c for c in columns})
-    if key:
-        both = kept.select(row, *[F.col(f"_{c}").alias(f"_far_{c}") for c in columns]).unionByName(per_row)
-        joined = df.join(summed(both, {c: f"_far_{c}" for c in columns}), row, "left")
-        return joined.select(*names, *[F.coalesce(f"_far_{c}", zeros[c]).alias(f"_{c}") for c in columns])
+    kept = df if key else with_stable_key(df, row)
+    rows = kept.select(row, F.explode(tokens(text)).alias("token"))
+    found = rows.join(F.broadcast(near), "token").select(row, *columns)
+    if far is not None:
+        rest = rows.join(F.broadcast(near.select("token")), "token", "left_anti")
+        found = found.unionByName(lookup_join(rest, far, "token", "inner", limit).select(row, *columns))
+    sums = {c: F.array(*[F.sum(F.get(c, F.lit(k)).cast(kind)) for k in range(outputs)]) for c, kind in columns.items()}
+    per_row = found.groupBy(row).agg(*[value.alias(f"_{c}") for c, value in sums.items()])
     joined = kept.join(per_row, row, "left")
-    both = {c: F.zip_with(f"_{c}", f"_far_{c}", lambda a, b: a + b) for c in columns}
-    return joined.select(*names, *[F.coalesce(both[c], f"_{c}").alias(f"_{c}") for c in columns])
+    return joined.select(*names, *[F.coalesce(f"_{c}", zeros[c]).alias(f"_{c}") for c in columns])
 
 
 def token_sums(
@@ -85,13 +74,14 @@ def token_sums(
 ) -> DataFrame:
     """Add ``_name`` for each array column of ``table`` (id, token, ...): its values summed over the tokens of the text.
 
-    ``columns`` names the columns and the type to sum in. A table measured within ``limit`` is handed to the tasks and rows
-    are summed in place, with no shuffle and no key; each token is looked up once for all columns. For a larger one this
-    holds for its most frequent tokens; others are joined to it and summed by ``key``, which must be unique; without one the
-    rows are settled with a key of their own.
+    ``columns`` names the columns and the type to sum in. A table measured within ``limit`` and ``IN_PLACE_BYTES`` is handed
+    to the tasks and rows are summed in place, with no shuffle and no key; each token is looked up once for all columns. Of a
+    larger one the most frequent tokens, within ``limit``, are broadcast and others are joined by shuffle; sums are made by
+    ``key``, which must be unique; without one the rows are settled with a key of their own.
     """
     zeros = {name: F.array_repeat(F.lit(0).cast(kind), outputs) for name, kind in columns.items()}
-    packed = hash_buckets(table.select("token", F.struct(*columns).alias("_v")), "token", "_v", limit)
+    entries = table.select("token", F.struct(*columns).alias("_v"))
+    packed = hash_buckets(entries, "token", "_v", min(limit, IN_PLACE_BYTES))
     if packed:
         buckets, n = packed
         ready = with_value(df, "_buckets", buckets)
@@ -112,7 +102,7 @@ def add_logits(
     """Add ``logits``: bias plus the weights of all tokens of the text; tokens the model lacks add nothing.
 
     A model measured within ``limit`` is handed to the tasks and rows are scored in place, with no
-    shuffle and no key. Of a larger one this holds for the most frequent tokens; others are joined to the weights and summed
+    shuffle and no key. Of a larger one the most frequent tokens are broadcast and others are joined by shuffle; sums are made
     by ``key``, which must be unique; without one the rows are settled with a key of their own. A null text has null logits.
     """
     require_text(df, text)

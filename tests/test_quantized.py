@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from lexiloom.config import MULTI_LABEL, SINGLE_LABEL
-from lexiloom.operators import quantized as qt
+from lexiloom.operators import quantized as qt, score as sc
 from lexiloom.operators.evaluate import metrics_for
 from lexiloom.operators.score import add_logits
 from lexiloom.operators.staging import free_name
@@ -70,6 +70,25 @@ def test_scores_are_the_same_both_ways(spark, trained, key):
     assert all(by_weights[i] == pytest.approx(a[i][1], rel=1e-9) for i in a)
 
 
+@pytest.mark.parametrize("limit", [1 << 26, 8_000])
+@pytest.mark.parametrize("key", ["doc_id", None])
+def test_tokens_meet_a_large_model_as_compiled_rows(spark, monkeypatch, key, limit):
+    texts = ["w1 w2 w2 W3", "w299 w299 w1", "nothing known", "", " ", None, "w150 w298 x w0"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    weights = [(BIAS_ID, None, [0.5, -1.0])] + [(4 + i, f"w{i}", [float(i), 127.0 - i]) for i in range(300)]
+    model = qt.Model(spark.createDataFrame(weights, "id int, token string, weights array<double>"), 2, SINGLE_LABEL)
+    packed = qt.quantize_model(model)
+    small = {r.doc_id: r.logits for r in qt.add_quantized_logits(df, packed).collect()}
+    monkeypatch.setattr(sc, "IN_PLACE_BYTES", 4_000, raising=False)
+    large = qt.add_quantized_logits(df, packed, key=key, limit=limit)
+    assert large.columns == ["doc_id", "text", "logits"]
+    assert {r.doc_id: r.logits for r in large.collect()} == small and len(small) == len(texts) and small[5] is None
+    plan = large._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode(array_remove(split(lower(text" in plan and "BroadcastHashJoin" in plan
+    # No table in the tasks, and no interpreted lookup of each token.
+    assert "xxhash64" not in plan and "collect_list" not in plan
+
+
 @pytest.mark.parametrize("problem", [SINGLE_LABEL, MULTI_LABEL])
 def test_comparison_equals_separate_metrics(spark, problem):
     if problem == MULTI_LABEL:
